@@ -1,8 +1,8 @@
 """Team-game marts: one row per team per played game, season records, enrichment.
 
 Sizes: these frames are bounded by the calendar (games x 2 sides), not by
-the weekly player volume, so the joins between them are left to AQE, which
-broadcasts them after measuring their real size.
+the weekly player volume; joins against them broadcast them
+(``functions.joins.bounded``).
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sideline.functions.joins import bounded
 from sideline.functions.exprs import (
     AFTERNOON_START_MIN, EVENING_START_MIN, PLAYOFF_TYPES, PRIMETIME_ALWAYS_DAYS,
     PRIMETIME_LATE_DAYS, clock_minutes, empty_to_null, flag_sum,
@@ -109,7 +110,7 @@ def team_games_enriched(games: DataFrame) -> DataFrame:
     """
     rec = season_record(games).select(
         "season", F.col("team").alias("opp"), (F.col("win_pct") >= 0.5).alias("opp_is_500_plus"))
-    return games.join(rec, ["season", "opp"]).select(*TEAM_GAME_COLUMNS, "opp_is_500_plus")
+    return games.join(bounded(rec), ["season", "opp"]).select(*TEAM_GAME_COLUMNS, "opp_is_500_plus")
 
 
 def _dec(c):

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sideline.functions.exprs import PLAYOFF_TYPES, name_or_display, round_int, strip_ws
+from sideline.functions.joins import bounded
 from sideline.operators.games import played
 from sideline.operators.maintain import assert_unique
 
@@ -48,7 +49,7 @@ def qb_games(enriched: DataFrame, primary: DataFrame) -> DataFrame:
         "game_id", "season", "week", "game_type", "gamedate", "gametime", "weekday",
         "team", "opp", "is_home", "is_playoff", "is_primetime", "is_morning",
         "is_afternoon", "is_evening", "win_pts", "opp_is_500_plus")
-    return g.join(primary, ["season", "week", "team"]).select(
+    return g.join(bounded(primary), ["season", "week", "team"]).select(
         *g.columns, "qb_id", "qb_name", "attempts", "passing_yards")
 
 
@@ -91,5 +92,5 @@ def coach_map(schedules: DataFrame, feed: DataFrame, validate: bool = True) -> D
 
 def coach_games(enriched: DataFrame, coaches: DataFrame) -> DataFrame:
     """Team games with the team's head coach that week (inner join)."""
-    return enriched.join(coaches, ["season", "week", "team"]).select(
+    return enriched.join(bounded(coaches), ["season", "week", "team"]).select(
         *enriched.columns, "head_coach")

@@ -1,8 +1,8 @@
 """Player-game base and the per-position season, all-time and rolling marts.
 
 ``player_games`` joins the weekly player fact (grows with data) with the
-enriched team games (bounded by the calendar).  AQE broadcasts the team side
-after measuring it; the player side is never shuffled for that join.
+enriched team games (bounded by the calendar: seasons x weeks x teams rows),
+which is broadcast, so the player side is never shuffled for that join.
 
 Position marts are one hash aggregate each (partial + final); the rolling
 marts use a window over (player_id, season) whose partitions hold one row per
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sideline.functions.joins import bounded
 from sideline.functions.exprs import filter_sum, first_present, name_or_display, round_avg, round_int
 
 # Alternative source names for each measure, in order of preference (fixed
@@ -86,7 +87,7 @@ def player_games(weekly: DataFrame, enriched: DataFrame) -> DataFrame:
     )
     g = enriched.select("season", "week", "team", "game_id", "game_type",
                         "is_home", "is_playoff", "is_primetime")
-    j = hw.join(g, ["season", "week", "team"])
+    j = hw.join(bounded(g), ["season", "week", "team"])
     return j.select(
         *PLAYER_GAME_COLUMNS[:-3],
         (F.col("rushing_yards") + F.col("receiving_yards")).alias("scrimmage_yards"),
@@ -98,7 +99,7 @@ def player_games(weekly: DataFrame, enriched: DataFrame) -> DataFrame:
 def join_loss(weekly: DataFrame, enriched: DataFrame) -> DataFrame:
     """Weekly rows that find no team game (code mismatch or bye): a check."""
     g = enriched.select("season", "week", "team").withColumnRenamed("team", "recent_team")
-    return weekly.join(g, ["season", "week", "recent_team"], "left_anti")
+    return weekly.join(bounded(g), ["season", "week", "recent_team"], "left_anti")
 
 
 # Position marts: ordered (output, kind, source) triples.  Kinds: sum, avg3

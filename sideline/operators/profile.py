@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sideline.functions.exprs import ratio, round_avg
+from sideline.functions.joins import bounded
 from sideline.operators.games import played
 
 SAMPLE_VALUES = 5
@@ -71,10 +72,10 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
                .agg(F.array_join(F.transform(
                    F.array_sort(F.collect_list(F.struct("rn", F.substring("v", 1, SAMPLE_CHARS).alias("v")))),
                    lambda s: s["v"]), ", ").alias("examples")))
-    out = per_col.join(samples, "column_name", "left")
+    out = per_col.join(bounded(samples), "column_name", "left")
     if exact:
         counts = distinct_vals.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
-        out = out.join(counts, "column_name", "left")
+        out = out.join(bounded(counts), "column_name", "left")
         distinct = F.coalesce(F.col("distinct_count"), F.lit(0))
     else:
         distinct = F.col("approx")

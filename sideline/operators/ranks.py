@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sideline.functions.exprs import dash_key
+from sideline.functions.joins import bounded
 
 RANK_POSITIONS = ("QB", "RB", "WR", "TE")
 # Yards that count against a defence for each position group (fixed values).
@@ -106,8 +107,8 @@ def player_games_keys(player_games: DataFrame) -> DataFrame:
 def player_games_vs_def_rank(keys: DataFrame, ranks: DataFrame) -> DataFrame:
     """Each player game with the rank of the defence it faced (NULL if unranked).
 
-    The rank table has (seasons x teams x 4) rows, bounded by the calendar;
-    AQE broadcasts it after measuring it.
+    The rank table has (seasons x teams x 4) rows, bounded by the calendar,
+    and is broadcast; the player side streams through without a shuffle.
     """
     r = ranks.select(F.col("season_team_pos").alias("opp_season_team_pos"), "def_rank_pos")
-    return keys.join(r, "opp_season_team_pos", "left").select(*keys.columns, "def_rank_pos")
+    return keys.join(bounded(r), "opp_season_team_pos", "left").select(*keys.columns, "def_rank_pos")

@@ -14,9 +14,10 @@ Plan shape (what scales):
 * Team totals per month come from that same aggregate (a supplier has one
   nation), so both facts share one scan of ``lineitem``; inside one query the
   shared exchange is reused.
-* The round-robin slot table has (distinct months) x 25 rows, bounded by the
-  calendar and not by data volume; it and ``nation`` (25 rows) are the only
-  broadcast sides.
+* Games come from the team-month aggregate (months x 25 rows, bounded by the
+  calendar, not by data volume) in one more grouped aggregate; the weekly
+  opponent is a computed code.  ``nation`` (25 rows) is the only broadcast
+  side.
 """
 
 from __future__ import annotations
@@ -92,18 +93,9 @@ def team_months(player_months: DataFrame) -> DataFrame:
     return player_months.groupBy("season", "week", "nk").agg(F.sum("items").alias("items"))
 
 
-def slots(team_month: DataFrame) -> DataFrame:
-    """Round robin: (season, week, i, j), each team ``i`` meets ``j``; i = j is a bye.
-
-    Built by exploding the 25 team codes per played month (no cross join).
-    """
-    weeks = team_month.select("season", "week").distinct()
-    return (
-        weeks
-        .select("season", "week", F.explode(F.sequence(F.lit(0), F.lit(TEAMS - 1))).alias("i"))
-        .withColumn("j", F.pmod(F.col("season") * 12 + F.col("week") - F.col("i") + TEAMS,
-                                F.lit(TEAMS)))
-    )
+def opponent_code(season, week, code):
+    """Round-robin opponent of team ``code`` that week (itself = bye)."""
+    return F.pmod(season * 12 + week - code + TEAMS, F.lit(TEAMS))
 
 
 def _names(nation: DataFrame, key: str, name: str) -> DataFrame:
@@ -117,23 +109,38 @@ def _coach(key, week, season):
                             F.lit(" ")))
 
 
+def game_items(team_month: DataFrame) -> DataFrame:
+    """(season, week, hk, ak, h_items, a_items): every round-robin game of every month.
+
+    Each team-month row is exploded over the 25 team codes ``i`` (so every
+    month with any shipment lists all of its games, played or not); every
+    non-bye code ``i`` is paired with its opponent ``j``, and one grouped
+    aggregate per game picks up each side's shipped rows (NULL if none).
+    The input is the team-month aggregate, bounded by months x 25.
+    """
+    season, week = F.col("season"), F.col("week")
+    i = F.col("i")
+    j = opponent_code(season, week, i)
+    lo, hi = F.least(i, j), F.greatest(i, j)
+    home_first = F.pmod(lo + week, F.lit(2)) == 0
+    codes = team_month.select("season", "week", "nk", "items",
+                              F.explode(F.sequence(F.lit(0), F.lit(TEAMS - 1))).alias("i"))
+    sides = (codes.where(i != j)
+             .select("season", "week", "nk", "items", "i",
+                     F.when(home_first, lo).otherwise(hi).alias("hk"),
+                     F.when(home_first, hi).otherwise(lo).alias("ak")))
+    own = F.col("nk") == i
+    return sides.groupBy("season", "week", "hk", "ak").agg(
+        F.max(F.when(own & (i == F.col("hk")), F.col("items"))).alias("h_items"),
+        F.max(F.when(own & (i == F.col("ak")), F.col("items"))).alias("a_items"))
+
+
 def hist_schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per game: the schedule fact table (game_id unique)."""
     nation = read_table(spark, sf_dir, "nation")
-    tm = team_months(_player_months(spark, sf_dir))
-    sl = slots(tm)
-    home_first = F.pmod(F.col("i") + F.col("week"), F.lit(2)) == 0
-    pairs = (sl.where(F.col("i") < F.col("j"))
-             .select("season", "week",
-                     F.when(home_first, F.col("i")).otherwise(F.col("j")).alias("hk"),
-                     F.when(home_first, F.col("j")).otherwise(F.col("i")).alias("ak")))
-    home_items = tm.select("season", "week", F.col("nk").alias("hk"), F.col("items").alias("h_items"))
-    away_items = tm.select("season", "week", F.col("nk").alias("ak"), F.col("items").alias("a_items"))
-    g = (pairs
+    g = (game_items(team_months(_player_months(spark, sf_dir)))
          .join(_names(nation, "hk", "home_team"), "hk")
-         .join(_names(nation, "ak", "away_team"), "ak")
-         .join(F.broadcast(home_items), ["season", "week", "hk"], "left")
-         .join(F.broadcast(away_items), ["season", "week", "ak"], "left"))
+         .join(_names(nation, "ak", "away_team"), "ak"))
     season, week, hk, ak = F.col("season"), F.col("week"), F.col("hk"), F.col("ak")
     ww = F.lpad(week.cast("string"), 2, "0")
     weekday = F.element_at(F.array(*[F.lit(d) for d in WEEKDAY_BY_CODE]), F.pmod(hk + week, F.lit(7)) + 1)
@@ -159,14 +166,15 @@ def hist_schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hist_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (player, season, week): the weekly player fact table."""
+    """One row per (player, season, week): the weekly player fact table.
+
+    The opponent is the round-robin partner of the player's team that month
+    (a computed code, NULL in a bye week), so no join with the schedule.
+    """
     nation = read_table(spark, sf_dir, "nation")
     pm = _player_months(spark, sf_dir)
-    opp = (slots(team_months(pm))
-           .select("season", "week", F.col("i").alias("nk"),
-                   F.when(F.col("i") != F.col("j"), F.col("j")).alias("ok")))
-    w = (pm
-         .join(F.broadcast(opp), ["season", "week", "nk"], "left")
+    ok = opponent_code(F.col("season"), F.col("week"), F.col("nk"))
+    w = (pm.withColumn("ok", F.when(ok != F.col("nk"), ok))
          .join(_names(nation, "nk", "recent_team"), "nk")
          .join(_names(nation, "ok", "opponent_team"), "ok", "left"))
     key = F.col("suppkey")
