@@ -12,6 +12,7 @@ week a player played, so no partition can grow with data volume.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -138,6 +139,7 @@ ROLLING_MEASURES = {
 }
 
 
+@lru_cache(maxsize=None)
 def _position_measure(out: str, kind: str, src: str) -> Column:
     c = F.col(src)
     if kind == "sum":

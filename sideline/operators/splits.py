@@ -11,6 +11,7 @@ before the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,9 @@ SITUATIONS = {
 }
 
 
+@lru_cache(maxsize=None)
 def _measure(kind: str, situation: str) -> Column:
+    """One measure column (built once per process: Columns are immutable)."""
     cond = SITUATIONS[situation]()
     wp = F.col("win_pts")
     if kind == "games":
@@ -47,16 +50,21 @@ def _measure(kind: str, situation: str) -> Column:
     return expr.alias(f"{kind}_{situation}")
 
 
-def record_columns() -> list[Column]:
+@lru_cache(maxsize=None)
+def _record_columns() -> tuple[Column, ...]:
     """games, wins, losses, ties, win_pct (4 dp, half-up on the exact ratio)."""
     wp = F.col("win_pts")
-    return [
+    return (
         F.count(F.lit(1)).alias("games"),
         flag_sum(wp == 1).alias("wins"),
         flag_sum(wp == 0).alias("losses"),
         flag_sum(wp == 0.5).alias("ties"),
         ratio(F.sum(wp), F.count(F.lit(1)), 4).alias("win_pct"),
-    ]
+    )
+
+
+def record_columns() -> list[Column]:
+    return list(_record_columns())
 
 
 def record_splits(games: DataFrame, keys: Sequence[str],

@@ -18,6 +18,7 @@ from sideline.operators import profile as PR
 from sideline.operators.games import vs500_leaderboard
 from sideline.operators.players import join_loss, rb_home_away_splits
 from sideline.plans import leaders as L
+from sideline.plans import warehouse as WH
 from sideline.plans.marts import Marts
 from sideline.sources import fixtures as FX
 
@@ -32,7 +33,16 @@ VS500_MIN_GAMES = 50
 
 
 def facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return FX.hist_schedules(spark, sf_dir), FX.hist_weekly(spark, sf_dir)
+    """The loaded fact tables (derived from the driver tables once per input)."""
+    return WH.facts(spark, sf_dir)
+
+
+def schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts(spark, sf_dir)[0]
+
+
+def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts(spark, sf_dir)[1]
 
 
 def marts(spark: SparkSession, sf_dir: str) -> Marts:
@@ -52,7 +62,7 @@ def _latest_weeks(weekly: DataFrame, weeks) -> DataFrame:
 
 def refresh_slices_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weeks 1-4 of the latest season replaced by new rows for weeks 1-3 (+1 yard)."""
-    hw = FX.hist_weekly(spark, sf_dir)
+    hw = weekly(spark, sf_dir)
     slices = _latest_weeks(hw, REFRESH_WEEKS)
     arriving = _latest_weeks(hw, REFRESH_WEEKS_WITH_ROWS)
     incoming = (hw.join(F.broadcast(arriving), ["season", "week"], "left_semi")
@@ -70,8 +80,9 @@ def upsert_coach_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_division_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = FX.division_feed(spark, sf_dir)
-    changed = FX.division_feed(spark, sf_dir, shift=1)
+    hs = schedules(spark, sf_dir)
+    target = FX.division_feed(spark, sf_dir, schedules=hs)
+    changed = FX.division_feed(spark, sf_dir, shift=1, schedules=hs)
     latest = changed.agg(F.max("season").alias("season"))
     incoming = changed.join(F.broadcast(latest), "season", "left_semi")
     return MT.upsert(target, incoming, ["season", "team"])
@@ -79,7 +90,7 @@ def upsert_division_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weekly_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weekly table as a newer feed would send it: other names, text keys, extras."""
-    hw = FX.hist_weekly(spark, sf_dir)
+    hw = weekly(spark, sf_dir)
     feed = hw.select(*[
         (F.when(F.col("player_name").isNull(), F.lit("x")).otherwise(F.col("season").cast("string"))
          .alias("season") if c == "season" else
@@ -97,12 +108,12 @@ def weekly_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def harmonize_weekly_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = FX.hist_weekly(spark, sf_dir).columns
+    target = weekly(spark, sf_dir).columns
     return AL.harmonize(weekly_feed(spark, sf_dir), target)
 
 
 def schema_drift_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = FX.hist_weekly(spark, sf_dir).columns
+    target = weekly(spark, sf_dir).columns
     return AL.schema_drift(weekly_feed(spark, sf_dir), target)
 
 
@@ -113,7 +124,7 @@ def check_keys_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("hist_weekly.player_season_week", m.weekly, ["player_id", "season", "week"], []),
         ("dim_team_head_coach.pk", m.coach_map, ["season", "week", "team"], ["head_coach"]),
         ("v_team_games_enriched.season_week_team", m.team_games_enriched, ["season", "week", "team"], []),
-        ("dim_team_division.pk", FX.division_feed(spark, sf_dir), ["season", "team"], []),
+        ("dim_team_division.pk", FX.division_feed(spark, sf_dir, schedules=m.schedules), ["season", "team"], []),
     ])
 
 
@@ -137,8 +148,8 @@ def team_card(m: Marts, team: str = TEAM_CARD) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     # sources
-    "scan_schedules": lambda s, d: FX.hist_schedules(s, d),
-    "scan_weekly": lambda s, d: FX.hist_weekly(s, d),
+    "scan_schedules": schedules,
+    "scan_weekly": weekly,
     # team games and splits
     "team_games": _m(lambda m: m.team_games),
     "team_season_record": _m(lambda m: m.team_season_record),
@@ -149,7 +160,7 @@ QUERIES: dict[str, Query] = {
     "team_alltime_wide": _m(lambda m: m.team_alltime_wide),
     "team_last_season_wide": _m(lambda m: m.team_last_season_wide),
     "team_card": _m(team_card),
-    "vs500_leaderboard": lambda s, d: vs500_leaderboard(FX.hist_schedules(s, d), VS500_MIN_GAMES),
+    "vs500_leaderboard": lambda s, d: vs500_leaderboard(schedules(s, d), VS500_MIN_GAMES),
     # quarterbacks and coaches
     "qb_primary_game": _m(lambda m: m.qb_primary_game),
     "qb_games": _m(lambda m: m.qb_games),
@@ -201,7 +212,7 @@ QUERIES: dict[str, Query] = {
     "qb_leaders_alltime": _m(L.qb_leaders_alltime),
     "qb_hot_last3": _m(L.qb_hot_last3),
     "def_rank_qb_top10": _m(L.def_rank_qb_top10),
-    "scored_sample": lambda s, d: L.scored_sample(FX.hist_schedules(s, d)),
+    "scored_sample": lambda s, d: L.scored_sample(schedules(s, d)),
     "player_games_latest": _m(L.player_games_latest),
     # maintenance and alignment
     "refresh_slices": refresh_slices_q,
@@ -211,13 +222,13 @@ QUERIES: dict[str, Query] = {
     "row_counts": row_counts_q,
     "harmonize_weekly": harmonize_weekly_q,
     "schema_drift": schema_drift_q,
-    "completed_weeks": lambda s, d: PR.completed_weeks(FX.hist_schedules(s, d)),
+    "completed_weeks": lambda s, d: PR.completed_weeks(schedules(s, d)),
     # profiles and coverage
-    "profile_schedules": lambda s, d: PR.profile(FX.hist_schedules(s, d)),
-    "profile_weekly": lambda s, d: PR.profile(FX.hist_weekly(s, d)),
-    "season_range": lambda s, d: PR.season_range(FX.hist_schedules(s, d)),
-    "games_by_season": lambda s, d: PR.games_by_season(FX.hist_schedules(s, d)),
-    "weekly_rows_by_season": lambda s, d: PR.weekly_rows_by_season(FX.hist_weekly(s, d)),
-    "position_counts": lambda s, d: PR.position_counts(FX.hist_weekly(s, d)),
-    "team_codes": lambda s, d: PR.team_codes(FX.hist_schedules(s, d)),
+    "profile_schedules": lambda s, d: PR.profile(schedules(s, d)),
+    "profile_weekly": lambda s, d: PR.profile(weekly(s, d)),
+    "season_range": lambda s, d: PR.season_range(schedules(s, d)),
+    "games_by_season": lambda s, d: PR.games_by_season(schedules(s, d)),
+    "weekly_rows_by_season": lambda s, d: PR.weekly_rows_by_season(weekly(s, d)),
+    "position_counts": lambda s, d: PR.position_counts(weekly(s, d)),
+    "team_codes": lambda s, d: PR.team_codes(schedules(s, d)),
 }

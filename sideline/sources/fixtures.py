@@ -204,7 +204,8 @@ def coach_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "game_id", "season", "week", "game_type", "home_coach", "away_coach")
 
 
-def division_feed(spark: SparkSession, sf_dir: str, shift: int = 0) -> DataFrame:
+def division_feed(spark: SparkSession, sf_dir: str, shift: int = 0,
+                  schedules: DataFrame | None = None) -> DataFrame:
     """(season, team, conference, division) for every team seen in a season.
 
     Conference is the nation's region, division the nation key mod 4 (shifted
@@ -218,7 +219,8 @@ def division_feed(spark: SparkSession, sf_dir: str, shift: int = 0) -> DataFrame
              .select(F.col("n_name").alias("team"), F.col("r_name").alias("conference"),
                      F.concat(F.lit("D"), F.pmod(F.col("n_nationkey") + shift, F.lit(4)).cast("string"))
                      .alias("division")))
-    seen = (hist_schedules(spark, sf_dir)
+    schedules = hist_schedules(spark, sf_dir) if schedules is None else schedules
+    seen = (schedules
             .select("season", F.explode(F.array("home_team", "away_team")).alias("team"))
             .distinct())
     return (seen.join(F.broadcast(teams), "team")
