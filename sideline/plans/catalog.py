@@ -18,6 +18,7 @@ from sideline.operators import profile as PR
 from sideline.operators.games import vs500_leaderboard
 from sideline.operators.players import join_loss, rb_home_away_splits
 from sideline.plans import leaders as L
+from sideline.plans import pipelines as PP
 from sideline.plans import warehouse as WH
 from sideline.plans.marts import Marts
 from sideline.sources import fixtures as FX
@@ -117,6 +118,12 @@ def schema_drift_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return AL.schema_drift(weekly_feed(spark, sf_dir), target)
 
 
+def in_season_refresh_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completed weeks of the latest season re-delivered by the feeds; rows per slice."""
+    hs, hw = facts(spark, sf_dir)
+    return PP.in_season_refresh(hs, hw, hs, weekly_feed(spark, sf_dir)).counts
+
+
 def check_keys_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = marts(spark, sf_dir)
     return MT.check_keys([
@@ -223,6 +230,7 @@ QUERIES: dict[str, Query] = {
     "harmonize_weekly": harmonize_weekly_q,
     "schema_drift": schema_drift_q,
     "completed_weeks": lambda s, d: PR.completed_weeks(schedules(s, d)),
+    "in_season_refresh": in_season_refresh_q,
     # profiles and coverage
     "profile_schedules": lambda s, d: PR.profile(schedules(s, d)),
     "profile_weekly": lambda s, d: PR.profile(weekly(s, d)),
