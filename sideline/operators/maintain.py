@@ -10,24 +10,40 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_KEYS = ["season", "week"]
 
 
+def _guard(keys: Sequence[str], what: str) -> Column:
+    key_text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    return (F.when(F.col("_n_key") > 1,
+                   F.raise_error(F.concat(F.lit(f"{what}: duplicate key "), key_text)))
+            .otherwise(F.lit(True)))
+
+
+def unique_keys(df: DataFrame, keys: Sequence[str], what: str = "keys") -> DataFrame:
+    """The distinct keys of ``df``, failing the job if a key occurs more than once.
+
+    A grouped count (partial aggregation first, so a hot key is combined
+    map-side, never gathered in one task) with a ``raise_error`` guard.
+    Lazy: no extra action, no collect.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_key"))
+    return counts.where(_guard(keys, what)).select(*keys)
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "keys") -> DataFrame:
-    """Pass ``df`` through, failing the job if a key occurs more than once.
+    """``df`` itself, with a run-time failure if a key occurs more than once.
 
-    Lazy: a per-key count over a window hash-partitioned on ``keys`` (a later
-    join or aggregate on the same keys reuses that partitioning) and a
-    ``raise_error`` on the first duplicate.  No extra action, no collect.
+    Same grouped form as ``unique_keys``: one row per key carrying the other
+    columns (``first`` of a one-row group is the row itself).
     """
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    key_text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
-    guard = F.when(F.col("_n_key") > 1,
-                   F.raise_error(F.concat(F.lit(f"{what}: duplicate key "), key_text))).otherwise(F.lit(True))
-    return df.withColumn("_n_key", n).where(guard).drop("_n_key")
+    others = [c for c in df.columns if c not in set(keys)]
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_key"),
+                                    *[F.first(c).alias(c) for c in others])
+    return grouped.where(_guard(keys, what)).select(*df.columns)
 
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
@@ -38,10 +54,10 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     others stay.  A repeated key in ``incoming`` fails the job, like the
     database would.  Upserting twice gives the same table as once.
     """
-    if check_unique:
-        incoming = assert_unique(incoming, keys, "upsert: incoming batch")
     incoming = incoming.select(*target.columns)
-    kept = target.join(incoming.select(*keys), list(keys), "left_anti")
+    arriving = (unique_keys(incoming, keys, "upsert: incoming batch") if check_unique
+                else incoming.select(*keys))
+    kept = target.join(arriving, list(keys), "left_anti")
     return kept.unionByName(incoming)
 
 
