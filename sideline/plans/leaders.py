@@ -8,7 +8,7 @@ closes every ordering, so ties cannot make the result depend on the plan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sideline.operators.games import in_latest_season, played
@@ -123,10 +123,17 @@ def rb_home_away_top(m: Marts, k: int = 25) -> DataFrame:
 
 
 def def_rank_qb_top10(m: Marts, k: int = 10, group: str = "QB") -> DataFrame:
-    """Best defences against a position in the latest season *of the rank view*."""
-    r = m.def_rank_by_pos.where(F.col("position_group") == group)
-    latest = m.def_rank_by_pos.agg(F.max("season").alias("season"))
-    r = r.join(F.broadcast(latest), "season", "left_semi")
+    """Best defences against a position in the latest season *of the rank view*.
+
+    Every season of the view has all four position groups, so the latest
+    season per group is the view's latest season; a window per group (at
+    most seasons x teams rows, bounded by the calendar) finds it in the same
+    branch, instead of a second evaluation of the whole rank view.
+    """
+    latest = F.max("season").over(Window.partitionBy("position_group"))
+    r = (m.def_rank_by_pos.where(F.col("position_group") == group)
+         .withColumn("_latest", latest)
+         .where(F.col("season") == F.col("_latest")))
     return top(r, [a("def_rank_pos"), a("team")], k,
                ["season", "team", "position_group", "yards_per_game", "def_rank_pos"])
 
