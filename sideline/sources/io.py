@@ -83,6 +83,33 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def next_version_path(base: str, version: int) -> str:
-    """Folder for version ``version`` of a table kept as immutable versions."""
-    return os.path.join(base, f"v{version:06d}")
+def overwrite_slices(df: DataFrame, path: str, slices: Iterable[tuple[int, int]],
+                     partition_by: Sequence[str] = ("season", "week")) -> list[tuple[int, int]]:
+    """Replace the listed (season, week) partitions of a table with ``df``'s rows.
+
+    Partitions ``df`` has rows for are rewritten by Spark's dynamic
+    partition overwrite (only those partitions: O(slice), not O(table));
+    listed partitions without new rows are deleted, so every listed week
+    ends up holding exactly the new rows.  Only the distinct slice keys of
+    ``df`` reach the driver (at most the listed slices).  Running it twice
+    with the same input gives the same table.  Returns the emptied slices.
+    """
+    spark = df.sparkSession
+    listed = {(int(s), int(w)) for s, w in slices}
+    present = {(int(r[0]), int(r[1])) for r in df.select(*partition_by).distinct().collect()}
+    outside = present - listed
+    if outside:
+        raise ValueError(f"rows outside the listed slices: {sorted(outside)[:5]}")
+    if present:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(path))
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    emptied = []
+    for season, week in sorted(listed - present):
+        part = jvm.org.apache.hadoop.fs.Path(root, f"{partition_by[0]}={season}/{partition_by[1]}={week}")
+        if fs.exists(part):
+            fs.delete(part, True)
+        emptied.append((season, week))
+    return emptied

@@ -3,15 +3,15 @@
 New weekly files land in a folder during the season.  A file-source stream
 picks them up; every micro-batch is aligned to the table's schema
 (``align.harmonize`` + ``conform``) and the (season, week) slices it carries
-are refreshed with ``maintain.refresh_slices`` (delete the slices, add the
-new rows).
-
-Exactly once, no in-place mutation: the table is kept as immutable version
-folders ``v000000, v000001, ...`` under ``table_dir``.  Micro-batch ``e``
-reads version ``e`` and writes version ``e + 1`` with overwrite, so a batch
-replayed after a failure reads the same input and rewrites the same output;
-readers take the highest complete version.  The stream's own progress lives
-in ``checkpoint_dir``, which on a cluster must be a shared folder.
+replace those slices of the table.
+
+The table is parquet partitioned by (season, week).  A micro-batch rewrites
+only the partitions it carries, with Spark's dynamic partition overwrite
+(``sources.io.overwrite_slices``): the work is proportional to the new
+slices, not to the table.  Rewriting a partition with the same rows is
+idempotent, so a micro-batch replayed after a failure (the stream's
+progress lives in ``checkpoint_dir``, a shared folder on a cluster) leaves
+the same table: effectively exactly once.
 """
 
 from __future__ import annotations
@@ -21,61 +21,49 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sideline.operators.align import conform, harmonize
-from sideline.operators.maintain import refresh_slices
-from sideline.sources.io import next_version_path, write_table
+from sideline.schemas import HIST_WEEKLY
+from sideline.sources.io import overwrite_slices, write_table
 
-DONE_MARKER = "_SUCCESS"
+PARTITIONS = ("season", "week")
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
+def init_table(df: DataFrame, table_dir: str) -> str:
+    """Write ``df`` as the (season, week)-partitioned table."""
+    return write_table(df.hint("rebalance", *PARTITIONS), table_dir, "overwrite", PARTITIONS)
 
-def versions(spark: SparkSession, table_dir: str) -> list[int]:
-    """Complete versions (folders with a success marker), ascending."""
-    fs, base = _fs(spark, table_dir)
-    if not fs.exists(base):
-        return []
-    out = []
-    for st in fs.listStatus(base):
-        name = st.getPath().getName()
-        if name.startswith("v") and name[1:].isdigit() and fs.exists(
-                spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), DONE_MARKER)):
-            out.append(int(name[1:]))
-    return sorted(out)
 
+def read_table(spark: SparkSession, table_dir: str, schema: T.StructType = HIST_WEEKLY) -> DataFrame:
+    """The table in its schema's column order (partition columns typed by the schema)."""
+    return spark.read.schema(schema).parquet(table_dir).select(*schema.fieldNames())
 
-def read_current(spark: SparkSession, table_dir: str) -> DataFrame:
-    """The latest complete version of a versioned table."""
-    vs = versions(spark, table_dir)
-    if not vs:
-        raise FileNotFoundError(f"no complete version under {table_dir}")
-    return spark.read.parquet(next_version_path(table_dir, vs[-1]))
 
+def refresh_batch(batch: DataFrame, table_dir: str, schema: T.StructType = HIST_WEEKLY,
+                  rejects_dir: str | None = None, epoch_id: int = 0) -> list:
+    """Align one batch of feed rows and replace the slices it carries.
 
-def init_table(df: DataFrame, table_dir: str) -> str:
-    """Write ``df`` as version 0 of a versioned table."""
-    return write_table(df, next_version_path(table_dir, 0), "overwrite", ("season",))
+    Rows whose season or week did not parse cannot be placed in a slice;
+    with ``rejects_dir`` they are written to ``rejects_dir/epoch=<id>``
+    (overwritten on replay) instead of being dropped silently.
+    """
+    incoming = conform(harmonize(batch, schema.fieldNames()), schema).persist()
+    try:
+        placed = incoming.season.isNotNull() & incoming.week.isNotNull()
+        good = incoming.where(placed)
+        slices = [(r[0], r[1]) for r in good.select(*PARTITIONS).distinct().collect()]
+        overwrite_slices(good, table_dir, slices, PARTITIONS)
+        if rejects_dir is not None:
+            write_table(incoming.where(~placed), f"{rejects_dir.rstrip('/')}/epoch={epoch_id}", "overwrite")
+        return slices
+    finally:
+        incoming.unpersist()
 
 
 def start_weekly_refresh(spark: SparkSession, landing_dir: str, table_dir: str,
                          checkpoint_dir: str, feed_schema: T.StructType,
-                         available_now: bool = True) -> StreamingQuery:
+                         available_now: bool = True, rejects_dir: str | None = None) -> StreamingQuery:
     """Start the refresh stream; ``available_now`` processes what has landed, then stops."""
-    first = versions(spark, table_dir)
-    if not first:
-        raise FileNotFoundError(f"initialise {table_dir} with init_table() first")
-    base_version = first[0]
-
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        src = next_version_path(table_dir, base_version + epoch_id)
-        target = spark.read.parquet(src)
-        incoming = conform(harmonize(batch, target.columns), target.schema)
-        slices = incoming.select("season", "week").distinct()
-        out = refresh_slices(target, incoming, slices)
-        write_table(out, next_version_path(table_dir, base_version + epoch_id + 1), "overwrite", ("season",))
+        refresh_batch(batch, table_dir, rejects_dir=rejects_dir, epoch_id=epoch_id)
 
     writer = (spark.readStream.schema(feed_schema).parquet(landing_dir)
               .writeStream.foreachBatch(apply)
