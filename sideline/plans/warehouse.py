@@ -43,7 +43,8 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     for t in SOURCE_TABLES:
         fs, p, _ = _hadoop(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
         st = fs.getFileStatus(p)
-        h.update(f"{t}:{st.getLen()}:{st.getModificationTime()}".encode())
+        size = fs.getContentSummary(p).getLength() if st.isDirectory() else st.getLen()
+        h.update(f"{t}:{size}:{st.getModificationTime()}".encode())
     return h.hexdigest()[:16]
 
 
