@@ -37,9 +37,13 @@ def latest_season(schedules: DataFrame) -> DataFrame:
 def in_latest_season(df: DataFrame, schedules: DataFrame) -> DataFrame:
     """Rows of ``df`` whose season is the latest season of the schedule.
 
-    A semi-join with the one-row maximum (broadcast by size: it is one row).
+    ``season = (SELECT MAX(season) FROM schedules)`` as a scalar subquery:
+    Catalyst pushes the predicate through aggregates grouped by season and
+    through joins on season down to the scans, where it becomes a runtime
+    partition filter of a season-partitioned table (only the latest
+    season's files are read).
     """
-    return df.join(F.broadcast(latest_season(schedules)), "season", "left_semi")
+    return df.where(F.col("season") == latest_season(schedules).scalar())
 
 
 def team_games(schedules: DataFrame) -> DataFrame:

@@ -133,8 +133,7 @@ def completed_weeks(schedules: DataFrame, season: int | None = None,
     """
     s = played(schedules).where(F.col("game_type") == game_type)
     if season is None:
-        latest = schedules.agg(F.max("season").alias("season"))
-        s = s.join(F.broadcast(latest), "season", "left_semi")
+        s = s.where(F.col("season") == schedules.agg(F.max("season")).scalar())
     else:
         s = s.where(F.col("season") == season)
     return s.select(F.col("season").cast("int").alias("season"),
