@@ -55,11 +55,15 @@ def warehouse_dir(spark: SparkSession, sf_dir: str) -> str:
 def _write_facts(spark: SparkSession, sf_dir: str, out: str) -> None:
     fs, final, jvm = _hadoop(spark, out)
     tmp = f"{out}.tmp-{uuid.uuid4().hex[:8]}"
+    # ``lineitem`` is aggregated once per (supplier, month) and checkpointed
+    # (reliably, into the shared checkpoint folder); both facts derive from it.
+    months = FX.player_months(spark, sf_dir).checkpoint(eager=True)
     # The schedule is bounded by the calendar: one file.  The weekly fact is
     # rebalanced on season before the partitioned write: AQE splits big
     # seasons into advisory-size files and merges small ones.
-    FX.hist_schedules(spark, sf_dir).coalesce(1).write.mode("overwrite").parquet(f"{tmp}/hist_schedules")
-    (FX.hist_weekly(spark, sf_dir).hint("rebalance", "season").write.mode("overwrite")
+    (FX.hist_schedules(spark, sf_dir, months).coalesce(1).write.mode("overwrite")
+     .parquet(f"{tmp}/hist_schedules"))
+    (FX.hist_weekly(spark, sf_dir, months).hint("rebalance", "season").write.mode("overwrite")
      .partitionBy("season").parquet(f"{tmp}/hist_weekly"))
     fs.create(jvm.org.apache.hadoop.fs.Path(tmp, _MARKER)).close()
     fs.mkdirs(final.getParent())

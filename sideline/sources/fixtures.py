@@ -82,7 +82,12 @@ def supplier_months(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def _player_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+def player_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (supplier, season, week) measures with the supplier's name and nation.
+
+    Both facts derive from this frame; the load step checkpoints it once so
+    ``lineitem`` is aggregated once for both.
+    """
     supplier = read_table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("suppkey"), "s_name", F.col("s_nationkey").alias("nk"))
     return supplier_months(read_table(spark, sf_dir, "lineitem")).join(supplier, "suppkey")
@@ -135,10 +140,11 @@ def game_items(team_month: DataFrame) -> DataFrame:
         F.max(F.when(own & (i == F.col("ak")), F.col("items"))).alias("a_items"))
 
 
-def hist_schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hist_schedules(spark: SparkSession, sf_dir: str, months: DataFrame | None = None) -> DataFrame:
     """One row per game: the schedule fact table (game_id unique)."""
     nation = read_table(spark, sf_dir, "nation")
-    g = (game_items(team_months(_player_months(spark, sf_dir)))
+    pm = player_months(spark, sf_dir) if months is None else months
+    g = (game_items(team_months(pm))
          .join(_names(nation, "hk", "home_team"), "hk")
          .join(_names(nation, "ak", "away_team"), "ak"))
     season, week, hk, ak = F.col("season"), F.col("week"), F.col("hk"), F.col("ak")
@@ -165,14 +171,14 @@ def hist_schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def hist_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hist_weekly(spark: SparkSession, sf_dir: str, months: DataFrame | None = None) -> DataFrame:
     """One row per (player, season, week): the weekly player fact table.
 
     The opponent is the round-robin partner of the player's team that month
     (a computed code, NULL in a bye week), so no join with the schedule.
     """
     nation = read_table(spark, sf_dir, "nation")
-    pm = _player_months(spark, sf_dir)
+    pm = player_months(spark, sf_dir) if months is None else months
     ok = opponent_code(F.col("season"), F.col("week"), F.col("nk"))
     w = (pm.withColumn("ok", F.when(ok != F.col("nk"), ok))
          .join(_names(nation, "nk", "recent_team"), "nk")
