@@ -82,3 +82,23 @@ def test_streaming_refresh_matches_batch_refresh(spark):
     q2.awaitTermination(120)
     again = RS.read_table(spark, table)
     assert sorted(map(tuple, again.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+
+
+def test_replace_append_and_csv_exports(spark):
+    d = scratch()
+    t = os.path.join(d, "t")
+    IO.write_table(spark.createDataFrame([(1,), (2,)], "a int"), t)
+    IO.write_table(spark.createDataFrame([(3,)], "a int"), t)  # replace
+    assert [r[0] for r in spark.read.parquet(t).collect()] == [3]
+    assert IO.append_nonempty(spark.createDataFrame([], "a int"), t) is False
+    assert IO.append_nonempty(spark.createDataFrame([(4,)], "a int"), t) is True
+    assert sorted(r[0] for r in spark.read.parquet(t).collect()) == [3, 4]
+    from sideline.operators import align as AL
+    from sideline.operators import profile as PR
+    prof = PR.profile(spark.createDataFrame([(1, "x")], "n int, s string"))
+    IO.write_csv(prof, os.path.join(d, "profile"))
+    back = spark.read.option("header", True).csv(os.path.join(d, "profile"))
+    assert sorted(r["column_name"] for r in back.collect()) == ["n", "s"]
+    drift = AL.schema_drift(spark.createDataFrame([(1, 2)], "team int, extra int"), ["recent_team"])
+    IO.write_csv(drift, os.path.join(d, "drift"))
+    assert [r["dropped_column"] for r in spark.read.option("header", True).csv(os.path.join(d, "drift")).collect()] == ["extra"]
