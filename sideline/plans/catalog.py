@@ -46,9 +46,22 @@ def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts(spark, sf_dir)[1]
 
 
+_MARTS: dict[tuple[int, str], Marts] = {}
+
+
 def marts(spark: SparkSession, sf_dir: str) -> Marts:
-    hs, hw = facts(spark, sf_dir)
-    return Marts(hs, hw)
+    """The mart layer over the loaded facts of ``sf_dir``.
+
+    The ``Marts`` object only holds lazy plans, so it is reused for the same
+    session and loaded input (keyed by the load folder, which changes when
+    the input changes); every query still executes in full.
+    """
+    key = (id(spark), WH.load_facts(spark, sf_dir))
+    m = _MARTS.get(key)
+    if m is None:
+        hs, hw = facts(spark, sf_dir)
+        m = _MARTS[key] = Marts(hs, hw)
+    return m
 
 
 def _m(fn: Callable[[Marts], DataFrame]) -> Query:
