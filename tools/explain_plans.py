@@ -22,7 +22,10 @@ def summary(df) -> dict:
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
     return {
-        "shuffles": len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition|Exchange RoundRobin", plan)),
+        # distinct shuffle exchanges (a reused subquery prints its exchange once per use)
+        "shuffles": len(set(re.findall(
+            r"(?<!Broadcast)Exchange (?:hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)"
+            r"[^\n]*?\[plan_id=(\d+)\]", plan))),
         "broadcasts": plan.count("BroadcastExchange"),
         "bhj": plan.count("BroadcastHashJoin"),
         "smj": plan.count("SortMergeJoin"),
