@@ -46,7 +46,7 @@ def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts(spark, sf_dir)[1]
 
 
-_MARTS: dict[tuple[int, str], Marts] = {}
+_MARTS: dict[tuple[int, str, str], Marts] = {}
 
 
 def marts(spark: SparkSession, sf_dir: str) -> Marts:
@@ -56,7 +56,7 @@ def marts(spark: SparkSession, sf_dir: str) -> Marts:
     session and loaded input (keyed by the load folder, which changes when
     the input changes); every query still executes in full.
     """
-    key = (id(spark), WH.load_facts(spark, sf_dir))
+    key = (id(spark), spark.sparkContext.applicationId, WH.load_facts(spark, sf_dir))
     m = _MARTS.get(key)
     if m is None:
         hs, hw = facts(spark, sf_dir)

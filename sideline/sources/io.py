@@ -8,7 +8,6 @@ path in one job: a refresh writes its result to a new path.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession

@@ -1,7 +1,6 @@
 """Slice refresh, upsert, key checks and counts."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from sideline.operators import maintain as MT
 

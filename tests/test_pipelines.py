@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from conftest import SF001, game, player
 from sideline.plans import pipelines as PP
-from sideline.plans.marts import Marts
 from sideline.sources import fixtures as FX
 
 
@@ -46,3 +45,16 @@ def test_views_answer_parameterised_sql(spark):
     assert set(names) <= listed
     got = spark.sql("SELECT COUNT(*) AS n FROM t_v_rb_alltime_stats WHERE games >= :g", args={"g": 1}).first()["n"]
     assert got == m.position_alltime("RB").where("games >= 1").count()
+
+
+def test_coach_feed_gives_the_same_map_and_bases_can_be_checkpointed(spark):
+    from sideline.operators import people as P
+    from sideline.plans.catalog import facts
+    from sideline.plans.marts import Marts
+    hs, hw = facts(spark, SF001)
+    via_feed = P.coach_map(hs, FX.coach_feed(spark, SF001))
+    assert sorted(map(tuple, via_feed.collect())) == sorted(map(tuple, P.coach_map(hs, hs).collect()))
+    m = Marts(hs, hw).persist_bases(checkpoint=True)
+    assert m.player_games.count() == Marts(hs, hw).player_games.count()
+    assert "ExistingRDD" in m.player_games._jdf.queryExecution().optimizedPlan().toString() or \
+        "LogicalRDD" in m.player_games._jdf.queryExecution().optimizedPlan().toString()

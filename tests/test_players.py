@@ -1,7 +1,6 @@
 """Player-game base, position marts, rolling windows, QB and coach maps."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import game, player
 from sideline.operators import games as G

@@ -1,6 +1,5 @@
 """Weekly ranks, defence-by-position ranks and composite keys."""
 
-from pyspark.sql import functions as F
 
 from conftest import game, player
 from sideline.operators import games as G
