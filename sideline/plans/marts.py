@@ -206,6 +206,17 @@ class Marts:
             names.append(prefix + name)
         return names
 
+    def columns_frame(self, prefix: str = "") -> DataFrame:
+        """(view_name, ordinal, column_name, data_type) of every view.
+
+        Metadata only (bounded by the schemas' width), built on the driver
+        from the analysed plans; no data is read.
+        """
+        rows = [(prefix + name, i + 1, f.name, f.dataType.simpleString())
+                for name, df in self.views().items() for i, f in enumerate(df.schema.fields)]
+        return self.schedules.sparkSession.createDataFrame(
+            rows, "view_name string, ordinal int, column_name string, data_type string")
+
     def persist_bases(self, checkpoint: bool = False) -> "Marts":
         """Keep the enriched games and player games for repeated reads.
 

@@ -58,3 +58,12 @@ def test_coach_feed_gives_the_same_map_and_bases_can_be_checkpointed(spark):
     assert m.player_games.count() == Marts(hs, hw).player_games.count()
     assert "ExistingRDD" in m.player_games._jdf.queryExecution().optimizedPlan().toString() or \
         "LogicalRDD" in m.player_games._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_view_columns_listing(spark):
+    from sideline.plans.catalog import marts
+    cols = marts(spark, SF001).columns_frame()
+    got = {(r["view_name"], r["column_name"]) for r in cols.collect()}
+    assert ("v_team_alltime_splits", "win_pct_vs_500") in got
+    assert ("v_player_games", "scrimmage_yards") in got
+    assert cols.where("view_name = 'v_qb_rolling3'").count() == 8
