@@ -4,7 +4,8 @@ The source kept its facts as loaded tables and built every mart as a view
 over them.  Here the facts are derived from the driver tables by Spark
 (``sources.fixtures``) and written as parquet into the session's shared
 checkpoint folder (``spark.checkpoint.dir``): the weekly fact partitioned by
-season (season filters prune partitions), the schedule as one small table.
+(season, week) (season filters prune partitions, and the in-season refresh
+rewrites single weeks), the schedule as one small table.
 Every mart then reads these tables instead of re-deriving them from
 ``lineitem`` in each branch of its plan.
 
@@ -29,6 +30,9 @@ from sideline.session import ensure_checkpoint_dir
 from sideline.sources import fixtures as FX
 
 SOURCE_TABLES = ("lineitem", "supplier", "nation")
+# Same layout as the in-season refresh (streaming.refresh), which rewrites
+# single (season, week) partitions of this table.
+WEEKLY_PARTITIONS = ("season", "week")
 _MARKER = "_LOADED"
 
 
@@ -59,12 +63,12 @@ def _write_facts(spark: SparkSession, sf_dir: str, out: str) -> None:
     # (reliably, into the shared checkpoint folder); both facts derive from it.
     months = FX.player_months(spark, sf_dir).checkpoint(eager=True)
     # The schedule is bounded by the calendar: one file.  The weekly fact is
-    # rebalanced on season before the partitioned write: AQE splits big
-    # seasons into advisory-size files and merges small ones.
+    # rebalanced on its partition columns before the partitioned write: AQE
+    # splits big weeks into advisory-size files and merges small ones.
     (FX.hist_schedules(spark, sf_dir, months).coalesce(1).write.mode("overwrite")
      .parquet(f"{tmp}/hist_schedules"))
-    (FX.hist_weekly(spark, sf_dir, months).hint("rebalance", "season").write.mode("overwrite")
-     .partitionBy("season").parquet(f"{tmp}/hist_weekly"))
+    (FX.hist_weekly(spark, sf_dir, months).hint("rebalance", *WEEKLY_PARTITIONS).write.mode("overwrite")
+     .partitionBy(*WEEKLY_PARTITIONS).parquet(f"{tmp}/hist_weekly"))
     fs.create(jvm.org.apache.hadoop.fs.Path(tmp, _MARKER)).close()
     fs.mkdirs(final.getParent())
     if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), final):
