@@ -76,10 +76,20 @@ def ratio(num: Column, den: Column, places: int) -> Column:
     quotient (never on a binary approximation); a zero denominator gives
     NULL.  The result is a double.
     """
-    q = F.try_divide(num.cast("decimal(24,2)"), den.cast("decimal(20,0)"))
+    q = F.try_divide(to_decimal(num), den.cast("decimal(20,0)"))
     return F.round(q, places).cast("double")
 
 
+def to_decimal(c: Column) -> Column:
+    """Exact decimal of a count or a sum: 26 integer and 12 fractional digits.
+
+    A double is taken at its decimal value to 12 places (as a ``real`` is
+    read into ``numeric``); the quotient of two such values keeps 12
+    places, enough to round to 4 places on the exact side of every tie.
+    """
+    return c.cast("decimal(38,12)")
+
+
 def round_avg(c: Column | str, places: int) -> Column:
     """``ROUND(AVG(c), places)`` on the exact average (NULLs ignored)."""
     c = F.col(c) if isinstance(c, str) else c

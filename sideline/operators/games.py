@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sideline.functions.joins import bounded
 from sideline.functions.exprs import (
     AFTERNOON_START_MIN, EVENING_START_MIN, PLAYOFF_TYPES, PRIMETIME_ALWAYS_DAYS,
-    PRIMETIME_LATE_DAYS, clock_minutes, empty_to_null, flag_sum,
+    PRIMETIME_LATE_DAYS, clock_minutes, empty_to_null, flag_sum, to_decimal,
 )
 
 TEAM_GAME_COLUMNS = [
@@ -117,8 +117,6 @@ def team_games_enriched(games: DataFrame) -> DataFrame:
     return games.join(bounded(rec), ["season", "opp"]).select(*TEAM_GAME_COLUMNS, "opp_is_500_plus")
 
 
-def _dec(c):
-    return c.cast("decimal(24,2)")
 
 
 def vs500_leaderboard(schedules: DataFrame, min_games: int = 50,
@@ -144,8 +142,8 @@ def vs500_leaderboard(schedules: DataFrame, min_games: int = 50,
         F.count(F.lit(1)).alias("games_all"),
         F.sum(wp).alias("pts_all"),
     )
-    pct_vs = F.try_divide(_dec(F.col("pts_vs")), F.col("games_vs_500").cast("decimal(20,0)"))
-    pct_all = F.try_divide(_dec(F.col("pts_all")), F.col("games_all").cast("decimal(20,0)"))
+    pct_vs = F.try_divide(to_decimal(F.col("pts_vs")), F.col("games_vs_500").cast("decimal(20,0)"))
+    pct_all = F.try_divide(to_decimal(F.col("pts_all")), F.col("games_all").cast("decimal(20,0)"))
     return (agg.where((F.col("games_vs_500") > 0) & (F.col("games_vs_500") >= min_games))
             .select("team", "games_vs_500",
                     F.round(F.col("pts_vs"), 1).alias("wins_vs_500"),

@@ -102,3 +102,23 @@ def test_refresh_idempotent_and_exact(spark, listed, arriving):
                   [(2020, w, "new") for w in arriving if w in listed])
     assert sorted(map(tuple, once.collect())) == want
     assert sorted(map(tuple, twice.collect())) == want
+
+
+@SETTINGS
+@given(st.lists(st.integers(-10 ** 6, 10 ** 6), min_size=1, max_size=12))
+def test_round_avg_exact_on_fractional_values(spark, cents):
+    # Values with two decimals (e.g. 1.005 is not one of them: 100ths only).
+    from sideline.functions.exprs import round_avg
+    vals = [c / 100 for c in cents]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = df.agg(round_avg("x", 3)).first()[0]
+    exact = Fraction(sum(cents), 100 * len(cents))
+    d = Decimal(exact.numerator) / Decimal(exact.denominator)
+    want = float(d.quantize(Decimal("0.001"), rounding=ROUND_HALF_UP))
+    assert got == want
+
+
+def test_ratio_keeps_fractional_numerators(spark):
+    df = spark.createDataFrame([(1.005, 1), (3.0055, 1), (2.5, 2)], "n double, d bigint")
+    got = [r[0] for r in df.select(ratio(F.col("n"), F.col("d"), 3)).collect()]
+    assert got == [1.005, 3.006, 1.25]
