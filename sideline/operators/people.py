@@ -38,7 +38,7 @@ def qb_primary_game(weekly: DataFrame) -> DataFrame:
               F.col("recent_team").alias("team"),
               F.col("player_id").alias("qb_id"),
               name_or_display().alias("qb_name"),
-              att.cast("int").alias("attempts"),
+              round_int(att).alias("attempts"),
               round_int(yds).alias("passing_yards"),
               F.row_number().over(w).alias("rn")))
     return qb.where((F.col("rn") == 1) & (F.col("attempts") >= 1)).drop("rn")
