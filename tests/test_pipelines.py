@@ -67,3 +67,17 @@ def test_view_columns_listing(spark):
     assert ("v_team_alltime_splits", "win_pct_vs_500") in got
     assert ("v_player_games", "scrimmage_yards") in got
     assert cols.where("view_name = 'v_qb_rolling3'").count() == 8
+
+
+def test_publish_marts_writes_tables(spark):
+    from sideline.plans.catalog import facts
+    from sideline.plans.marts import Marts
+    from sideline.plans.publish import publish_marts
+    out = tempfile.mkdtemp(prefix="sideline-test-publish-", dir="/tmp")
+    m = Marts(*facts(spark, SF001))
+    names = ["v_team_alltime_splits", "v_rb_rolling3", "v_def_rank_by_pos"]
+    counts = {r["table_name"]: r["rows"] for r in publish_marts(m, out, names).collect()}
+    fresh = Marts(*facts(spark, SF001)).views()
+    assert counts == {n: fresh[n].count() for n in names}
+    assert spark.read.parquet(f"{out}/v_rb_rolling3").where("season = 1996").count() == \
+        fresh["v_rb_rolling3"].where("season = 1996").count()
