@@ -13,6 +13,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sideline.functions.joins import bounded
+
 SLICE_KEYS = ["season", "week"]
 
 
@@ -47,16 +49,21 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "keys") -> Dat
 
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
-           check_unique: bool = True) -> DataFrame:
+           check_unique: bool = True, bounded_keys: bool = False) -> DataFrame:
     """``INSERT ... ON CONFLICT (keys) DO UPDATE`` as anti-join + union.
 
     Rows of ``target`` whose key arrives in ``incoming`` are replaced; the
     others stay.  A repeated key in ``incoming`` fails the job, like the
     database would.  Upserting twice gives the same table as once.
+    ``bounded_keys=True`` (dimensions keyed by season, week and team) lets
+    the arriving key set be broadcast; by default the anti-join is left to
+    the planner, since both sides may be large.
     """
     incoming = incoming.select(*target.columns)
     arriving = (unique_keys(incoming, keys, "upsert: incoming batch") if check_unique
                 else incoming.select(*keys))
+    if bounded_keys:
+        arriving = bounded(arriving)
     kept = target.join(arriving, list(keys), "left_anti")
     return kept.unionByName(incoming)
 

@@ -92,7 +92,7 @@ def upsert_coach_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = cm.where(F.col("season") <= UPSERT_SPLIT_SEASON)
     incoming = (cm.where(F.col("season") >= UPSERT_SPLIT_SEASON)
                 .withColumn("head_coach", F.concat(F.col("head_coach"), F.lit("_2"))))
-    return MT.upsert(target, incoming, ["season", "week", "team"])
+    return MT.upsert(target, incoming, ["season", "week", "team"], bounded_keys=True)
 
 
 def upsert_division_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +101,7 @@ def upsert_division_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = FX.division_feed(spark, sf_dir, shift=1, schedules=hs)
     latest = changed.agg(F.max("season").alias("season"))
     incoming = changed.join(F.broadcast(latest), "season", "left_semi")
-    return MT.upsert(target, incoming, ["season", "team"])
+    return MT.upsert(target, incoming, ["season", "team"], bounded_keys=True)
 
 
 def weekly_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
