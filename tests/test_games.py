@@ -115,3 +115,14 @@ def test_vs500_leaderboard_bounds_and_min_games(spark):
     assert all(r["games_all"] < 100 for r in some)
     for r in allrows:
         assert abs(r["diff_vs_overall_pp"] - (r["win_pct_vs_500_pct"] - r["win_pct_all_pct"])) <= 0.011
+
+
+def test_person_split_invariants(spark):
+    from sideline.plans.catalog import marts
+    m = marts(spark, "/root/testdata/sf0.01")
+    for df in (m.qb_alltime_splits, m.qb_season_splits, m.coach_alltime_splits, m.coach_season_splits):
+        for r in df.collect():
+            assert r["games_home"] + r["games_away"] == r["games"]
+            assert r["wins"] + r["losses"] + r["ties"] == r["games"]
+            assert r["wins_home"] + r["wins_away"] == r["wins"]
+            assert 0.0 <= r["win_pct"] <= 1.0

@@ -1,6 +1,8 @@
 """Weekly ranks, defence-by-position ranks and composite keys."""
 
 
+from pyspark.sql import functions as F
+
 from conftest import game, player
 from sideline.operators import games as G
 from sideline.operators import players as PL
@@ -38,3 +40,17 @@ def test_def_rank_counts_games_without_position_as_zero(schedules_of, weekly_of)
 def test_composite_key_is_null_when_a_part_is_null(spark):
     df = spark.createDataFrame([(2020, None, "RB")], "season int, opp_team string, position_group string")
     assert R.player_games_keys(df).first()["opp_season_team_pos"] is None
+
+
+def test_rank_one_exists_in_every_partition(spark):
+    from sideline.plans.catalog import marts
+    m = marts(spark, "/root/testdata/sf0.01")
+    ranks = m.team_weekly_ranks
+    cols = ["off_pass_rank", "off_rush_rank", "off_points_rank",
+            "def_pass_rank", "def_rush_rank", "def_points_rank"]
+    per_week = ranks.groupBy("season", "week").agg(*[F.min(c).alias(c) for c in cols])
+    assert per_week.where(" OR ".join(f"{c} <> 1" for c in cols)).count() == 0
+    dr = m.def_rank_by_pos.groupBy("season", "position_group").agg(F.min("def_rank_pos").alias("r"),
+                                                                    F.max("def_rank_pos").alias("hi"),
+                                                                    F.count("*").alias("n"))
+    assert dr.where("r <> 1 OR hi > n").count() == 0
