@@ -34,9 +34,8 @@ tm AS (
   SELECT season, week, nk, sum(items) AS items FROM pm GROUP BY 1, 2, 3
 ),
 slot AS (
-  SELECT w.season, w.week, n.n_nationkey AS i,
-         (w.season * 12 + w.week - n.n_nationkey + 25) % 25 AS j
-  FROM (SELECT DISTINCT season, week FROM tm) w CROSS JOIN nation n
+  SELECT season, week, i, (season * 12 + week - i + 25) % 25 AS j
+  FROM (SELECT season, week, unnest(range(0, 25)) AS i FROM (SELECT DISTINCT season, week FROM tm) w) x
 ),
 pair AS (
   SELECT season, week,
