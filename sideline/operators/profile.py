@@ -38,8 +38,13 @@ def _is_numeric(dt) -> bool:
     return isinstance(dt, _NUMERIC)
 
 
+def _is_temporal(dt) -> bool:
+    return isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def profile(df: DataFrame, exact: bool = True) -> DataFrame:
-    """One row per column: column_name, type, non_null, nulls, null_pct, distinct_count, min, max, avg, examples."""
+    """One row per column: column_name, type, non_null, nulls, null_pct, distinct_count,
+    min, max, avg (numbers), min_date, max_date (dates and timestamps, as dates), examples."""
     fields = df.schema.fields
     total = F.count(F.lit(1))
     stats = []
@@ -47,11 +52,15 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
         c = F.col(f.name)
         num = _is_numeric(f.dataType)
         nothing = F.lit(None).cast("double")
+        no_date = F.lit(None).cast("date")
+        temporal = _is_temporal(f.dataType)
         stats.append(F.struct(
             F.count(c).alias("non_null"),
             (F.min(c).cast("double") if num else nothing).alias("min"),
             (F.max(c).cast("double") if num else nothing).alias("max"),
             (round_avg(c, 3) if num else nothing).alias("avg"),
+            (F.min(c).cast("date") if temporal else no_date).alias("min_date"),
+            (F.max(c).cast("date") if temporal else no_date).alias("max_date"),
             (F.approx_count_distinct(c) if not exact else F.lit(None).cast("bigint")).alias("approx"),
         ).alias(f.name))
     wide = df.agg(total.alias("_total"), *stats)
@@ -89,7 +98,7 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
         nulls.alias("nulls"),
         ratio(nulls * 100, F.col("_total"), 2).alias("null_pct"),
         distinct.cast("bigint").alias("distinct_count"),
-        "min", "max", "avg",
+        "min", "max", "avg", "min_date", "max_date",
         F.coalesce(F.col("examples"), F.lit("")).alias("examples"),
     )
 

@@ -36,3 +36,11 @@ def test_coverage_reports(schedules_of, weekly_of):
     assert sorted(r["team"] for r in PR.team_codes(hs).collect()) == ["A", "H"]
     hw = weekly_of([player(position=None), player("00-2"), player("00-3")])
     assert [tuple(r) for r in PR.position_counts(hw).collect()] == [("RB", 2), ("(null)", 1)]
+
+
+def test_profile_dates(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.date(2020, 9, 13),), (dt.date(2019, 1, 2),), (None,)], "d date")
+    r = PR.profile(df).first()
+    assert (r["min_date"], r["max_date"], r["min"], r["nulls"]) == (dt.date(2019, 1, 2), dt.date(2020, 9, 13), None, 1)
+    assert r["examples"] == "2019-01-02, 2020-09-13"
