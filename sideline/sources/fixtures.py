@@ -12,8 +12,9 @@ Plan shape (what scales):
   join; partial aggregation collapses a hot supplier map-side, and the join
   with ``supplier`` then sees at most one row per supplier-month.
 * Team totals per month come from that same aggregate (a supplier has one
-  nation), so both facts share one scan of ``lineitem``; inside one query the
-  shared exchange is reused.
+  nation), so both facts derive from one frame (``player_months``); the load
+  step (``plans.warehouse``) checkpoints it once, so ``lineitem`` is scanned
+  and aggregated once for both facts.
 * Games come from the team-month aggregate (months x 25 rows, bounded by the
   calendar, not by data volume) in one more grouped aggregate; the weekly
   opponent is a computed code.  ``nation`` (25 rows) is the only broadcast
