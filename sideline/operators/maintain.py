@@ -1,9 +1,11 @@
 """Table maintenance: slice refresh, keyed upsert, key checks, row counts.
 
-Nothing here mutates data in place.  Each operator returns the new table as
-a lazy DataFrame; the caller writes it to a fresh path (``sources.io``), so a
-failed or repeated run never leaves a half-deleted slice behind, and a lost
-executor only re-runs its tasks.
+Nothing here mutates data.  Each operator returns the new table as a lazy
+DataFrame; the caller writes it, either to a fresh path or, for slice
+refreshes of a (season, week)-partitioned table, by rewriting only the
+listed partitions (``sources.io.overwrite_slices``).  Both are idempotent:
+a failed or repeated run leaves the same table, and a lost executor only
+re-runs its tasks.
 """
 
 from __future__ import annotations
