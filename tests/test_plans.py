@@ -54,3 +54,12 @@ def test_weekly_player_side_is_not_shuffled_for_the_game_join(spark):
     # The only exchange is the season-record aggregate of the bounded schedule side.
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert all("player_id" not in e and "recent_team" not in e for e in exchanges)
+
+
+def test_no_python_in_any_plan(spark):
+    """Every registered query stays in the JVM: no Python UDF or pandas operator nodes."""
+    python_nodes = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
+                    "MapInPandas", "MapInArrow", "AggregateInPandas", "WindowInPandas")
+    for name, fn in QUERIES.items():
+        plan = fn(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert not any(node in plan for node in python_nodes), name
