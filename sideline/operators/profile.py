@@ -14,8 +14,10 @@ column):
    all values of a column.
 
 ``exact=False`` switches distinct counts to HyperLogLog
-(``approx_count_distinct``) inside the wide aggregate and skips step 2's
-distinct count, for very wide or very large tables.
+(``approx_count_distinct``) inside the wide aggregate and takes the examples
+from a bounded pool (each task's 50 smallest rows per column, limited before
+the shuffle), so no pass shuffles all distinct values: for very wide or very
+large tables.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from sideline.operators.games import played
 
 SAMPLE_VALUES = 5
 SAMPLE_CHARS = 60
+APPROX_POOL = 50
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
 
@@ -73,9 +76,22 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
                  (F.col(f.name).cast("double") if _is_numeric(f.dataType)
                   else F.lit(None).cast("double")).alias("k"))
         for f in fields])).alias("x")).select("x.*").where(F.col("v").isNotNull())
-    distinct_vals = values.distinct()
     first = Window.partitionBy("column_name").orderBy(F.col("k").asc_nulls_first(), F.col("v").asc())
-    samples = (distinct_vals.withColumn("rn", F.row_number().over(first))
+    if exact:
+        distinct_vals = values.distinct()
+        pool = distinct_vals
+    else:
+        # Bounded pool: each task keeps its APPROX_POOL smallest rows per
+        # column (a partial WindowGroupLimit before the shuffle), then the
+        # pool is de-duplicated.  Heavy duplication of the smallest values in
+        # a task can leave fewer than five examples; counts are HLL anyway.
+        per_task = Window.partitionBy("column_name", "_task").orderBy(
+            F.col("k").asc_nulls_first(), F.col("v").asc())
+        pool = (values.withColumn("_task", F.spark_partition_id())
+                .withColumn("rn", F.row_number().over(per_task))
+                .where(F.col("rn") <= APPROX_POOL)
+                .select("column_name", "v", "k").distinct())
+    samples = (pool.withColumn("rn", F.row_number().over(first))
                .where(F.col("rn") <= SAMPLE_VALUES)
                .groupBy("column_name")
                .agg(F.array_join(F.transform(

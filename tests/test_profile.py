@@ -44,3 +44,14 @@ def test_profile_dates(spark):
     r = PR.profile(df).first()
     assert (r["min_date"], r["max_date"], r["min"], r["nulls"]) == (dt.date(2019, 1, 2), dt.date(2020, 9, 13), None, 1)
     assert r["examples"] == "2019-01-02, 2020-09-13"
+
+
+def test_approximate_profile_keeps_examples_without_full_distinct(spark):
+    import re
+    df = spark.createDataFrame([(i % 13, f"s{i % 9}") for i in range(400)], "n int, s string").repartition(4)
+    exact = {r["column_name"]: r["examples"] for r in PR.profile(df).collect()}
+    approx_df = PR.profile(df, exact=False)
+    approx = {r["column_name"]: r["examples"] for r in approx_df.collect()}
+    assert approx == exact
+    plan = approx_df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"WindowGroupLimit .*Partial", plan)
