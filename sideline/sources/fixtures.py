@@ -224,8 +224,7 @@ def division_feed(spark: SparkSession, sf_dir: str, shift: int = 0,
     region = read_table(spark, sf_dir, "region")
     teams = (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
              .select(F.col("n_name").alias("team"), F.col("r_name").alias("conference"),
-                     F.concat(F.lit("D"), F.pmod(F.col("n_nationkey") + shift, F.lit(4)).cast("string"))
-                     .alias("division")))
+                     F.pmod(F.col("n_nationkey") + shift, F.lit(4)).cast("string").alias("division")))
     schedules = hist_schedules(spark, sf_dir) if schedules is None else schedules
     seen = (schedules
             .select("season", F.explode(F.array("home_team", "away_team")).alias("team"))
