@@ -108,8 +108,9 @@ def weekly_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weekly table as a newer feed would send it: other names, text keys, extras."""
     hw = weekly(spark, sf_dir)
     feed = hw.select(*[
-        (F.when(F.col("player_name").isNull(), F.lit("x")).otherwise(F.col("season").cast("string"))
-         .alias("season") if c == "season" else
+        (F.when(F.col("player_name").isNull(), F.lit("x"))
+         .when(F.col("player_name") == "", F.lit("3.0"))
+         .otherwise(F.col("season").cast("string")).alias("season") if c == "season" else
          F.when(F.col("week") == 3, F.lit("3.0")).otherwise(F.col("week").cast("string")).alias("week")
          if c == "week" else F.col(c))
         for c in hw.columns])
