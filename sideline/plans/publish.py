@@ -24,8 +24,14 @@ PLAYER_SIZED = {"v_player_games", "v_player_games_keys", "v_rb_rolling3", "v_wr_
 
 
 def publish_marts(m: Marts, out_dir: str, names: Iterable[str] | None = None,
-                  checkpoint_bases: bool = True) -> DataFrame:
-    """Write the named views (default: all) under ``out_dir``; returns (table_name, rows)."""
+                  checkpoint_bases: bool = True, database: str | None = None) -> DataFrame:
+    """Write the named views (default: all) under ``out_dir``; returns (table_name, rows).
+
+    With ``database`` (for example ``"mart"``) each written table is also
+    registered in the session catalog as ``<database>.<view name>``, so SQL
+    written against the source's view schema (``mart.v_team_games``, ...)
+    runs unchanged.
+    """
     if checkpoint_bases:
         m.persist_bases(checkpoint=True)
     views = m.views()
@@ -40,4 +46,10 @@ def publish_marts(m: Marts, out_dir: str, names: Iterable[str] | None = None,
         else:
             write_table(df, path, "overwrite")
         written[name] = spark.read.parquet(path)
+        if database is not None:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+            spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
+            if name in PLAYER_SIZED:
+                spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
     return row_counts(written)

@@ -76,8 +76,12 @@ def test_publish_marts_writes_tables(spark):
     out = tempfile.mkdtemp(prefix="sideline-test-publish-", dir="/tmp")
     m = Marts(*facts(spark, SF001))
     names = ["v_team_alltime_splits", "v_rb_rolling3", "v_def_rank_by_pos"]
-    counts = {r["table_name"]: r["rows"] for r in publish_marts(m, out, names).collect()}
+    counts = {r["table_name"]: r["rows"] for r in publish_marts(m, out, names, database="mart").collect()}
     fresh = Marts(*facts(spark, SF001)).views()
     assert counts == {n: fresh[n].count() for n in names}
     assert spark.read.parquet(f"{out}/v_rb_rolling3").where("season = 1996").count() == \
         fresh["v_rb_rolling3"].where("season = 1996").count()
+    # SQL written against the view schema runs unchanged.
+    got = spark.sql("SELECT team, win_pct FROM mart.v_team_alltime_splits ORDER BY win_pct DESC LIMIT 3")
+    assert got.count() == 3
+    assert spark.sql("SELECT COUNT(*) FROM mart.v_rb_rolling3").first()[0] == counts["v_rb_rolling3"]
