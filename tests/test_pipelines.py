@@ -85,3 +85,12 @@ def test_publish_marts_writes_tables(spark):
     got = spark.sql("SELECT team, win_pct FROM mart.v_team_alltime_splits ORDER BY win_pct DESC LIMIT 3")
     assert got.count() == 3
     assert spark.sql("SELECT COUNT(*) FROM mart.v_rb_rolling3").first()[0] == counts["v_rb_rolling3"]
+
+
+def test_command_line(spark, capsys):
+    from sideline.__main__ import main
+    out = tempfile.mkdtemp(prefix="sideline-test-cli-", dir="/tmp")
+    assert main(["peek", "--tables", SF001, "--report", "top_teams_alltime", "--rows", "3"]) == 0
+    assert "top_teams_alltime" in capsys.readouterr().out
+    assert main(["load", "--tables", SF001, "--out", out]) == 0
+    assert spark.read.parquet(f"{out}/hist_weekly").count() == FX.hist_weekly(spark, SF001).count()
