@@ -102,3 +102,18 @@ def test_replace_append_and_csv_exports(spark):
     drift = AL.schema_drift(spark.createDataFrame([(1, 2)], "team int, extra int"), ["recent_team"])
     IO.write_csv(drift, os.path.join(d, "drift"))
     assert [r["dropped_column"] for r in spark.read.option("header", True).csv(os.path.join(d, "drift")).collect()] == ["extra"]
+
+
+def test_overwrite_slices_refuses_rows_outside_the_list(spark):
+    import pytest
+    d = scratch()
+    new = spark.createDataFrame([(2020, 5, "x")], "season int, week int, v string")
+    with pytest.raises(ValueError, match="outside the listed slices"):
+        IO.overwrite_slices(new, d, [(2020, 1)])
+
+
+def test_load_is_reused_within_a_session(spark):
+    from sideline.plans import warehouse as WH
+    first = WH.load_facts(spark, SF001)
+    assert WH.is_loaded(spark, SF001)
+    assert WH.load_facts(spark, SF001) == first
