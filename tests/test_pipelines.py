@@ -94,3 +94,23 @@ def test_command_line(spark, capsys):
     assert "top_teams_alltime" in capsys.readouterr().out
     assert main(["load", "--tables", SF001, "--out", out]) == 0
     assert spark.read.parquet(f"{out}/hist_weekly").count() == FX.hist_weekly(spark, SF001).count()
+
+
+def test_postgres_style_sql_runs_on_registered_views(spark):
+    from sideline.plans.catalog import marts
+    m = marts(spark, SF001)
+    m.register()
+    last = spark.sql("""
+        SELECT s.season::int AS season, COUNT(*) AS teams,
+               SUM(s.wins) FILTER (WHERE s.win_pct >= 0.5) AS wins_of_winning_teams
+        FROM v_team_season_splits s
+        WHERE s.season = (SELECT MAX(season) FROM hist_schedules)
+        GROUP BY 1
+    """).first()
+    assert last["teams"] == m.team_last_season_splits.count()
+    keys = spark.sql("""
+        SELECT k.season::string || '-' || k.opp_team || '-' || k.position_group AS key, d.def_rank_pos
+        FROM v_player_games_keys k LEFT JOIN v_def_rank_by_pos d ON d.season_team_pos = k.opp_season_team_pos
+        ORDER BY d.def_rank_pos NULLS LAST, key LIMIT 5
+    """).collect()
+    assert len(keys) == 5 and all(r["key"] for r in keys)
