@@ -63,3 +63,24 @@ def test_no_python_in_any_plan(spark):
     for name, fn in QUERIES.items():
         plan = fn(spark, SF001)._jdf.queryExecution().executedPlan().toString()
         assert not any(node in plan for node in python_nodes), name
+
+
+def test_broadcast_switch_falls_back_to_planner(spark):
+    from sideline.functions.joins import CONF_KEY
+    from sideline.plans.catalog import facts
+    from sideline.plans.marts import Marts
+    hs, hw = facts(spark, SF001)
+    with_hint = Marts(hs, hw).player_games
+    spark.conf.set(CONF_KEY, "false")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        without = Marts(hs, hw).player_games
+        rows = sorted(map(tuple, without.collect()))
+        plan = without._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    finally:
+        spark.conf.unset(CONF_KEY)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert rows == sorted(map(tuple, with_hint.collect()))
