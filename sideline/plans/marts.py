@@ -14,7 +14,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from sideline.operators import games as G
 from sideline.operators import people as P
@@ -33,6 +33,19 @@ class Marts:
         self._coach_dim = coach_dim
         self._coach_feed = coach_feed
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, schedules_path: str, weekly_path: str) -> "Marts":
+        """Marts over landed schedule and weekly tables (parquet files or folders).
+
+        The weekly table may use the newer feed's column names (``team``,
+        ``passing_interceptions``, ...); they are aligned first.  Extra
+        columns are kept: the marts select what they use.
+        """
+        from sideline.operators.align import WEEKLY_RENAMES, rename_present
+        schedules = spark.read.parquet(schedules_path)
+        weekly = rename_present(spark.read.parquet(weekly_path), WEEKLY_RENAMES)
+        return cls(schedules, weekly)
+
     # ---- team games -----------------------------------------------------
     @cached_property
     def team_games(self) -> DataFrame:

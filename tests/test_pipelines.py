@@ -114,3 +114,19 @@ def test_postgres_style_sql_runs_on_registered_views(spark):
         ORDER BY d.def_rank_pos NULLS LAST, key LIMIT 5
     """).collect()
     assert len(keys) == 5 and all(r["key"] for r in keys)
+
+
+def test_marts_from_landed_tables(spark):
+    from sideline.plans import warehouse as WH
+    from sideline.plans.catalog import marts
+    from sideline.plans.marts import Marts
+    out = WH.load_facts(spark, SF001)
+    renamed = tempfile.mkdtemp(prefix="sideline-test-landed-", dir="/tmp")
+    (spark.read.parquet(f"{out}/hist_weekly").withColumnRenamed("recent_team", "team")
+     .write.parquet(f"{renamed}/weekly"))
+    m = Marts.from_tables(spark, f"{out}/hist_schedules", f"{renamed}/weekly")
+    want = marts(spark, SF001)
+    assert sorted(map(tuple, m.team_alltime_splits.collect())) == sorted(map(tuple, want.team_alltime_splits.collect()))
+    cols = ["player_id", "games", "total_yards"]
+    assert sorted(map(tuple, m.position_alltime("RB").select(cols).collect())) == \
+        sorted(map(tuple, want.position_alltime("RB").select(cols).collect()))
