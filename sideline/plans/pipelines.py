@@ -17,7 +17,7 @@ from sideline.operators import align as AL
 from sideline.operators import maintain as MT
 from sideline.operators.games import played
 from sideline.operators.profile import completed_weeks
-from sideline.schemas import HIST_SCHEDULES, HIST_WEEKLY
+from sideline.schemas import DIM_TEAM_DIVISION, DIM_TEAM_DIVISION_KEYS, HIST_SCHEDULES, HIST_WEEKLY
 from sideline.sources import io as IO
 
 
@@ -85,3 +85,18 @@ def in_season_refresh(schedules: DataFrame, weekly: DataFrame,
               .select("table_name", "season", "week", "rows"))
     rejected = new_weekly.join(sl, ["season", "week"], "left_anti")
     return RefreshResult(out_s, out_w, slices, counts, rejected)
+
+
+def load_division_mapping(spark, csv_path: str, current: DataFrame | None = None) -> DataFrame | None:
+    """Upsert a division CSV (season,team,conference,division) into the dimension.
+
+    Returns None when the file is missing (nothing to do), else the new
+    dimension: ``current`` with every (season, team) of the file replaced or
+    added.  A key repeated in the file fails the job.  The result is lazy:
+    write it (``sources.io.write_table``) before the file is replaced.
+    """
+    incoming = IO.read_csv_typed(spark, csv_path, DIM_TEAM_DIVISION)
+    if incoming is None:
+        return None
+    target = current if current is not None else spark.createDataFrame([], DIM_TEAM_DIVISION)
+    return MT.upsert(target, incoming, list(DIM_TEAM_DIVISION_KEYS), bounded_keys=True)

@@ -130,3 +130,24 @@ def test_marts_from_landed_tables(spark):
     cols = ["player_id", "games", "total_yards"]
     assert sorted(map(tuple, m.position_alltime("RB").select(cols).collect())) == \
         sorted(map(tuple, want.position_alltime("RB").select(cols).collect()))
+
+
+def test_division_mapping_from_csv(spark):
+    import os
+    import pytest
+    d = tempfile.mkdtemp(prefix="sideline-test-div-", dir="/tmp")
+    assert PP.load_division_mapping(spark, os.path.join(d, "missing.csv")) is None
+    p = os.path.join(d, "div.csv")
+    with open(p, "w") as f:
+        f.write("season,team,conference,division\n2024,KC,AFC,West\n2024,BUF,AFC,East\n")
+    first = PP.load_division_mapping(spark, p)
+    first = spark.createDataFrame(first.collect(), first.schema)  # the stored dimension
+    with open(p, "w") as f:
+        f.write("season,team,conference,division\n2024,KC,AFC,North\n2025,KC,AFC,West\n")
+    second = PP.load_division_mapping(spark, p, first)
+    assert sorted(map(tuple, second.collect())) == [
+        (2024, "BUF", "AFC", "East"), (2024, "KC", "AFC", "North"), (2025, "KC", "AFC", "West")]
+    with open(p, "a") as f:
+        f.write("2025,KC,AFC,South\n")
+    with pytest.raises(Exception, match="duplicate key"):
+        PP.load_division_mapping(spark, p, second).collect()
