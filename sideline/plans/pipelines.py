@@ -17,7 +17,11 @@ from sideline.operators import align as AL
 from sideline.operators import maintain as MT
 from sideline.operators.games import played
 from sideline.operators.profile import completed_weeks
-from sideline.schemas import DIM_TEAM_DIVISION, DIM_TEAM_DIVISION_KEYS, HIST_SCHEDULES, HIST_WEEKLY
+from sideline.operators.people import coach_map
+from sideline.schemas import (
+    DIM_TEAM_DIVISION, DIM_TEAM_DIVISION_KEYS, DIM_TEAM_HEAD_COACH, DIM_TEAM_HEAD_COACH_KEYS,
+    HIST_SCHEDULES, HIST_WEEKLY,
+)
 from sideline.sources import io as IO
 
 
@@ -100,3 +104,17 @@ def load_division_mapping(spark, csv_path: str, current: DataFrame | None = None
         return None
     target = current if current is not None else spark.createDataFrame([], DIM_TEAM_DIVISION)
     return MT.upsert(target, incoming, list(DIM_TEAM_DIVISION_KEYS), bounded_keys=True)
+
+
+def refresh_coach_dimension(schedules: DataFrame, feed: DataFrame,
+                            current: DataFrame | None = None) -> DataFrame:
+    """Build the coach map of the played games and upsert it into the dimension.
+
+    ``feed`` carries (game_id, season, week, game_type, home_coach,
+    away_coach) and is matched one-to-one to the schedule.  The result is the
+    new ``dim_team_head_coach`` (lazy; write it before replacing the input).
+    """
+    spark = schedules.sparkSession
+    target = current if current is not None else spark.createDataFrame([], DIM_TEAM_HEAD_COACH)
+    return MT.upsert(target, coach_map(schedules, feed), list(DIM_TEAM_HEAD_COACH_KEYS),
+                     bounded_keys=True)

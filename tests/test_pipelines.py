@@ -151,3 +151,12 @@ def test_division_mapping_from_csv(spark):
         f.write("2025,KC,AFC,South\n")
     with pytest.raises(Exception, match="duplicate key"):
         PP.load_division_mapping(spark, p, second).collect()
+
+
+def test_refresh_coach_dimension(schedules_of):
+    hs = schedules_of([game("g1"), game("g2", week=2, home_coach=None, away_coach="\tAway ")])
+    dim = PP.refresh_coach_dimension(hs, hs)
+    assert sorted(map(tuple, dim.collect())) == [
+        (2020, 1, "A", "Coach A"), (2020, 1, "H", "Coach H"), (2020, 2, "A", "Away")]
+    again = PP.refresh_coach_dimension(hs, hs, dim)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, dim.collect()))
