@@ -103,10 +103,22 @@ def slice_counts(df: DataFrame, slices) -> DataFrame:
             .select(*SLICE_KEYS, F.coalesce(F.col("rows"), F.lit(0)).alias("rows")))
 
 
-def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """(table_name, rows) for each named frame; one job, one aggregate per frame."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-             for name, df in frames.items()]
+def row_counts(frames: Mapping[str, DataFrame | None]) -> DataFrame:
+    """(table_name, rows) for each named frame; one job, one aggregate per frame.
+
+    A frame given as None (a table that is missing) is reported with NULL rows.
+    """
+    present = [df for df in frames.values() if df is not None]
+    if not present:
+        raise ValueError("row_counts needs at least one frame")
+    spark = present[0].sparkSession
+    parts = []
+    for name, df in frames.items():
+        if df is None:
+            parts.append(spark.createDataFrame([(name, None)], "table_name string, rows bigint"))
+        else:
+            parts.append(df.agg(F.count(F.lit(1)).alias("rows"))
+                         .select(F.lit(name).alias("table_name"), "rows"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

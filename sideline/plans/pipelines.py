@@ -29,13 +29,15 @@ def historical_load(frames: dict[str, DataFrame], out_dir: str,
                     partition_by: tuple[str, ...] = ("season",)) -> DataFrame:
     """Replace each named table under ``out_dir`` (partitioned), then count it.
 
-    Tables that are missing (None) are skipped, like the source's loader.
-    Returns (table_name, rows) read back from the written files.
+    Tables that are missing (None) are skipped and reported with NULL rows,
+    like the source's loader.  Returns (table_name, rows) read back from the
+    written files.
     """
     spark = next(df for df in frames.values() if df is not None).sparkSession
-    written = {}
+    written: dict[str, DataFrame | None] = {}
     for name, df in frames.items():
         if df is None:
+            written[name] = None
             continue
         path = f"{out_dir.rstrip('/')}/{name}"
         parts = tuple(c for c in partition_by if c in df.columns)

@@ -43,3 +43,9 @@ def test_key_checks_and_counts(spark):
     assert (r["check_name"], r["rows"], r["duplicate_keys"], r["null_keys"]) == ("t.k", 4, 1, 2)
     rc = {x["table_name"]: x["rows"] for x in MT.row_counts({"a": df, "b": df.limit(1)}).collect()}
     assert rc == {"a": 4, "b": 1}
+
+
+def test_row_counts_report_missing_tables(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    got = {r["table_name"]: r["rows"] for r in MT.row_counts({"t": df, "hist_rosters_weekly": None}).collect()}
+    assert got == {"t": 1, "hist_rosters_weekly": None}

@@ -15,7 +15,7 @@ def test_historical_load_counts_and_skips_missing(spark):
     counts = {r["table_name"]: r["rows"] for r in
               PP.historical_load({"hist_schedules": hs, "hist_weekly": hw, "hist_rosters_weekly": None},
                                  out).collect()}
-    assert counts == {"hist_schedules": hs.count(), "hist_weekly": hw.count()}
+    assert counts == {"hist_schedules": hs.count(), "hist_weekly": hw.count(), "hist_rosters_weekly": None}
 
 
 def test_in_season_refresh_explicit_weeks(schedules_of, weekly_of):
