@@ -1,5 +1,8 @@
 """Weekly team totals and ranks; defence-by-position ranks and their keys.
 
+* The weekly base reads the player fact once: each row is exploded into its
+  offence side (own team) and defence side (opponent), and one grouped
+  aggregate of conditional sums yields both totals.
 * Six dense ranks share one window partitioning (season, week): one shuffle,
   six sorts of partitions that hold one row per team.
 * Defence by position is computed in one pass: a single grouped aggregate
@@ -31,14 +34,20 @@ def team_weekly_base(weekly: DataFrame, schedules: DataFrame) -> DataFrame:
     reg = weekly.where(F.col("season_type") == "REG")
     pass_y = F.coalesce(F.col("passing_yards"), F.lit(0)).cast("double")
     rush_y = F.coalesce(F.col("rushing_yards"), F.lit(0)).cast("double")
-    off = reg.groupBy(F.col("season").cast("int").alias("season"),
-                      F.col("week").cast("int").alias("week"),
-                      F.col("recent_team").alias("team")).agg(
-        F.sum(pass_y).alias("off_pass_yards"), F.sum(rush_y).alias("off_rush_yards"))
-    dfn = reg.groupBy(F.col("season").cast("int").alias("season"),
-                      F.col("week").cast("int").alias("week"),
-                      F.col("opponent_team").alias("team")).agg(
-        F.sum(pass_y).alias("def_pass_yards_allowed"), F.sum(rush_y).alias("def_rush_yards_allowed"))
+    # One scan: each player row counts for its team's offence and against the
+    # opponent's defence; one grouped aggregate sums both sides.
+    sides = reg.select(
+        F.col("season").cast("int").alias("season"), F.col("week").cast("int").alias("week"),
+        pass_y.alias("py"), rush_y.alias("ry"),
+        F.explode(F.array(
+            F.struct(F.col("recent_team").alias("team"), F.lit(True).alias("offence")),
+            F.struct(F.col("opponent_team").alias("team"), F.lit(False).alias("offence")))).alias("s"))
+    off, py, ry = F.col("s.offence"), F.col("py"), F.col("ry")
+    yards = sides.groupBy("season", "week", F.col("s.team").alias("team")).agg(
+        F.sum(F.when(off, py)).alias("off_pass_yards"),
+        F.sum(F.when(off, ry)).alias("off_rush_yards"),
+        F.sum(F.when(~off, py)).alias("def_pass_yards_allowed"),
+        F.sum(F.when(~off, ry)).alias("def_rush_yards_allowed"))
     home = F.struct(F.col("home_team").alias("team"), F.col("home_score").alias("points_for"),
                     F.col("away_score").alias("points_allowed"))
     away = F.struct(F.col("away_team").alias("team"), F.col("away_score").alias("points_for"),
@@ -50,8 +59,7 @@ def team_weekly_base(weekly: DataFrame, schedules: DataFrame) -> DataFrame:
               .select("season", "week", "p.*"))
     zero = F.lit(0.0)
     return (points
-            .join(off, ["season", "week", "team"], "left")
-            .join(dfn, ["season", "week", "team"], "left")
+            .join(yards, ["season", "week", "team"], "left")
             .select("season", "week", "team",
                     F.coalesce("off_pass_yards", zero).alias("off_pass_yards"),
                     F.coalesce("off_rush_yards", zero).alias("off_rush_yards"),
