@@ -160,3 +160,23 @@ def test_refresh_coach_dimension(schedules_of):
         (2020, 1, "A", "Coach A"), (2020, 1, "H", "Coach H"), (2020, 2, "A", "Away")]
     again = PP.refresh_coach_dimension(hs, hs, dim)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, dim.collect()))
+
+
+def test_command_line_refresh(spark):
+    import os
+    from pyspark.sql import functions as F
+    from sideline.__main__ import main
+    from sideline.streaming import refresh as RS
+    d = tempfile.mkdtemp(prefix="sideline-test-cli-refresh-", dir="/tmp")
+    hw = FX.hist_weekly(spark, SF001)
+    table, landing = os.path.join(d, "table"), os.path.join(d, "landing")
+    RS.init_table(hw, table)
+    latest = hw.agg(F.max("season")).first()[0]
+    (hw.where((F.col("season") == latest) & (F.col("week") == 2))
+     .withColumn("rushing_yards", F.lit(999.0)).write.parquet(landing))
+    assert main(["refresh", "--landing", landing, "--table", table,
+                 "--checkpoint", os.path.join(d, "ckpt")]) == 0
+    got = RS.read_table(spark, table)
+    assert got.where((F.col("season") == latest) & (F.col("week") == 2)
+                     & (F.col("rushing_yards") != 999.0)).count() == 0
+    assert got.count() == hw.count()
