@@ -45,8 +45,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_spark(a.master)
     if a.cmd == "load":
         from sideline.plans.pipelines import historical_load
+        from sideline.plans.warehouse import stage_months
         from sideline.sources import fixtures as FX
-        months = FX.player_months(spark, a.tables).checkpoint(eager=True)
+        months = stage_months(spark, a.tables, f"{a.out.rstrip('/')}/_supplier_months")
         counts = historical_load({"hist_schedules": FX.hist_schedules(spark, a.tables, months),
                                   "hist_weekly": FX.hist_weekly(spark, a.tables, months)}, a.out)
         counts.show(truncate=False)

@@ -56,12 +56,24 @@ def warehouse_dir(spark: SparkSession, sf_dir: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sideline-warehouse/{_fingerprint(spark, sf_dir)}"
 
 
+def stage_months(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """Aggregate ``lineitem`` once per (supplier, month), write it to ``path``, read it back.
+
+    The staged table is columnar and compressed (unlike an RDD checkpoint)
+    and cuts the lineage; both facts derive from it.
+    """
+    FX.player_months(spark, sf_dir).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _write_facts(spark: SparkSession, sf_dir: str, out: str) -> None:
     fs, final, jvm = _hadoop(spark, out)
     tmp = f"{out}.tmp-{uuid.uuid4().hex[:8]}"
-    # ``lineitem`` is aggregated once per (supplier, month) and checkpointed
-    # (reliably, into the shared checkpoint folder); both facts derive from it.
-    months = FX.player_months(spark, sf_dir).checkpoint(eager=True)
+    # ``lineitem`` is aggregated once per (supplier, month) and staged as a
+    # parquet table in the shared folder (columnar and compressed, unlike an
+    # RDD checkpoint); both facts derive from it, then it is removed.
+    staging = f"{tmp}/_supplier_months"
+    months = stage_months(spark, sf_dir, staging)
     # The schedule is bounded by the calendar: one file.  The weekly fact is
     # rebalanced on its partition columns before the partitioned write: AQE
     # splits big weeks into advisory-size files and merges small ones.
@@ -69,6 +81,7 @@ def _write_facts(spark: SparkSession, sf_dir: str, out: str) -> None:
      .parquet(f"{tmp}/hist_schedules"))
     (FX.hist_weekly(spark, sf_dir, months).hint("rebalance", *WEEKLY_PARTITIONS).write.mode("overwrite")
      .partitionBy(*WEEKLY_PARTITIONS).parquet(f"{tmp}/hist_weekly"))
+    fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
     fs.create(jvm.org.apache.hadoop.fs.Path(tmp, _MARKER)).close()
     fs.mkdirs(final.getParent())
     if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), final):

@@ -13,8 +13,8 @@ Plan shape (what scales):
   with ``supplier`` then sees at most one row per supplier-month.
 * Team totals per month come from that same aggregate (a supplier has one
   nation), so both facts derive from one frame (``player_months``); the load
-  step (``plans.warehouse``) checkpoints it once, so ``lineitem`` is scanned
-  and aggregated once for both facts.
+  step (``plans.warehouse``) stages it once as a parquet table, so
+  ``lineitem`` is scanned and aggregated once for both facts.
 * Games come from the team-month aggregate (months x 25 rows, bounded by the
   calendar, not by data volume) in one more grouped aggregate; the weekly
   opponent is a computed code.  ``nation`` (25 rows) is the only broadcast
@@ -86,7 +86,7 @@ def supplier_months(lineitem: DataFrame) -> DataFrame:
 def player_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (supplier, season, week) measures with the supplier's name and nation.
 
-    Both facts derive from this frame; the load step checkpoints it once so
+    Both facts derive from this frame; the load step stages it once so
     ``lineitem`` is aggregated once for both.
     """
     supplier = read_table(spark, sf_dir, "supplier").select(
