@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sideline.llm.common import ship
+from sideline.llm.near_dedup import op7_minhash_near_dedup
 from sideline.llm.repeats import op6_suffix_array_dedup
 
 _ALL = (
     op6_suffix_array_dedup,
+    op7_minhash_near_dedup,
 )
 
 
