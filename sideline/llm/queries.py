@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sideline.llm.common import ship
 from sideline.llm.near_dedup import op7_minhash_near_dedup
+from sideline.llm.packing import op4_best_fit_packing
 from sideline.llm.repeats import op6_suffix_array_dedup
 
 _ALL = (
+    op4_best_fit_packing,
     op6_suffix_array_dedup,
     op7_minhash_near_dedup,
 )
