@@ -10,11 +10,13 @@ from sideline.llm.common import ship
 from sideline.llm.near_dedup import op7_minhash_near_dedup
 from sideline.llm.packing import op4_best_fit_packing
 from sideline.llm.repeats import op6_suffix_array_dedup
+from sideline.llm.toxicity import op5_toxicity
 from sideline.llm.warc import op3_warc_reassembly
 
 _ALL = (
     op3_warc_reassembly,
     op4_best_fit_packing,
+    op5_toxicity,
     op6_suffix_array_dedup,
     op7_minhash_near_dedup,
 )
