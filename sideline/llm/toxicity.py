@@ -348,6 +348,22 @@ def score(docs: DataFrame, model: tuple[tuple, np.ndarray]) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def _reject(terms: tuple, weights: np.ndarray):
+    def reject(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = _lexicon(terms)
+        for batch in batches:
+            counts = np.array([hits(t.as_py() or "", lexicon) for t in batch.column("text")]).reshape(-1, 6)
+            value = 1 / (1 + np.exp(-np.clip(features(counts) @ weights, -30, 30)))
+            yield batch.filter(pa.array(value < THRESHOLD))
+
+    return reject
+
+
+def reject_toxic(docs: DataFrame, model: tuple[tuple, np.ndarray]) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not predicted to be toxic."""
+    return docs.mapInArrow(_reject(*model), docs.schema)
+
+
 def op5_toxicity(spark, sf_dir: str) -> DataFrame:
     """Contract query: a toxicity score for every whole text of ``documents``."""
     from sideline.llm.common import table
