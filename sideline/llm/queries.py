@@ -7,15 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sideline.llm.common import ship
+from sideline.llm.licenses import op1_license_scan
 from sideline.llm.near_dedup import op7_minhash_near_dedup
 from sideline.llm.packing import op4_best_fit_packing
 from sideline.llm.product_quantisation import op9_embedding_near_dedup
 from sideline.llm.repeats import op6_suffix_array_dedup
+from sideline.llm.token_counts import op2_token_counts
 from sideline.llm.top_inner import op10_exact_top_k
 from sideline.llm.toxicity import op5_toxicity
 from sideline.llm.warc import op3_warc_reassembly
 
 _ALL = (
+    op1_license_scan,
+    op2_token_counts,
     op3_warc_reassembly,
     op4_best_fit_packing,
     op5_toxicity,
