@@ -12,6 +12,7 @@ from sideline.llm.near_dedup import op7_minhash_near_dedup
 from sideline.llm.packing import op4_best_fit_packing
 from sideline.llm.product_quantisation import op9_embedding_near_dedup
 from sideline.llm.repeats import op6_suffix_array_dedup
+from sideline.llm.sentence_pieces import op8_sentencepiece
 from sideline.llm.token_counts import op2_token_counts
 from sideline.llm.top_inner import op10_exact_top_k
 from sideline.llm.toxicity import op5_toxicity
@@ -25,6 +26,7 @@ _ALL = (
     op5_toxicity,
     op6_suffix_array_dedup,
     op7_minhash_near_dedup,
+    op8_sentencepiece,
     op9_embedding_near_dedup,
     op10_exact_top_k,
 )
