@@ -1,8 +1,10 @@
 """Command line: the source's scripts as subcommands.
 
     python -m sideline load    --tables DIR --out DIR            # historical load
+    python -m sideline load    --landed DIR --out DIR            # the same, from landed files
     python -m sideline build   --tables DIR --out DIR [--database mart]
     python -m sideline peek    --tables DIR [--report top_teams_alltime] [--rows 10]
+    python -m sideline update  --out DIR --schedules FEED --weekly FEED [--season N --weeks 1 2] [--game-type REG]
     python -m sideline refresh --landing DIR --table DIR --checkpoint DIR [--rejects DIR]
 
 ``--tables`` is a folder with the driver's parquet tables.  The session comes
@@ -24,8 +26,17 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", default=None)
     sub = ap.add_subparsers(dest="cmd", required=True)
     p = sub.add_parser("load", help="derive the fact tables and write them")
-    p.add_argument("--tables", required=True)
+    given = p.add_mutually_exclusive_group(required=True)
+    given.add_argument("--tables")
+    given.add_argument("--landed")
+    p.add_argument("--out", required=True)
+    p = sub.add_parser("update", help="refresh the season's completed weeks of the loaded tables")
     p.add_argument("--out", required=True)
+    p.add_argument("--schedules", required=True)
+    p.add_argument("--weekly", required=True)
+    p.add_argument("--season", type=int, default=None)
+    p.add_argument("--weeks", type=int, nargs="*", default=None)
+    p.add_argument("--game-type", default="REG")
     p = sub.add_parser("build", help="publish every mart as a table")
     p.add_argument("--tables", required=True)
     p.add_argument("--out", required=True)
@@ -43,14 +54,22 @@ def main(argv: list[str] | None = None) -> int:
 
     from sideline.session import get_spark
     spark = get_spark(a.master)
-    if a.cmd == "load":
+    if a.cmd == "load" and a.landed:
+        from sideline.plans.pipelines import load_landed
+        load_landed(spark, a.landed, a.out).show(truncate=False)
+    elif a.cmd == "load":
         from sideline.plans.pipelines import historical_load
         from sideline.plans.warehouse import stage_months
+        from sideline.session import ensure_checkpoint_dir
         from sideline.sources import fixtures as FX
-        months = stage_months(spark, a.tables, f"{a.out.rstrip('/')}/_supplier_months")
+        months = stage_months(spark, a.tables, f"{ensure_checkpoint_dir(spark).rstrip('/')}/supplier-months")
         counts = historical_load({"hist_schedules": FX.hist_schedules(spark, a.tables, months),
                                   "hist_weekly": FX.hist_weekly(spark, a.tables, months)}, a.out)
         counts.show(truncate=False)
+    elif a.cmd == "update":
+        from sideline.plans.pipelines import refresh_tables
+        refresh_tables(spark, a.out, spark.read.parquet(a.schedules), spark.read.parquet(a.weekly),
+                       a.season, a.weeks, a.game_type).show(100, truncate=False)
     elif a.cmd == "build":
         from sideline.plans.catalog import marts
         from sideline.plans.publish import publish_marts

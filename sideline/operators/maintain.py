@@ -15,8 +15,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sideline.functions.joins import bounded
-
 SLICE_KEYS = ["season", "week"]
 
 
@@ -27,22 +25,13 @@ def _guard(keys: Sequence[str], what: str) -> Column:
             .otherwise(F.lit(True)))
 
 
-def unique_keys(df: DataFrame, keys: Sequence[str], what: str = "keys") -> DataFrame:
-    """The distinct keys of ``df``, failing the job if a key occurs more than once.
-
-    A grouped count (partial aggregation first, so a hot key is combined
-    map-side, never gathered in one task) with a ``raise_error`` guard.
-    Lazy: no extra action, no collect.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_key"))
-    return counts.where(_guard(keys, what)).select(*keys)
-
-
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "keys") -> DataFrame:
     """``df`` itself, with a run-time failure if a key occurs more than once.
 
-    Same grouped form as ``unique_keys``: one row per key carrying the other
-    columns (``first`` of a one-row group is the row itself).
+    A grouped count (partial aggregation first, so a hot key is combined
+    map-side, never gathered in one task) with a ``raise_error`` guard; one
+    row per key carries the other columns (``first`` of a one-row group is
+    the row itself).  Lazy: no extra action, no collect.
     """
     others = [c for c in df.columns if c not in set(keys)]
     grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n_key"),
@@ -50,24 +39,30 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "keys") -> Dat
     return grouped.where(_guard(keys, what)).select(*df.columns)
 
 
-def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
-           check_unique: bool = True, bounded_keys: bool = False) -> DataFrame:
-    """``INSERT ... ON CONFLICT (keys) DO UPDATE`` as anti-join + union.
+def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``INSERT ... ON CONFLICT (keys) DO UPDATE`` as one grouped aggregate.
 
     Rows of ``target`` whose key arrives in ``incoming`` are replaced; the
-    others stay.  A repeated key in ``incoming`` fails the job, like the
-    database would.  Upserting twice gives the same table as once.
-    ``bounded_keys=True`` (dimensions keyed by season, week and team) lets
-    the arriving key set be broadcast; by default the anti-join is left to
-    the planner, since both sides may be large.
+    others stay; upserting twice gives the same table as once.  Both frames
+    are tagged, united and grouped by key, and the newer row of each key is
+    kept: either side is read once, nothing is broadcast, and the guard sits
+    on the rows that leave, so no plan can drop it.  A key repeated in
+    ``incoming`` fails the job like the database would, and so does one
+    repeated in ``target``, whose primary key it is (NULLs count as equal).
     """
-    incoming = incoming.select(*target.columns)
-    arriving = (unique_keys(incoming, keys, "upsert: incoming batch") if check_unique
-                else incoming.select(*keys))
-    if bounded_keys:
-        arriving = bounded(arriving)
-    kept = target.join(arriving, list(keys), "left_anti")
-    return kept.unionByName(incoming)
+    columns = target.columns
+    types = dict(zip(columns, (f.dataType for f in target.schema.fields)))
+    arriving = incoming.select(*[F.col(c).cast(types[c]).alias(c) for c in columns])
+
+    def tagged(df: DataFrame, new: int) -> DataFrame:
+        return df.select(*keys, F.struct(*columns).alias("_row"), F.lit(new).alias("_new"))
+
+    per_key = tagged(target, 0).union(tagged(arriving, 1)).groupBy(*keys).agg(
+        F.max_by("_row", "_new").alias("_row"),
+        F.count_if(F.col("_new") == 1).alias("_n_key"), F.count_if(F.col("_new") == 0).alias("_n_had"))
+    once = per_key.where(_guard(keys, "upsert: incoming batch"))
+    return (once.withColumn("_n_key", F.col("_n_had")).where(_guard(keys, "upsert: target"))
+            .select(*[F.col(f"_row.`{c}`").alias(c) for c in columns]))
 
 
 def _slice_frame(spark: SparkSession, slices) -> DataFrame:
@@ -103,15 +98,16 @@ def slice_counts(df: DataFrame, slices) -> DataFrame:
             .select(*SLICE_KEYS, F.coalesce(F.col("rows"), F.lit(0)).alias("rows")))
 
 
-def row_counts(frames: Mapping[str, DataFrame | None]) -> DataFrame:
+def row_counts(frames: Mapping[str, DataFrame | None], spark: SparkSession | None = None) -> DataFrame:
     """(table_name, rows) for each named frame; one job, one aggregate per frame.
 
-    A frame given as None (a table that is missing) is reported with NULL rows.
+    A frame given as None (a table that is missing) is reported with NULL
+    rows; if all are, ``spark`` (or the active session) makes the report.
     """
+    if not frames:
+        raise ValueError("row_counts needs at least one name")
     present = [df for df in frames.values() if df is not None]
-    if not present:
-        raise ValueError("row_counts needs at least one frame")
-    spark = present[0].sparkSession
+    spark = present[0].sparkSession if present else spark or SparkSession.getActiveSession()
     parts = []
     for name, df in frames.items():
         if df is None:

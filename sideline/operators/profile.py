@@ -14,10 +14,10 @@ column):
    all values of a column.
 
 ``exact=False`` switches distinct counts to HyperLogLog
-(``approx_count_distinct``) inside the wide aggregate and takes the examples
-from a bounded pool (each task's 50 smallest rows per column, limited before
-the shuffle), so no pass shuffles all distinct values: for very wide or very
-large tables.
+(``approx_count_distinct``) inside the wide aggregate; the examples stay
+exact: each task keeps its five smallest *different* values per column
+(``dense_rank() <= 5``, a ``WindowGroupLimit`` before the shuffle), so no pass
+shuffles all distinct values.  For very wide or very large tables.
 """
 
 from __future__ import annotations
@@ -32,10 +32,12 @@ from sideline.operators.games import played
 
 SAMPLE_VALUES = 5
 SAMPLE_CHARS = 60
-APPROX_POOL = 50
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
 
+# Sums of ids overflow a bigint; they are added up as decimals.
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
 
 def _is_numeric(dt) -> bool:
     return isinstance(dt, _NUMERIC)
@@ -61,7 +63,7 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
             F.count(c).alias("non_null"),
             (F.min(c).cast("double") if num else nothing).alias("min"),
             (F.max(c).cast("double") if num else nothing).alias("max"),
-            (round_avg(c, 3) if num else nothing).alias("avg"),
+            (round_avg(c.cast("decimal(38,0)") if isinstance(f.dataType, _WHOLE) else c, 3) if num else nothing).alias("avg"),
             (F.min(c).cast("date") if temporal else no_date).alias("min_date"),
             (F.max(c).cast("date") if temporal else no_date).alias("max_date"),
             (F.approx_count_distinct(c) if not exact else F.lit(None).cast("bigint")).alias("approx"),
@@ -81,15 +83,13 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
         distinct_vals = values.distinct()
         pool = distinct_vals
     else:
-        # Bounded pool: each task keeps its APPROX_POOL smallest rows per
-        # column (a partial WindowGroupLimit before the shuffle), then the
-        # pool is de-duplicated.  Heavy duplication of the smallest values in
-        # a task can leave fewer than five examples; counts are HLL anyway.
+        # Each task's five smallest different values of a column hold the
+        # column's five smallest, however often values repeat.
         per_task = Window.partitionBy("column_name", "_task").orderBy(
             F.col("k").asc_nulls_first(), F.col("v").asc())
         pool = (values.withColumn("_task", F.spark_partition_id())
-                .withColumn("rn", F.row_number().over(per_task))
-                .where(F.col("rn") <= APPROX_POOL)
+                .withColumn("rn", F.dense_rank().over(per_task))
+                .where(F.col("rn") <= SAMPLE_VALUES)
                 .select("column_name", "v", "k").distinct())
     samples = (pool.withColumn("rn", F.row_number().over(first))
                .where(F.col("rn") <= SAMPLE_VALUES)

@@ -1,8 +1,8 @@
 """Weekly team totals and ranks; defence-by-position ranks and their keys.
 
-* The weekly base reads the player fact once: each row is exploded into its
-  offence side (own team) and defence side (opponent), and one grouped
-  aggregate of conditional sums yields both totals.
+* The weekly base reads the player fact once: rows are summed by (week, team,
+  opponent) first, and only those few sums are exploded into an offence side
+  (own team) and a defence side (opponent) for the totals.
 * Six dense ranks share one window partitioning (season, week): one shuffle,
   six sorts of partitions that hold one row per team.
 * Defence by position is computed in one pass: a single grouped aggregate
@@ -34,14 +34,14 @@ def team_weekly_base(weekly: DataFrame, schedules: DataFrame) -> DataFrame:
     reg = weekly.where(F.col("season_type") == "REG")
     pass_y = F.coalesce(F.col("passing_yards"), F.lit(0)).cast("double")
     rush_y = F.coalesce(F.col("rushing_yards"), F.lit(0)).cast("double")
-    # One scan: each player row counts for its team's offence and against the
-    # opponent's defence; one grouped aggregate sums both sides.
-    sides = reg.select(
+    # One scan: totals by the two teams first (a few rows a game), then each
+    # total counts for its team's offence and against the opponent's defence.
+    games = reg.groupBy(
         F.col("season").cast("int").alias("season"), F.col("week").cast("int").alias("week"),
-        pass_y.alias("py"), rush_y.alias("ry"),
-        F.explode(F.array(
-            F.struct(F.col("recent_team").alias("team"), F.lit(True).alias("offence")),
-            F.struct(F.col("opponent_team").alias("team"), F.lit(False).alias("offence")))).alias("s"))
+        "recent_team", "opponent_team").agg(F.sum(pass_y).alias("py"), F.sum(rush_y).alias("ry"))
+    sides = games.select("season", "week", "py", "ry", F.explode(F.array(
+        F.struct(F.col("recent_team").alias("team"), F.lit(True).alias("offence")),
+        F.struct(F.col("opponent_team").alias("team"), F.lit(False).alias("offence")))).alias("s"))
     off, py, ry = F.col("s.offence"), F.col("py"), F.col("ry")
     yards = sides.groupBy("season", "week", F.col("s.team").alias("team")).agg(
         F.sum(F.when(off, py)).alias("off_pass_yards"),

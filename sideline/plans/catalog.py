@@ -23,7 +23,9 @@ from sideline.plans import leaders as L
 from sideline.plans import pipelines as PP
 from sideline.plans import warehouse as WH
 from sideline.plans.marts import Marts
+from sideline.schemas import HIST_SCHEDULES, HIST_WEEKLY
 from sideline.sources import fixtures as FX
+from sideline.sources import io as IO
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +35,10 @@ REFRESH_WEEKS_WITH_ROWS = (1, 2, 3)
 UPSERT_SPLIT_SEASON = 2000
 TEAM_CARD = "NATION_1"
 VS500_MIN_GAMES = 50
+RANGE = (1994, 1996)
+RANGE_MIN_GAMES = 1
+READ_SEASONS = (1995, 1996)
+READ_WEEKS = (1, 2)
 
 
 def facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -92,7 +98,7 @@ def upsert_coach_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = cm.where(F.col("season") <= UPSERT_SPLIT_SEASON)
     incoming = (cm.where(F.col("season") >= UPSERT_SPLIT_SEASON)
                 .withColumn("head_coach", F.concat(F.col("head_coach"), F.lit("_2"))))
-    return MT.upsert(target, incoming, ["season", "week", "team"], bounded_keys=True)
+    return MT.upsert(target, incoming, ["season", "week", "team"])
 
 
 def upsert_division_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +107,7 @@ def upsert_division_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = FX.division_feed(spark, sf_dir, shift=1, schedules=hs)
     latest = changed.agg(F.max("season").alias("season"))
     incoming = changed.join(F.broadcast(latest), "season", "left_semi")
-    return MT.upsert(target, incoming, ["season", "team"], bounded_keys=True)
+    return MT.upsert(target, incoming, ["season", "team"])
 
 
 def weekly_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,6 +146,25 @@ def in_season_refresh_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PP.in_season_refresh(hs, hw, hs, weekly_feed(spark, sf_dir)).counts
 
 
+def _wide_refresh(spark: SparkSession, sf_dir: str) -> PP.RefreshResult:
+    """The same refresh on tables that have a column more than the fixed schemas, in table and feed."""
+    hs, hw = facts(spark, sf_dir)
+    hs = hs.withColumn("total", F.col("home_score") + F.col("away_score"))
+    more = F.col("carries") + F.lit(0.5)
+    return PP.in_season_refresh(hs, hw.withColumn("fantasy_points", more), hs,
+                                weekly_feed(spark, sf_dir).withColumn("fantasy_points", more))
+
+
+# ---- slices and ordered outputs ---------------------------------------------
+def schedules_of_seasons_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return IO.read_seasons(spark, f"{WH.load_facts(spark, sf_dir)}/hist_schedules", READ_SEASONS).select(*HIST_SCHEDULES.fieldNames())
+
+
+def weekly_of_seasons_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = IO.read_seasons(spark, f"{WH.load_facts(spark, sf_dir)}/hist_weekly", READ_SEASONS, READ_WEEKS)
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in HIST_WEEKLY.fields])
+
+
 def check_keys_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = marts(spark, sf_dir)
     return MT.check_keys([
@@ -237,6 +262,14 @@ QUERIES: dict[str, Query] = {
     "def_rank_qb_top10": _m(L.def_rank_qb_top10),
     "scored_sample": lambda s, d: L.scored_sample(schedules(s, d)),
     "player_games_latest": _m(L.player_games_latest),
+    # slices by season list and range, ordered outputs
+    "schedules_of_seasons": schedules_of_seasons_q,
+    "weekly_of_seasons": weekly_of_seasons_q,
+    "vs500_leaderboard_range": lambda s, d: vs500_leaderboard(schedules(s, d), RANGE_MIN_GAMES, *RANGE),
+    "scored_sample_range": lambda s, d: L.scored_sample(schedules(s, d), 10, *RANGE),
+    "team_card_ordered": _m(L.teams_in_order),
+    "games_by_season_tail": lambda s, d: L.last_seasons(PR.games_by_season(schedules(s, d))),
+    "schedules_head_tail": lambda s, d: L.head_and_tail(schedules(s, d), ["season", "week", "game_id"]),
     # maintenance and alignment
     "refresh_slices": refresh_slices_q,
     "upsert_coach": upsert_coach_q,
@@ -247,6 +280,9 @@ QUERIES: dict[str, Query] = {
     "schema_drift": schema_drift_q,
     "completed_weeks": lambda s, d: PR.completed_weeks(schedules(s, d)),
     "in_season_refresh": in_season_refresh_q,
+    "refreshed_schedules": lambda s, d: _wide_refresh(s, d).schedules,
+    "refreshed_weekly": lambda s, d: _wide_refresh(s, d).weekly,
+    "rejected_weekly": lambda s, d: _wide_refresh(s, d).rejected_weekly,
     # profiles and coverage
     "profile_schedules": lambda s, d: PR.profile(schedules(s, d)),
     "profile_weekly": lambda s, d: PR.profile(weekly(s, d)),

@@ -157,3 +157,38 @@ def player_games_latest(m: Marts, k: int = 20) -> DataFrame:
                 "rushing_attempts", "rushing_yards", "targets", "receptions", "receiving_yards",
                 "completions", "attempts", "passing_yards", "passing_tds", "interceptions",
                 "is_home", "is_playoff", "is_primetime"])
+
+
+# ---- whole ordered outputs ----------------------------------------------------
+def in_order(df: DataFrame, *order: Column) -> DataFrame:
+    """The whole frame sorted, with ``position`` from 1.
+
+    A total order is one task's work, so this is for reports whose rows are
+    bounded by teams or seasons; ``head_and_tail`` is for any size.
+    """
+    position = F.row_number().over(Window.orderBy(*order))
+    return df.withColumn("position", position).orderBy("position")
+
+
+def teams_in_order(m: Marts) -> DataFrame:
+    """Every team's all-time record, best first."""
+    return in_order(m.team_alltime_splits.select(*TEAM_TOP), d("win_pct"), d("wins"), a("team"))
+
+
+def last_seasons(games_by_season: DataFrame, k: int = 10) -> DataFrame:
+    """The last ``k`` rows of the season report, latest first."""
+    return in_order(games_by_season.orderBy(F.col("season").desc()).limit(k), F.col("season").desc())
+
+
+def head_and_tail(df: DataFrame, keys: list[str], head: int = 5, tail: int = 10) -> DataFrame:
+    """First and last rows by a unique key, with ``part`` and ``position`` (from that end).
+
+    Each end is a top-k: every task keeps its own k rows, nothing is sorted as a whole.
+    """
+    def end(part: str, k: int, order: list[Column]) -> DataFrame:
+        rows = df.orderBy(*order).limit(k)
+        return in_order(rows, *order).withColumn("part", F.lit(part))
+
+    first = end("head", head, [a(c) for c in keys])
+    last = end("tail", tail, [d(c) for c in keys])
+    return first.unionByName(last)

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sideline.functions.joins import bounded
 from sideline.operators import align as AL
@@ -19,21 +20,25 @@ from sideline.operators.games import played
 from sideline.operators.profile import completed_weeks
 from sideline.operators.people import coach_map
 from sideline.schemas import (
-    DIM_TEAM_DIVISION, DIM_TEAM_DIVISION_KEYS, DIM_TEAM_HEAD_COACH, DIM_TEAM_HEAD_COACH_KEYS,
-    HIST_SCHEDULES, HIST_WEEKLY,
+    DIM_TEAM_DIVISION, DIM_TEAM_DIVISION_KEYS, DIM_TEAM_HEAD_COACH, DIM_TEAM_HEAD_COACH_KEYS, SLICE_LAYOUT,
 )
 from sideline.sources import io as IO
 
 
-def historical_load(frames: dict[str, DataFrame], out_dir: str,
-                    partition_by: tuple[str, ...] = ("season",)) -> DataFrame:
+# Landed files of the historical load: table -> file below the landing folder.
+LANDED = {"hist_schedules": "schedules.parquet", "hist_weekly": "weekly.parquet",
+          "hist_rosters_seasonal": "rosters_seasonal.parquet", "hist_rosters_weekly": "rosters_weekly.parquet"}
+
+
+def historical_load(frames: dict[str, DataFrame | None], out_dir: str,
+                    partition_by: tuple[str, ...] = SLICE_LAYOUT, spark: SparkSession | None = None) -> DataFrame:
     """Replace each named table under ``out_dir`` (partitioned), then count it.
 
     Tables that are missing (None) are skipped and reported with NULL rows,
     like the source's loader.  Returns (table_name, rows) read back from the
-    written files.
+    written files.  The layout is the one the refreshes rewrite; tables
+    without a week are partitioned by season alone.
     """
-    spark = next(df for df in frames.values() if df is not None).sparkSession
     written: dict[str, DataFrame | None] = {}
     for name, df in frames.items():
         if df is None:
@@ -42,8 +47,35 @@ def historical_load(frames: dict[str, DataFrame], out_dir: str,
         path = f"{out_dir.rstrip('/')}/{name}"
         parts = tuple(c for c in partition_by if c in df.columns)
         IO.write_table(df.hint("rebalance", *parts) if parts else df, path, "overwrite", parts)
-        written[name] = spark.read.parquet(path)
-    return MT.row_counts(written)
+        written[name] = df.sparkSession.read.parquet(path)
+    return MT.row_counts(written, spark)
+
+
+def load_landed(spark: SparkSession, landing_dir: str, out_dir: str) -> DataFrame:
+    """The historical load from landed parquet files; missing and empty ones are skipped and reported with NULL rows."""
+    frames = {name: IO.load_parquet(spark, f"{landing_dir.rstrip('/')}/{file}") for name, file in LANDED.items()}
+    return historical_load(frames, out_dir, spark=spark)
+
+
+def load_play_by_play(spark: SparkSession, landing_dir: str, out_dir: str, seasons) -> DataFrame:
+    """One landed file per season (``pbp_<season>.parquet``) as one dataset partitioned by season.
+
+    Seasons without a file are skipped; columns that only some seasons have
+    are NULL in the others.  Returns (season, rows).
+    """
+    frames = []
+    for season in seasons:
+        df = IO.load_parquet(spark, f"{landing_dir.rstrip('/')}/pbp_{int(season)}.parquet")
+        if df is not None:
+            frames.append(df.withColumn("season", F.lit(int(season))))
+    path = f"{out_dir.rstrip('/')}/play_by_play"
+    if not frames:
+        return spark.createDataFrame([], "season int, rows bigint")
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    IO.write_table(out, path, "overwrite", ("season",))
+    return spark.read.parquet(path).groupBy("season").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @dataclass
@@ -66,11 +98,12 @@ def in_season_refresh(schedules: DataFrame, weekly: DataFrame,
     2. Feed rows of those weeks (scored games of the type; weekly rows of the
        season type) replace the slices in both tables; every listed week is
        emptied first, even if nothing new arrived for it.
-    3. The weekly feed is harmonised to the table's columns and types.
+    3. Both feeds are conformed to the columns and types of the tables they
+       go into, whatever columns those have.
     4. ``counts``: rows per refreshed slice in both new tables;
-       ``rejected_weekly``: feed rows that fit no slice (for example a season
-       that did not parse), kept for inspection instead of being dropped
-       silently.
+       ``rejected_weekly``: feed rows of no refreshed slice (for example a
+       season that did not parse) or of another or no season type, kept for
+       inspection instead of being dropped silently.
     """
     if weeks is None:
         slices = completed_weeks(feed_schedules, season, game_type)
@@ -79,20 +112,57 @@ def in_season_refresh(schedules: DataFrame, weekly: DataFrame,
             raise ValueError("season is required with an explicit week list")
         slices = weekly.sparkSession.createDataFrame([(int(season), int(w)) for w in weeks],
                                                      "season int, week int")
-    sl = bounded(slices)
-    new_games = played(feed_schedules).where(F.col("game_type") == game_type)
-    new_sched = AL.conform(new_games, HIST_SCHEDULES)
-    aligned = AL.conform(AL.harmonize(feed_weekly, HIST_WEEKLY.fieldNames()), HIST_WEEKLY)
-    new_weekly = aligned.where(F.col("season_type") == game_type)
+    new_sched, aligned = aligned_feeds(schedules.schema, weekly.schema, feed_schedules, feed_weekly, game_type)
+    right = F.col("season_type").eqNullSafe(game_type)
+    new_weekly = aligned.where(right)
     out_s = MT.refresh_slices(schedules, new_sched, slices)
     out_w = MT.refresh_slices(weekly, new_weekly, slices)
     counts = (MT.slice_counts(out_s, slices).withColumn("table_name", F.lit("hist_schedules"))
               .unionByName(MT.slice_counts(out_w, slices).withColumn("table_name", F.lit("hist_weekly")))
               .select("table_name", "season", "week", "rows"))
-    rejected = new_weekly.join(sl, ["season", "week"], "left_anti")
+    listed = bounded(slices.withColumn("_listed", F.lit(True)))
+    rejected = (aligned.join(listed, ["season", "week"], "left")
+                .where(~(right & F.coalesce("_listed", F.lit(False)))).select(*aligned.columns))
     return RefreshResult(out_s, out_w, slices, counts, rejected)
 
 
+def aligned_feeds(schedules: T.StructType, weekly: T.StructType, feed_schedules: DataFrame,
+                  feed_weekly: DataFrame, game_type: str) -> tuple[DataFrame, DataFrame]:
+    """Scored games of the type, and all weekly rows, with the columns and types of the tables they go into."""
+    games = played(feed_schedules).where(F.col("game_type") == game_type)
+    return (AL.conform(games, schedules),
+            AL.conform(AL.harmonize(feed_weekly, weekly.fieldNames()), weekly))
+
+
+def refresh_tables(spark: SparkSession, table_dir: str, feed_schedules: DataFrame, feed_weekly: DataFrame,
+                   season: int | None = None, weeks: list[int] | None = None, game_type: str = "REG") -> DataFrame:
+    """The in-season refresh of stored ``hist_schedules`` and ``hist_weekly`` below ``table_dir``.
+
+    Same weeks and rows as ``in_season_refresh``; only the partitions of the
+    refreshed weeks are rewritten (the week list, at most a season's, is
+    resolved once and then a literal predicate).  Running it again leaves the
+    same tables.  Returns rows per table and slice, read back.
+    """
+    root = table_dir.rstrip("/")
+    paths = {name: f"{root}/{name}" for name in ("hist_schedules", "hist_weekly")}
+    stored = {name: spark.read.parquet(path) for name, path in paths.items()}
+    for path in paths.values():
+        IO.check_layout(spark, path, SLICE_LAYOUT)
+    if weeks is None:
+        slices = [(r["season"], r["week"]) for r in completed_weeks(feed_schedules, season, game_type).collect()]
+    elif season is None:
+        raise ValueError("season is required with an explicit week list")
+    else:
+        slices = [(int(season), int(w)) for w in weeks]
+    games, lines = aligned_feeds(stored["hist_schedules"].schema, stored["hist_weekly"].schema, feed_schedules, feed_weekly, game_type)
+    inside = IO.in_slices(slices)
+    IO.overwrite_slices(games.where(inside), paths["hist_schedules"], slices, SLICE_LAYOUT)
+    IO.overwrite_slices(lines.where(inside & (F.col("season_type") == game_type)), paths["hist_weekly"], slices, SLICE_LAYOUT)
+    parts = [MT.slice_counts(spark.read.parquet(path), slices).select(F.lit(name).alias("table_name"), "season", "week", "rows")
+             for name, path in paths.items()]
+    return parts[0].unionByName(parts[1])
+
+
 def load_division_mapping(spark, csv_path: str, current: DataFrame | None = None) -> DataFrame | None:
     """Upsert a division CSV (season,team,conference,division) into the dimension.
 
@@ -105,7 +175,7 @@ def load_division_mapping(spark, csv_path: str, current: DataFrame | None = None
     if incoming is None:
         return None
     target = current if current is not None else spark.createDataFrame([], DIM_TEAM_DIVISION)
-    return MT.upsert(target, incoming, list(DIM_TEAM_DIVISION_KEYS), bounded_keys=True)
+    return MT.upsert(target, incoming, list(DIM_TEAM_DIVISION_KEYS))
 
 
 def refresh_coach_dimension(schedules: DataFrame, feed: DataFrame,
@@ -118,5 +188,4 @@ def refresh_coach_dimension(schedules: DataFrame, feed: DataFrame,
     """
     spark = schedules.sparkSession
     target = current if current is not None else spark.createDataFrame([], DIM_TEAM_HEAD_COACH)
-    return MT.upsert(target, coach_map(schedules, feed), list(DIM_TEAM_HEAD_COACH_KEYS),
-                     bounded_keys=True)
+    return MT.upsert(target, coach_map(schedules, feed), list(DIM_TEAM_HEAD_COACH_KEYS))

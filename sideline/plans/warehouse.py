@@ -25,14 +25,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sideline.schemas import HIST_SCHEDULES, HIST_WEEKLY
+from sideline.schemas import HIST_SCHEDULES, HIST_WEEKLY, SLICE_LAYOUT
 from sideline.session import ensure_checkpoint_dir
 from sideline.sources import fixtures as FX
 
 SOURCE_TABLES = ("lineitem", "supplier", "nation")
 # Same layout as the in-season refresh (streaming.refresh), which rewrites
 # single (season, week) partitions of this table.
-WEEKLY_PARTITIONS = ("season", "week")
+WEEKLY_PARTITIONS = SLICE_LAYOUT
 _MARKER = "_LOADED"
 
 

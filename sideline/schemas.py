@@ -30,6 +30,11 @@ HIST_WEEKLY = _struct(
     ("receptions", _I), ("targets", _I), ("receiving_yards", _D), ("receiving_tds", _I),
 )
 
+# One layout of the stored fact tables, from load over refresh to publish.
+SLICE_LAYOUT = ("season", "week")
+# What identifies a weekly row within the stored table.
+WEEKLY_KEYS = ("player_id", "season", "week")
+
 DIM_TEAM_HEAD_COACH = _struct(("season", _I), ("week", _I), ("team", _S), ("head_coach", _S))
 DIM_TEAM_HEAD_COACH_KEYS = ("season", "week", "team")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,11 +69,15 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def append_nonempty(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> bool:
-    """Append ``df`` unless it has no rows; returns whether anything was written."""
-    if df.isEmpty():
-        return False
-    write_table(df, path, "append", partition_by)
-    return True
+    """Append ``df`` unless it has no rows; returns whether anything was written.
+
+    ``df`` is evaluated once: appending nothing leaves the table as it is, and
+    the written rows are counted on the way.
+    """
+    check_layout(df.sparkSession, path, partition_by)
+    seen = Observation()
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, "append", partition_by)
+    return seen.get["rows"] > 0
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -82,6 +86,41 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+def partition_layout(spark: SparkSession, path: str) -> list[str] | None:
+    """The partition columns of a stored table, outermost first; None if nothing is stored there."""
+    jvm = spark.sparkContext._jvm
+    here = jvm.org.apache.hadoop.fs.Path(path)
+    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(here):
+        return None
+    layout: list[str] = []
+    while True:
+        inside = [f for f in fs.listStatus(here) if not f.getPath().getName().startswith(("_", "."))]
+        folders = [f.getPath() for f in inside if f.isDirectory() and "=" in f.getPath().getName()]
+        if not folders:
+            return layout if layout or inside else None
+        layout.append(folders[0].getName().split("=")[0])
+        here = folders[0]
+
+
+def check_layout(spark: SparkSession, path: str, partition_by: Sequence[str]) -> None:
+    """Refuse to write into a table of another layout (mixed layouts cannot be read back)."""
+    stored = partition_layout(spark, path)
+    if stored is not None and stored != list(partition_by):
+        raise ValueError(f"{path} is partitioned by {stored or 'nothing'}, not by {list(partition_by)}")
+
+
+def in_slices(slices: Iterable[tuple[int, int]]):
+    """Literal predicate on (season, week), which prunes partitions."""
+    weeks: dict[int, list[int]] = {}
+    for season, week in sorted({(int(s), int(w)) for s, w in slices}):
+        weeks.setdefault(season, []).append(week)
+    cond = F.lit(False)
+    for season, some in weeks.items():
+        cond = cond | ((F.col("season") == season) & F.col("week").isin(some))
+    return cond
+
+
 def overwrite_slices(df: DataFrame, path: str, slices: Iterable[tuple[int, int]],
                      partition_by: Sequence[str] = ("season", "week")) -> list[tuple[int, int]]:
     """Replace the listed (season, week) partitions of a table with ``df``'s rows.
@@ -94,6 +133,7 @@ def overwrite_slices(df: DataFrame, path: str, slices: Iterable[tuple[int, int]]
     with the same input gives the same table.  Returns the emptied slices.
     """
     spark = df.sparkSession
+    check_layout(spark, path, partition_by)
     listed = {(int(s), int(w)) for s, w in slices}
     present = {(int(r[0]), int(r[1])) for r in df.select(*partition_by).distinct().collect()}
     outside = present - listed

@@ -1,35 +1,40 @@
 """In-season refresh as a Structured Streaming job.
 
 New weekly files land in a folder during the season.  A file-source stream
-picks them up; every micro-batch is aligned to the table's schema
-(``align.harmonize`` + ``conform``) and the (season, week) slices it carries
-replace those slices of the table.
+picks them up; every micro-batch is aligned to the stored table's own schema
+(``align.harmonize`` + ``conform``) and merged into the (season, week) slices
+it touches: a row of the batch replaces the stored row of its player and week,
+the other rows of the week stay.  So a week may arrive in any number of
+batches.
 
 The table is parquet partitioned by (season, week).  A micro-batch rewrites
 only the partitions it carries, with Spark's dynamic partition overwrite
-(``sources.io.overwrite_slices``): the work is proportional to the new
-slices, not to the table.  Rewriting a partition with the same rows is
-idempotent, so a micro-batch replayed after a failure (the stream's
-progress lives in ``checkpoint_dir``, a shared folder on a cluster) leaves
-the same table: effectively exactly once.
+(``sources.io.overwrite_slices``): the work is proportional to the touched
+slices, not to the table.  Merging the same rows again is idempotent, so a
+micro-batch replayed after a failure (the stream's progress lives in
+``checkpoint_dir``, a shared folder on a cluster) leaves the same table:
+effectively exactly once.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sideline.operators.align import conform, harmonize
-from sideline.schemas import HIST_WEEKLY
-from sideline.sources.io import overwrite_slices, write_table
-
-PARTITIONS = ("season", "week")
+from sideline.schemas import HIST_WEEKLY, SLICE_LAYOUT, WEEKLY_KEYS
+from sideline.session import ensure_checkpoint_dir
+from sideline.sources.io import check_layout, in_slices, overwrite_slices, write_table
 
 
 def init_table(df: DataFrame, table_dir: str) -> str:
     """Write ``df`` as the (season, week)-partitioned table."""
-    return write_table(df.hint("rebalance", *PARTITIONS), table_dir, "overwrite", PARTITIONS)
+    return write_table(df.hint("rebalance", *SLICE_LAYOUT), table_dir, "overwrite", SLICE_LAYOUT)
 
 
 def read_table(spark: SparkSession, table_dir: str, schema: T.StructType = HIST_WEEKLY) -> DataFrame:
@@ -37,25 +42,38 @@ def read_table(spark: SparkSession, table_dir: str, schema: T.StructType = HIST_
     return spark.read.schema(schema).parquet(table_dir).select(*schema.fieldNames())
 
 
-def refresh_batch(batch: DataFrame, table_dir: str, schema: T.StructType = HIST_WEEKLY,
-                  rejects_dir: str | None = None, epoch_id: int = 0) -> list:
-    """Align one batch of feed rows and replace the slices it carries.
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: evaluated once, and safe to overwrite what it came from."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def refresh_batch(batch: DataFrame, table_dir: str, rejects_dir: str | None = None, epoch_id: int = 0,
+                  game_type: str = "REG", keys: Sequence[str] = WEEKLY_KEYS) -> list:
+    """Align one batch of feed rows to the stored table and merge it, by ``keys``, into the slices it touches.
 
-    Rows whose season or week did not parse cannot be placed in a slice;
-    with ``rejects_dir`` they are written to ``rejects_dir/epoch=<id>``
-    (overwritten on replay) instead of being dropped silently.
+    Rows whose season or week did not parse cannot be placed, and rows of
+    another season type (or none) are not taken; with ``rejects_dir`` both are
+    written to ``rejects_dir/epoch=<id>`` (overwritten on replay) instead of
+    being dropped silently.  Returns the touched slices, at most the calendar.
     """
-    incoming = conform(harmonize(batch, schema.fieldNames()), schema).persist()
-    try:
-        placed = incoming.season.isNotNull() & incoming.week.isNotNull()
-        good = incoming.where(placed)
-        slices = [(r[0], r[1]) for r in good.select(*PARTITIONS).distinct().collect()]
-        overwrite_slices(good, table_dir, slices, PARTITIONS)
-        if rejects_dir is not None:
-            write_table(incoming.where(~placed), f"{rejects_dir.rstrip('/')}/epoch={epoch_id}", "overwrite")
-        return slices
-    finally:
-        incoming.unpersist()
+    spark = batch.sparkSession
+    check_layout(spark, table_dir, SLICE_LAYOUT)
+    stored = spark.read.parquet(table_dir)
+    incoming = _written(conform(harmonize(batch, stored.columns), stored.schema), "refresh-batch")
+    taken = F.col("season").isNotNull() & F.col("week").isNotNull() & F.col("season_type").eqNullSafe(game_type)
+    good = incoming.where(taken)
+    slices = [(r[0], r[1]) for r in good.select(*SLICE_LAYOUT).distinct().collect()]
+    if slices:
+        arriving = good.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        stay = stored.where(in_slices(slices)).join(arriving, same, "left_anti")
+        overwrite_slices(_written(stay.unionByName(good), "refresh-merged"), table_dir, slices, SLICE_LAYOUT)
+    if rejects_dir is not None:
+        write_table(incoming.where(~taken), f"{rejects_dir.rstrip('/')}/epoch={epoch_id}", "overwrite")
+    return slices
 
 
 def start_weekly_refresh(spark: SparkSession, landing_dir: str, table_dir: str,
