@@ -19,8 +19,10 @@ the array is built only where an equal partner is possible, without loss:
    content, so a token with a third of all rows is spread over many buckets).
    Each bucket sorts its suffixes locally by a multikey quicksort over
    ``NAME``-byte tokens, refining only runs of equal prefixes.  A token that
-   touches a boundary of its bucket is compared across boundaries: one
-   fingerprint for each different suffix goes through one more exchange.
+   touches a boundary of its bucket is compared across boundaries: its
+   undecided suffixes go, ``BLOCK`` neighbours in a row, to an exchange on the
+   bytes they have in common, and what meets rows of another bucket there
+   goes on to one on the whole suffix.
 
 Nothing is collected, no pairs are made, and every step is an equi-join or an
 aggregate with partial aggregation.
@@ -40,6 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +55,8 @@ SIZE = 200
 TOKEN = 48
 #: Bytes of one token of the multikey quicksort.
 NAME = 40
+#: Neighbouring suffixes in one row of the exchange across boundaries.
+BLOCK = 8
 #: Suffixes sorted at once in a bucket; a token with more is compared across as if cut by a boundary.
 SORT_ROWS = 400_000
 
@@ -168,9 +173,13 @@ def multikey_groups(tokens: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sort_bucket(size: int, name: int):
+_SUFFIX = np.dtype([("at", "<i4"), ("asks", "<i4"), ("f1", "<i8"), ("f2", "<i8")])
+
+
+def _sort_bucket(size: int, name: int, token: int):
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("n", pa.int64()),
-                        ("open", pa.bool_()), ("single", pa.bool_()), ("f1", pa.int64()), ("f2", pa.int64())])
+                        ("c1", pa.int64()), ("c2", pa.int64()), ("bucket", pa.int64()), ("suffixes", pa.binary())])
+    calls = [0]
 
     def decide(rows: list[dict], open_: bool) -> Iterator[pa.RecordBatch]:
         data, offsets = buffer(pa.array([r["chunk"] for r in rows], pa.binary()))
@@ -195,20 +204,39 @@ def _sort_bucket(size: int, name: int):
         if len(first):
             who, nul = pa.array(run[first]), pa.nulls(len(first), pa.int64())
             yield table_batch(schema, [ids.take(who), keys.take(who), pa.array(start[run[first]] + at[first]), pa.array(length),
-                                       pa.array(np.zeros(len(first), bool)), pa.array(np.ones(len(first), bool)), nul, nul])
-        if open_:
-            # Undecided suffixes, and one of each class of equals for their partners elsewhere.
-            head = np.zeros(len(run), bool)
-            seen = np.flatnonzero(group >= 0)
-            head[seen[np.unique(group[seen], return_index=True)[1]]] = True
-            out = np.flatnonzero((group < 0) | head)
-            asks = single[run] & (group < 0)
-            half = size // 2
-            who = pa.array(run[out])
-            yield table_batch(schema, [
-                ids.take(who), keys.take(who), pa.array(start[run[out]] + at[out]), pa.array(np.ones(len(out), np.int64)),
-                pa.array(np.ones(len(out), bool)), pa.array(asks[out]),
-                pa.array(hashes.of(pos[out], pos[out] + half).view(np.int64)), pa.array(hashes.of(pos[out] + half, pos[out] + size).view(np.int64))])
+                                       nul, nul, nul, pa.nulls(len(first), pa.binary())])
+        if not open_:
+            return
+        # Undecided suffixes, and one of each class of equals for their partners elsewhere.
+        head = np.zeros(len(run), bool)
+        seen = np.flatnonzero(group >= 0)
+        head[seen[np.unique(group[seen], return_index=True)[1]]] = True
+        out = np.flatnonzero((group < 0) | head)
+        # Blocks count from the place of the leading token, so equal suffixes are in equal blocks.
+        lead = np.array([r["lead"] for r in rows], np.int64)
+        owner = np.repeat(np.arange(len(rows)), np.diff(offsets))
+        places = hashes.windows(token)
+        places = np.flatnonzero(places.view(np.int64) == lead[owner[: len(places)]])
+        owner, where = np.unique(owner[places], return_index=True)
+        place = places[where]
+        distance = place[run[out]] - pos[out]
+        block = distance // BLOCK
+        new = np.ones(len(out), bool)
+        new[1:] = (run[out][1:] != run[out][:-1]) | (block[1:] != block[:-1])
+        begins = np.flatnonzero(new)
+        common = place[run[out[begins]]] - block[begins] * BLOCK
+        half = size // 2
+        value = np.zeros(len(out), _SUFFIX)
+        value["at"], value["asks"] = at[out], single[run[out]] & (group[out] < 0)
+        value["f1"], value["f2"] = hashes.of(pos[out], pos[out] + half).view(np.int64), hashes.of(pos[out] + half, pos[out] + size).view(np.int64)
+        raw, ends = value.tobytes(), np.append(begins, len(out)) * _SUFFIX.itemsize
+        who = pa.array(run[out[begins]])
+        calls[0] += 1
+        tag = TaskContext.get().partitionId() << 32 | calls[0]
+        yield table_batch(schema, [
+            ids.take(who), keys.take(who), pa.array(start[run[out[begins]]]), pa.nulls(len(begins), pa.int64()),
+            pa.array(hashes.of(common, common + half).view(np.int64)), pa.array(hashes.of(common + half, common + size - BLOCK + 1).view(np.int64)),
+            pa.array(np.full(len(begins), tag)), pa.array([raw[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary())])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted by (lead, content); closed tokens are sorted together, as many as fit.
@@ -244,6 +272,18 @@ def _sort_bucket(size: int, name: int):
     return sort
 
 
+def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of blocks to rows of suffixes."""
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("asks", pa.bool_()), ("f1", pa.int64()), ("f2", pa.int64())])
+    for batch in batches:
+        data, offsets = buffer(batch.column("suffixes"))
+        value = np.frombuffer(data.tobytes(), _SUFFIX)
+        who = np.repeat(np.arange(batch.num_rows), np.diff(offsets) // _SUFFIX.itemsize)
+        take = pa.array(who)
+        yield table_batch(schema, [batch.column("doc_id").take(take), batch.column("key").take(take), pa.array(batch.column("start").to_numpy()[who] + value["at"]),
+                                   pa.array(value["asks"] > 0), pa.array(value["f1"]), pa.array(value["f2"])])
+
+
 def repeated_ranges(texts: DataFrame, size: int = SIZE, token: int = TOKEN) -> DataFrame:
     """(doc_id, key, start, n): the suffixes start .. start + n - 1 of a text begin a repeated string.
 
@@ -266,13 +306,16 @@ def repeated_ranges(texts: DataFrame, size: int = SIZE, token: int = TOKEN) -> D
         _chunks(size), "lead long, content long, single boolean, doc_id long, key long, start long, chunk binary"), "suffixes")
     # repartitionByRange samples the splitters.
     sorted_ = staged(chunks.repartitionByRange("lead", "content").sortWithinPartitions("lead", "content").mapInArrow(
-        _sort_bucket(size, NAME), "doc_id long, key long, start long, n long, open boolean, single boolean, f1 long, f2 long"), "sorted")
-    across = sorted_.where("open")
+        _sort_bucket(size, NAME, token), "doc_id long, key long, start long, n long, c1 long, c2 long, bucket long, suffixes binary"), "sorted")
+    blocks = sorted_.where("bucket is not null").drop("n")
+    shared = blocks.groupBy("c1", "c2").agg(F.min("bucket").alias("x"), F.max("bucket").alias("y")).where("x <> y").select("c1", "c2")
+    across = staged(blocks.join(shared, ["c1", "c2"], "left_semi").select("doc_id", "key", "start", "suffixes").mapInArrow(
+        _suffixes, "doc_id long, key long, start long, asks boolean, f1 long, f2 long"), "across")
     twice = across.groupBy("f1", "f2").agg(F.count("*").alias("c")).where("c > 1").select("f1", "f2")
-    late = across.where("single").join(twice, ["f1", "f2"], "left_semi").select("doc_id", "key", "start", "n")
+    late = across.where("asks").join(twice, ["f1", "f2"], "left_semi").select("doc_id", "key", "start", F.lit(1).cast("long").alias("n"))
     whole = hits.join(contents.where("c > 1").select("lead", "content"), ["lead", "content"], "left_semi").select(
         "doc_id", "key", "start", F.col("n").cast("long"))
-    return whole.union(sorted_.where("not open").select("doc_id", "key", "start", "n")).union(late)
+    return whole.union(sorted_.where("bucket is null").select("doc_id", "key", "start", "n")).union(late)
 
 
 def _apply(size: int):
