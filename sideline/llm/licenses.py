@@ -124,9 +124,8 @@ class Template:
         self.own = {w for w in self.words if w not in COMMON}
         # Signal words, the rarest kind first: without them, fewer than the least part of the words are left.
         self.signals: set[str] = set()
-        spare = len(self.words) * (1 - least)
         for w in sorted(self.own, key=lambda w: (-len(w), w)):
-            if sum(self.count[s] for s in self.signals) > spare:
+            if (len(self.words) - sum(self.count[s] for s in self.signals)) / len(self.words) < least:
                 break
             self.signals.add(w)
 
