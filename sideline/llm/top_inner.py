@@ -100,12 +100,12 @@ def _products(q: np.ndarray, v: np.ndarray, dims: int) -> np.ndarray:
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k highest scores, ties to smaller ids."""
+    """Positions of the k highest scores (long), ties to smaller ids; ~ turns the order without overflow."""
     if len(scores) > 4 * k:
         least = np.partition(scores, len(scores) - k)[len(scores) - k]
         on = np.flatnonzero(scores >= least)
-        return on[np.lexsort((ids[on], -scores[on]))[:k]]
-    return np.lexsort((ids, -scores))[:k]
+        return on[np.lexsort((ids[on], ~scores[on]))[:k]]
+    return np.lexsort((ids, ~scores))[:k]
 
 
 def prune(q: np.ndarray, q_length: float, needed: float, v: np.ndarray, lengths: np.ndarray, focus: int = FOCUS) -> np.ndarray:
