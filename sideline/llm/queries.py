@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sideline.llm.common import ship
 from sideline.llm.licenses import op1_license_scan
 from sideline.llm.near_dedup import op7_minhash_near_dedup
+from sideline.llm.oracle import SQL
 from sideline.llm.packing import op4_best_fit_packing
 from sideline.llm.product_quantisation import op9_embedding_near_dedup
 from sideline.llm.repeats import op6_suffix_array_dedup
@@ -39,4 +40,4 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _query(f) for f in _ALL}
 
 #: DuckDB SQL where whole-table SQL can express a query; the others are held against brute force in tests/llm.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = dict(SQL)
