@@ -67,6 +67,8 @@ def marts(spark: SparkSession, sf_dir: str) -> Marts:
     key = (id(spark), spark.sparkContext.applicationId, WH.load_facts(spark, sf_dir))
     m = _MARTS.get(key)
     if m is None:
+        if len(_MARTS) >= 16:
+            _MARTS.clear()
         hs, hw = facts(spark, sf_dir)
         m = _MARTS[key] = Marts(hs, hw)
     return m

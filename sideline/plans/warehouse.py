@@ -12,9 +12,13 @@ Every mart then reads these tables instead of re-deriving them from
 * Lineage is cut at the written tables, so a lost executor re-reads files
   instead of recomputing the ``lineitem`` aggregation.
 * The folder name hashes the input paths, sizes and modification times, so
-  changed input is loaded again; a finished load is marked by a success
-  file and published with an atomic rename, so concurrent loaders of the
-  same input cannot leave a half-written table behind.
+  changed input is loaded again.  It lies below ``sideline.warehouseDir`` if
+  the session sets that, else below the folder ``spark.checkpoint.dir`` names
+  (not the application's own part of it), so sessions share a load.
+* Each load writes into a folder of its own and then creates one small marker
+  file; readers take the first marked load.  Nothing is renamed, so stores
+  without an atomic rename serve as well, a half-written load is never read,
+  and concurrent loaders of the same input leave equal tables side by side.
 """
 
 from __future__ import annotations
@@ -33,7 +37,7 @@ SOURCE_TABLES = ("lineitem", "supplier", "nation")
 # Same layout as the in-season refresh (streaming.refresh), which rewrites
 # single (season, week) partitions of this table.
 WEEKLY_PARTITIONS = SLICE_LAYOUT
-_MARKER = "_LOADED"
+_MARKER = "_LOADED-"
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -53,7 +57,21 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
 
 
 def warehouse_dir(spark: SparkSession, sf_dir: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sideline-warehouse/{_fingerprint(spark, sf_dir)}"
+    """Where the loads of this input are, whichever session made them."""
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    root = spark.conf.get("sideline.warehouseDir", None) or f"{shared.rstrip('/')}/sideline-warehouse"
+    return f"{root.rstrip('/')}/{_fingerprint(spark, sf_dir)}"
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> str | None:
+    """The folder of the first finished load, if there is one."""
+    out = warehouse_dir(spark, sf_dir)
+    fs, root, _ = _hadoop(spark, out)
+    if not fs.exists(root):
+        return None
+    names = sorted(f.getPath().getName() for f in fs.listStatus(root))
+    done = [n[len(_MARKER):] for n in names if n.startswith(_MARKER)]
+    return f"{out}/{done[0]}" if done else None
 
 
 def stage_months(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
@@ -66,41 +84,33 @@ def stage_months(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _write_facts(spark: SparkSession, sf_dir: str, out: str) -> None:
-    fs, final, jvm = _hadoop(spark, out)
-    tmp = f"{out}.tmp-{uuid.uuid4().hex[:8]}"
+def _write_facts(spark: SparkSession, sf_dir: str) -> None:
+    out, load = warehouse_dir(spark, sf_dir), uuid.uuid4().hex
+    path = f"{out}/{load}"
     # ``lineitem`` is aggregated once per (supplier, month) and staged as a
     # parquet table in the shared folder (columnar and compressed, unlike an
     # RDD checkpoint); both facts derive from it, then it is removed.
-    staging = f"{tmp}/_supplier_months"
+    staging = f"{path}/_supplier_months"
     months = stage_months(spark, sf_dir, staging)
-    # The schedule is bounded by the calendar: one file.  The weekly fact is
-    # rebalanced on its partition columns before the partitioned write: AQE
+    # Rebalanced on the partition columns before the partitioned write: AQE
     # splits big weeks into advisory-size files and merges small ones.
-    (FX.hist_schedules(spark, sf_dir, months).coalesce(1).write.mode("overwrite")
-     .parquet(f"{tmp}/hist_schedules"))
-    (FX.hist_weekly(spark, sf_dir, months).hint("rebalance", *WEEKLY_PARTITIONS).write.mode("overwrite")
-     .partitionBy(*WEEKLY_PARTITIONS).parquet(f"{tmp}/hist_weekly"))
-    fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
-    fs.create(jvm.org.apache.hadoop.fs.Path(tmp, _MARKER)).close()
-    fs.mkdirs(final.getParent())
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), final):
-        # Another loader published first; its table is identical.
-        fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)
+    (FX.hist_schedules(spark, sf_dir, months).hint("rebalance").write.parquet(f"{path}/hist_schedules"))
+    (FX.hist_weekly(spark, sf_dir, months).hint("rebalance", *WEEKLY_PARTITIONS).write
+     .partitionBy(*WEEKLY_PARTITIONS).parquet(f"{path}/hist_weekly"))
+    fs, staged, jvm = _hadoop(spark, staging)
+    fs.delete(staged, True)
+    fs.create(jvm.org.apache.hadoop.fs.Path(out, f"{_MARKER}{load}")).close()
 
 
 def is_loaded(spark: SparkSession, sf_dir: str) -> bool:
-    out = warehouse_dir(spark, sf_dir)
-    fs, _, jvm = _hadoop(spark, out)
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(out, _MARKER))
+    return _loaded(spark, sf_dir) is not None
 
 
 def load_facts(spark: SparkSession, sf_dir: str) -> str:
     """Make sure the fact tables for ``sf_dir`` exist; returns their folder."""
-    out = warehouse_dir(spark, sf_dir)
     if not is_loaded(spark, sf_dir):
-        _write_facts(spark, sf_dir, out)
-    return out
+        _write_facts(spark, sf_dir)
+    return _loaded(spark, sf_dir)
 
 
 def facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

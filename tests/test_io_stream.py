@@ -117,3 +117,23 @@ def test_load_is_reused_within_a_session(spark):
     first = WH.load_facts(spark, SF001)
     assert WH.is_loaded(spark, SF001)
     assert WH.load_facts(spark, SF001) == first
+
+
+def test_concurrent_loads_and_sessions_share_one(spark, tmp_path):
+    """Loads lie side by side, readers take the first marked one, and an unmarked (unfinished) one is never read."""
+    from sideline.plans import warehouse as WH
+    spark.conf.set("sideline.warehouseDir", str(tmp_path / "warehouse"))
+    try:
+        assert not WH.is_loaded(spark, SF001)
+        os.makedirs(os.path.join(WH.warehouse_dir(spark, SF001), "0-unfinished"))
+        assert not WH.is_loaded(spark, SF001)
+        first = WH.load_facts(spark, SF001)
+        WH._write_facts(spark, SF001)
+        again = WH.load_facts(spark, SF001)
+        names = os.listdir(WH.warehouse_dir(spark, SF001))
+        assert sum(n.startswith("_LOADED-") for n in names) == 2 and again in {f"{WH.warehouse_dir(spark, SF001)}/{n}" for n in names}
+        assert WH.load_facts(spark.newSession(), SF001) != first  # another session, another setting
+        hs, hw = WH.facts(spark, SF001)
+        assert hs.count() == FX.hist_schedules(spark, SF001).count() and hw.count() == FX.hist_weekly(spark, SF001).count()
+    finally:
+        spark.conf.unset("sideline.warehouseDir")
