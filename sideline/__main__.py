@@ -3,6 +3,7 @@
     python -m sideline load    --tables DIR --out DIR            # historical load
     python -m sideline load    --landed DIR --out DIR            # the same, from landed files
     python -m sideline build   --tables DIR --out DIR [--database mart]
+    python -m sideline report  --tables DIR --out DIR            # profiles, drift and coverage as CSV
     python -m sideline peek    --tables DIR [--report top_teams_alltime] [--rows 10]
     python -m sideline update  --out DIR --schedules FEED --weekly FEED [--season N --weeks 1 2] [--game-type REG]
     python -m sideline refresh --landing DIR --table DIR --checkpoint DIR [--rejects DIR]
@@ -17,6 +18,8 @@ from __future__ import annotations
 import argparse
 import sys
 
+# Reports that the source exported as CSV files.
+CSV_REPORTS = ("profile_schedules", "profile_weekly", "schema_drift", "games_by_season", "weekly_rows_by_season")
 PEEK_REPORTS = ("top_teams_alltime", "top_teams_last_season", "top_qbs_alltime",
                 "top_coaches_alltime", "rb_leaders_alltime")
 
@@ -41,6 +44,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--tables", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--database", default=None)
+    p = sub.add_parser("report", help="export profiles, drift and coverage as CSV")
+    p.add_argument("--tables", required=True)
+    p.add_argument("--out", required=True)
     p = sub.add_parser("peek", help="show leaderboards")
     p.add_argument("--tables", required=True)
     p.add_argument("--report", action="append", choices=PEEK_REPORTS)
@@ -74,6 +80,11 @@ def main(argv: list[str] | None = None) -> int:
         from sideline.plans.catalog import marts
         from sideline.plans.publish import publish_marts
         publish_marts(marts(spark, a.tables), a.out, database=a.database).show(100, truncate=False)
+    elif a.cmd == "report":
+        from sideline.plans.catalog import QUERIES
+        from sideline.sources.io import write_csv
+        for report in CSV_REPORTS:
+            print(write_csv(QUERIES[report](spark, a.tables), f"{a.out.rstrip('/')}/{report}"))
     elif a.cmd == "peek":
         from sideline.plans.catalog import QUERIES
         for report in a.report or PEEK_REPORTS:

@@ -30,8 +30,8 @@ def clock_minutes(text: Column | str) -> Column:
     """
     t = F.col(text) if isinstance(text, str) else text
     parts = F.split(t, ":")
-    hour = F.element_at(parts, 1).try_cast("int")
-    minute = F.element_at(parts, 2).try_cast("int")
+    hour = F.get(parts, 0).try_cast("int")
+    minute = F.get(parts, 1).try_cast("int")
     valid = t.rlike(_CLOCK_PATTERN) & (hour < 24) & (minute < 60)
     return F.when(valid, hour * 60 + minute)
 

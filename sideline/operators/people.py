@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sideline.functions.exprs import PLAYOFF_TYPES, name_or_display, round_int, strip_ws
 from sideline.functions.joins import bounded
+from sideline.operators.align import require_columns
 from sideline.operators.games import played
 from sideline.operators.maintain import assert_unique
 
@@ -58,10 +59,13 @@ def coach_map(schedules: DataFrame, feed: DataFrame, validate: bool = True) -> D
 
     ``feed`` carries (game_id, season, week, game_type, home_coach, away_coach);
     it is left-joined to the played games one-to-one (``validate`` raises at
-    run time if either side repeats a key).  Rows of other game types and
+    run time if either side repeats a key); a frame that lacks a needed column
+    fails at once, by name.  Rows of other game types and
     rows without a coach are dropped, names are stripped of white space and
     the first row per (season, week, team) is kept.
     """
+    require_columns(schedules, [*GAME_KEYS, "home_team", "away_team", "home_score", "away_score"], "coach_map: schedule")
+    require_columns(feed, [*GAME_KEYS, "home_coach", "away_coach"], "coach_map: feed")
     games = played(schedules).select(
         "game_id", F.col("season").cast("int").alias("season"),
         F.col("week").cast("int").alias("week"), "game_type", "home_team", "away_team")

@@ -124,3 +124,18 @@ def test_append_nonempty_reads_once(spark):
     assert not IO.append_nonempty(spark.createDataFrame([], "a int"), table)
     assert IO.append_nonempty(spark.createDataFrame([(1,)], "a int"), table)
     assert spark.read.parquet(table).count() == 1
+
+
+def test_reports_are_exported(spark, tmp_path):
+    from conftest import SF001
+    assert main(["report", "--tables", SF001, "--out", str(tmp_path)]) == 0
+    out = spark.read.option("header", True).csv(str(tmp_path / "profile_schedules"))
+    assert out.count() == 13 and "distinct_count" in out.columns
+    assert spark.read.option("header", True).csv(str(tmp_path / "schema_drift")).count() > 0
+
+
+def test_coach_map_names_missing_columns(schedules_of):
+    from sideline.operators.people import coach_map
+    games = schedules_of([game("g1")])
+    with pytest.raises(ValueError, match="away_coach"):
+        coach_map(games, games.drop("away_coach"))
