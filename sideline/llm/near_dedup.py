@@ -218,6 +218,50 @@ def _pairs_with(pairs: DataFrame, side: DataFrame, value: str) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").select("a", "b", "na", "nb", "sa", "sb")
 
 
+def _beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles of a member its hub has, and the others."""
+    schema = pa.schema([("hub", pa.int64()), ("rep", pa.int64()), ("n", pa.int64()), ("both", pa.int64()), ("others", pa.list_(pa.int64()))])
+    for batch in batches:
+        both, others = [], []
+        for x, y in zip(batch.column("sb"), batch.column("sa"), strict=True):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            inside = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+            both.append(int(inside.sum()))
+            others.append(x[~inside].view(np.int64))
+        yield table_batch(schema, [batch.column("a"), batch.column("b"), batch.column("nb"), both, pa.array(others, pa.list_(pa.int64()))])
+
+
+def _residual(rest: DataFrame, sets: DataFrame, share: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of different components of a bucket that may still reach the threshold.
+
+    ``a`` is not of its hub's component.  Two members either share a shingle
+    that the hub has not, and meet through that shingle, or all they share is
+    the hub's too; then it is at most what either shares with the hub, which
+    for ``a`` is below the threshold's need unless ``b`` is much smaller.  No
+    shingle that only one of them has counts in either case.
+    """
+    near = _pairs_with(rest.select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), sets, "s")
+    beyond = staged(near.mapInArrow(_beyond, "hub long, rep long, n long, both long, others array<long>")
+                    .join(share.select("rep", (F.col("n") - F.col("own")).alias("open")), "rep"), "beyond")
+    member = rest.select("hub", "rep", "comp", (F.col("comp") != F.col("main")).alias("minor")).distinct()
+    shingle = beyond.select("hub", "rep", "n", "open", F.explode("others").alias("h"))
+    shared = shingle.groupBy("hub", "h").agg(F.count("*").alias("c")).where("c > 1").select("hub", "h")
+    index = staged(shingle.join(shared, ["hub", "h"], "left_semi").join(member, ["hub", "rep"]), "shared")
+    rows = staged(rest.select("k", "hub", "rep", "comp", (F.col("comp") != F.col("main")).alias("minor"))
+                  .join(beyond.drop("others"), ["hub", "rep"]), "rest")
+
+    def sides(df: DataFrame, keys: list[str], most: str) -> DataFrame:
+        columns = [c for c in df.columns if c not in keys]
+        x = df.where("minor").select(*keys, *(F.col(c).alias(f"{c}_a") for c in columns))
+        y = df.select(*keys, *(F.col(c).alias(f"{c}_b") for c in columns))
+        return (x.join(y, keys).where("comp_a <> comp_b").where(F.expr(f"100 * {most} >= {int(percent)} * (n_a + n_b - {most})"))
+                .select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")))
+
+    through = sides(index, ["hub", "h"], "least(open_a, open_b)")
+    inside = sides(rows.drop("hub"), ["k"], "least(both_a, both_b, open_a, open_b)")
+    return through.union(inside)
+
+
 def shingle_classes(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(scan, classes): scan has doc_id, key, n, f1, f2 of each row; classes has f1, f2, rep, component."""
     bands, rows = band_shape(percent)
@@ -239,38 +283,35 @@ def shingle_classes(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFr
         return staged(_pairs_with(likely, sets, "s").mapInArrow(_verify(percent), "a long, b long").distinct(), "links")
 
     def apart(rows_: DataFrame, linked: DataFrame) -> DataFrame:
-        """Bucket rows (k, rep, hub) with their component, of the buckets that hold several."""
+        """Bucket rows (k, rep, hub) with their and their hub's component, of the buckets that hold several."""
         comp = connected_components(linked)
-        known = staged(rows_.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-                       .select("k", "rep", "hub", F.coalesce("component", "rep").alias("comp")), "known")
+        mine, hubs = comp.toDF("rep", "c"), comp.toDF("hub", "h")
+        known = staged(rows_.join(mine, "rep", "left").join(hubs, "hub", "left")
+                       .select("k", "rep", "hub", F.coalesce("c", "rep").alias("comp"), F.coalesce("h", "hub").alias("main")), "known")
         several = known.groupBy("k").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("k")
         return staged(known.join(several, "k", "left_semi"), "apart")
 
     all_links = links(members.select(F.col("hub").alias("a"), F.col("rep").alias("b")))
-    open_ = apart(members, all_links)
-    if open_.limit(1).count():
+    alive = apart(members, all_links)
+    if alive.limit(1).count():
         # Settle members too many of whose shingles nobody else in open buckets has; twice, as settling frees shingles.
-        alive = open_
         for _ in range(2):
-            ids = alive.select("rep").distinct()
-            own = sets.join(ids, "rep", "left_semi")
+            own = sets.join(alive.select("rep").distinct(), "rep", "left_semi")
             lonely = (own.mapInArrow(_shingles, "h long, rep long").groupBy("h").agg(F.count("*").alias("c"), F.min("rep").alias("rep"))
                       .where("c = 1").groupBy("rep").agg(F.count("*").alias("own")))
             share = staged(own.select("rep", "n").distinct().join(lonely, "rep", "left").select("rep", "n", F.coalesce("own", F.lit(0)).alias("own"))
                            .where(F.col("own") * 100 <= F.col("n") * (100 - percent)), "share")
-            alive = staged(alive.join(share.select("rep", (F.col("own") / F.col("n")).alias("alone")), "rep")
-                           .select("k", "rep", "hub", "comp", "alone"), "alive")
-            alive_rows = alive
-            alive = alive.drop("alone")
-        centre = alive_rows.groupBy("k").agg(F.min(F.struct("alone", "rep", "comp")).alias("c")).select("k", F.col("c.rep").alias("mid"), F.col("c.comp").alias("mid_comp"))
-        second = links(alive.join(centre, "k").where("comp <> mid_comp").select(F.col("mid").alias("a"), F.col("rep").alias("b")))
-        all_links = all_links.union(second)
-        rest = apart(alive.join(centre.select("k", "mid"), "k").select("k", "rep", F.col("mid").alias("hub")), all_links)
+            alive = staged(alive.join(share.select("rep"), "rep", "left_semi"), "alive")
+        # The most central member of each component: the fewest shingles of its own, the largest of equals.
+        middle = (alive.select("rep", "comp").distinct().join(share, "rep").groupBy("comp")
+                  .agg(F.min(F.struct((F.col("own") / F.col("n")).alias("alone"), (-F.col("n")).alias("size"), "rep")).alias("c"))
+                  .select(F.col("comp").alias("main"), F.col("c.rep").alias("mid")))
+        main = alive.groupBy("k").agg(F.coalesce(F.max(F.when(F.col("comp") == F.col("main"), F.col("comp"))), F.min("comp")).alias("main"))
+        met = staged(alive.select("k", "rep", "comp").join(main, "k").join(middle, "main"), "met")
+        all_links = all_links.union(links(met.where("comp <> main").select(F.col("mid").alias("a"), F.col("rep").alias("b"))))
+        rest = apart(met.select("k", "rep", F.col("mid").alias("hub")), all_links)
         if rest.limit(1).count():
-            main = rest.groupBy("k").agg(F.min(F.when(F.col("rep") == F.col("hub"), F.col("comp"))).alias("main"))
-            minor = rest.join(main, "k").where("main is null or comp <> main").select("k", F.col("rep").alias("a"), F.col("comp").alias("ca"))
-            third = minor.join(rest.select("k", F.col("rep").alias("b"), F.col("comp").alias("cb")), "k").where("ca <> cb")
-            all_links = all_links.union(links(third.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))))
+            all_links = all_links.union(links(_residual(rest, sets, share, percent)))
     comp = connected_components(all_links).withColumnRenamed("node", "rep")
     classes = reps.select("f1", "f2", "rep").join(comp, "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))
     return scan.drop("sketch"), classes
