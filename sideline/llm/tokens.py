@@ -7,16 +7,17 @@ public vocabularies gives its place.  Files are never copied.
 from __future__ import annotations
 
 import os
-import re
+from array import array
 
 import numpy as np
 
 _encoders: dict[str, "ByteBpe"] = {}
-#: Words and pieces remembered by one Python worker, each.
-REMEMBERED = 250_000
+#: Pieces, and words of several pieces or in front of others, remembered by one Python worker.
+PIECES, WORDS = 800_000, 400_000
 #: Below this character the splitting pattern is the same in every Unicode version.
 _KNOWN = "ɐ"
-_ODD_SPACE = re.compile(r" \s| \Z")
+#: White space behind a space: there the pattern may split elsewhere than in front of the last space.
+_ODD_SPACE = tuple(" " + c for c in " \t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0")
 
 
 def default_vocabulary() -> str:
@@ -33,7 +34,7 @@ def byte_letters() -> dict[int, str]:
 
 
 class ByteBpe:
-    """``encode(text)``: the ids of a text as little-endian bytes of ``dtype``.
+    """``encode(text)``: the ids of a text as bytes of ``dtype`` (of the machine's order, little-endian on all common ones).
 
     Texts are split by the vocabulary's own pattern and each piece is encoded
     once; texts are first cut at single spaces, where the pattern always
@@ -49,8 +50,9 @@ class ByteBpe:
 
         self._whole = Tokenizer.from_file(path)
         self._whole.encode_special_tokens = True
-        self._model = self._whole.model
+        self._tokenize = self._whole.model.tokenize
         self.dtype = np.dtype("<u2" if self._whole.get_vocab_size() <= 1 << 16 else "<u4")
+        self._code = "H" if self.dtype.itemsize == 2 else "I"
         self._letters = byte_letters()
         self._split = regex.compile(PATTERN).findall
         self._pieces: dict[str, bytes] = {}
@@ -59,31 +61,37 @@ class ByteBpe:
     def _piece(self, piece: str) -> bytes:
         ids = self._pieces.get(piece)
         if ids is None:
-            written = piece.encode().decode("latin-1").translate(self._letters)
-            ids = np.array([t.id for t in self._model.tokenize(written)], self.dtype).tobytes()
-            if len(self._pieces) < REMEMBERED:
+            if piece.isascii() and piece.isprintable():
+                written = piece.replace(" ", self._letters[32])
+            else:
+                written = piece.encode().decode("latin-1").translate(self._letters)
+            ids = array(self._code, [t.id for t in self._tokenize(written)]).tobytes()
+            if len(self._pieces) < PIECES:
                 self._pieces[piece] = ids
         return ids
 
-    def _word(self, word: str) -> bytes:
-        ids = b"".join(map(self._piece, self._split(word)))
-        if len(self._words) < REMEMBERED:
+    def _behind(self, word: str) -> bytes:
+        """The ids of a word and the space in front of it."""
+        ids = b"".join(map(self._piece, self._split(" " + word)))
+        if len(self._words) < WORDS:
             self._words[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if max(text) >= _KNOWN:
-            return np.array(self._whole.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        if _ODD_SPACE.search(text):
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            if max(text) >= _KNOWN:
+                return array(self._code, self._whole.encode(text, add_special_tokens=False).ids).tobytes()
+        if text[-1] == " " or any(s in text for s in _ODD_SPACE):
             return b"".join(map(self._piece, self._split(text)))
-        first, *rest = text.split(" ")
-        known = self._words.get
-        out = [self._word(first)] if first else []
-        for word in rest:
-            word = " " + word
-            out.append(known(word) or self._word(word))
+        words = text.split(" ")
+        out = list(map(self._words.get, words))
+        out[0] = b"".join(map(self._piece, self._split(words[0])))
+        if None in out:
+            out = [self._behind(w) if ids is None else ids for w, ids in zip(words, out)]
         return b"".join(out)
 
 
