@@ -244,20 +244,23 @@ def _residual(rest: DataFrame, sets: DataFrame, share: DataFrame, percent: int)
     beyond = staged(near.mapInArrow(_beyond, "hub long, rep long, n long, both long, others array<long>")
                     .join(share.select("rep", (F.col("n") - F.col("own")).alias("open")), "rep"), "beyond")
     member = rest.select("hub", "rep", "comp", (F.col("comp") != F.col("main")).alias("minor")).distinct()
-    shingle = beyond.select("hub", "rep", "n", "open", F.explode("others").alias("h"))
-    shared = shingle.groupBy("hub", "h").agg(F.count("*").alias("c")).where("c > 1").select("hub", "h")
-    index = staged(shingle.join(shared, ["hub", "h"], "left_semi").join(member, ["hub", "rep"]), "shared")
+    shingle = beyond.select("hub", "rep", F.explode("others").alias("h"))
+    often = shingle.groupBy("hub", "h").agg(F.count("*").alias("c")).where("c > 1").select("hub", "h")
+    shared = staged(shingle.join(often, ["hub", "h"], "left_semi").groupBy("hub", "rep").agg(F.collect_list("h").alias("hs")), "shared")
+    index = staged(shared.join(beyond.drop("others"), ["hub", "rep"]).join(member, ["hub", "rep"]).withColumn("h", F.explode("hs")), "index")
     rows = staged(rest.select("k", "hub", "rep", "comp", (F.col("comp") != F.col("main")).alias("minor"))
                   .join(beyond.drop("others"), ["hub", "rep"]), "rest")
 
-    def sides(df: DataFrame, keys: list[str], most: str) -> DataFrame:
+    def sides(df: DataFrame, keys: list[str], most: str, once: str = "true") -> DataFrame:
         columns = [c for c in df.columns if c not in keys]
         x = df.where("minor").select(*keys, *(F.col(c).alias(f"{c}_a") for c in columns))
         y = df.select(*keys, *(F.col(c).alias(f"{c}_b") for c in columns))
-        return (x.join(y, keys).where("comp_a <> comp_b").where(F.expr(f"100 * {most} >= {int(percent)} * (n_a + n_b - {most})"))
+        return (x.join(y, keys).where("comp_a <> comp_b").where(once).where(F.expr(f"100 * {most} >= {int(percent)} * (n_a + n_b - {most})"))
                 .select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")))
 
-    through = sides(index, ["hub", "h"], "least(open_a, open_b)")
+    # What two members share beyond the hub is known here; each pair is made at the first such shingle only.
+    through = sides(index, ["hub", "h"], "least(open_a, open_b, least(both_a, both_b) + size(array_intersect(hs_a, hs_b)))",
+                    "h = array_min(array_intersect(hs_a, hs_b))")
     inside = sides(rows.drop("hub"), ["k"], "least(both_a, both_b, open_a, open_b)")
     return through.union(inside)
 
