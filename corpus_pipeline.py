@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sideline.llm import near_dedup, packing, repeats, toxicity
+from sideline.llm.batches import parts
 from sideline.llm.common import ship, staged, table
 
 
@@ -45,7 +46,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in parts(batches):
         texts = [x.as_buffer().to_pybytes().decode("utf-8", "ignore") for x in batch.column("kept")]
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["row", "text", "letters"])
 

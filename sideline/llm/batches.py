@@ -12,7 +12,14 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once inside a task (a longer single text is one group).
-GROUP_BYTES = 1 << 20
+GROUP_BYTES = 1 << 19
+
+
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that what a task unpacks at once stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
 
 
 def as_binary(column: pa.Array) -> pa.Array:

@@ -15,6 +15,20 @@ from pyspark.sql import functions as F
 
 from sideline.session import ensure_checkpoint_dir
 
+_held: dict[tuple, object] = {}
+
+
+def keep_one(kind: str, key, make):
+    """What a Python worker keeps between tasks: the last automaton, vocabulary or the like, and no others.
+
+    Workers live as long as their executor, and a pipeline's stages follow
+    each other in the same ones; caches of past stages must not pile up.
+    """
+    if (kind, key) not in _held:
+        _held.clear()
+        _held[kind, key] = make()
+    return _held[kind, key]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, read by Spark (any file system Spark knows)."""

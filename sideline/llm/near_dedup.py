@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sideline.llm.batches import groups, table_batch
+from sideline.llm.batches import groups, parts, table_batch
 from sideline.llm.common import connected_components, staged
 from sideline.llm.hashing import mix
 from sideline.llm.repeats import _packed, unpack
@@ -176,7 +176,7 @@ def _verify(percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             keep = []
             for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
@@ -193,7 +193,7 @@ def _sets(shingle: int):
     schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("s", pa.binary())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             whole = pa.RecordBatch.from_arrays([batch.column("rep"), pa.array(unpack(batch.column("text")), pa.binary())], names=["rep", "text"])
             for part, data, offsets in groups(whole, 1):
                 sets, ends = shingle_sets(data, offsets, shingle)

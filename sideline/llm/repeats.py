@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sideline.llm.batches import as_binary, buffer, groups, table_batch
+from sideline.llm.batches import as_binary, buffer, groups, parts, table_batch
 from sideline.llm.common import staged
 from sideline.llm.hashing import Substrings
 
@@ -117,7 +117,7 @@ def _scan(size: int, token: int, only_lead: bool):
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compress the column ``text`` (to bytes) so that shuffles carry less."""
     squeeze = zstandard.ZstdCompressor(level=1).compress
-    for batch in batches:
+    for batch in parts(batches):
         at = batch.schema.get_field_index("text")
         texts = as_binary(batch.column(at))
         packed = pa.array([squeeze(x.as_buffer()) for x in texts], pa.binary())
@@ -140,7 +140,7 @@ def _chunks(size: int):
                         ("key", pa.int64()), ("start", pa.int64()), ("chunk", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             for text, wanted, doc_id, key in zip(unpack(batch.column("text")), batch.column("wanted").to_pylist(),
                                                  batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), strict=True):
                 yield pa.RecordBatch.from_pylist(
@@ -320,7 +320,7 @@ def repeated_ranges(texts: DataFrame, size: int = SIZE, token: int = TOKEN) -> D
 
 def _apply(size: int):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             sizes, removed, spans, kept = [], [], [], []
             for text, ranges in zip(unpack(batch.column("text")), batch.column("ranges"), strict=True):
                 sizes.append(len(text))

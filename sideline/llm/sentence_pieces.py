@@ -38,10 +38,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from sideline.llm.common import keep_one
+
 SPACE = "▁"
 #: Words remembered by one Python worker; letters of new words matched at once.
 REMEMBERED, LETTERS = 250_000, 1_000_000
-_models: dict[str, "PieceModel"] = {}
 
 
 def default_model() -> str:
@@ -341,9 +342,7 @@ class PieceModel:
 def model(path: str | None = None) -> PieceModel:
     """One prepared vocabulary for each model file and Python worker."""
     path = path or default_model()
-    if path not in _models:
-        _models[path] = PieceModel(path)
-    return _models[path]
+    return keep_one("pieces", path, lambda: PieceModel(path))
 
 
 def _encode(path: str | None, with_ids: bool):

@@ -11,9 +11,10 @@ from array import array
 
 import numpy as np
 
-_encoders: dict[str, "ByteBpe"] = {}
+from sideline.llm.common import keep_one
+
 #: Pieces, and words of several pieces or in front of others, remembered by one Python worker.
-PIECES, WORDS = 800_000, 400_000
+PIECES, WORDS = 400_000, 200_000
 #: Below this character the splitting pattern is the same in every Unicode version.
 _KNOWN = "ɐ"
 #: White space behind a space: there the pattern may split elsewhere than in front of the last space.
@@ -98,6 +99,4 @@ class ByteBpe:
 def encoder(path: str | None = None) -> ByteBpe:
     """One encoder for each vocabulary and Python worker."""
     path = path or default_vocabulary()
-    if path not in _encoders:
-        _encoders[path] = ByteBpe(path)
-    return _encoders[path]
+    return keep_one("bpe", path, lambda: ByteBpe(path))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sideline.llm.common import staged
+from sideline.llm.common import keep_one, staged
 
 FIT_TOXIC, FIT_CLEAN = 4000, 8000
 THRESHOLD = 0.7
@@ -288,15 +288,9 @@ def _count_hits(terms: tuple, keep: str):
     return count
 
 
-_built: dict[tuple, FuzzyLexicon] = {}
-
-
 def _lexicon(terms: tuple) -> FuzzyLexicon:
     """One automaton for each lexicon (strong terms, weak terms) and Python worker."""
-    if terms not in _built:
-        _built.clear()
-        _built[terms] = FuzzyLexicon(*terms)
-    return _built[terms]
+    return keep_one("lexicon", terms, lambda: FuzzyLexicon(*terms))
 
 
 def held_out(doc_id="doc_id"):
