@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sideline.llm.batches import groups, parts, table_batch
-from sideline.llm.common import connected_components, staged
+from sideline.llm.common import connected_components, keep_one, staged
 from sideline.llm.hashing import mix
 from sideline.llm.repeats import _packed, unpack
 from sideline.llm.words import shingle_sets
@@ -104,6 +104,7 @@ def _scan(shingle: int, m: int):
                         ("sketch", pa.binary())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_one("sketches", m, object)  # drops what an earlier stage left in this worker
         for batch in batches:
             for part, data, offsets in groups(batch, batch.schema.get_field_index("text")):
                 sets, ends = shingle_sets(data, offsets, shingle)

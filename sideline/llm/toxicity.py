@@ -56,7 +56,7 @@ _OPEN = re.compile(r"^[\"“„«‘'(\[]*[\"“„«]")
 _CLOSE = re.compile(r"[\"”“»][.,;:!?)\]]*$")
 #: Weights if there is nothing to learn from: constant, hits, edited, quoted, addressed, weak hits, their density.
 FIXED = np.array([-3.0, 3.5, 0.0, 0.0, 0.5, 0.0, 0.0])
-_REMEMBERED = 200_000
+_REMEMBERED = 100_000
 
 
 class FuzzyLexicon:
