@@ -7,12 +7,16 @@ words at their ends.  Coverage is the part of the template's words that are
 aligned.
 
 A text is aligned where a template can be: places of a template's own words
-are gathered into windows, and a window ends where a word comes again that the
-template has once, so repeated notices are windows of their own.  Texts
-without any of a template's signal words are passed over; the signal words
-are so many that no text without them reaches the least coverage, so nothing
-is lost.  Each text is handled whole, in the task that reads it: nothing is
-shuffled.
+are gathered into clusters, and a cluster is cut into parts where a word comes
+again that the template has once, so repeated notices are windows of their
+own.  Such a word may also come again inside one notice (after a copyright
+line, say), so each cluster is also aligned in overlapping windows of the
+template's size, twice that, and so on up to the cluster's; windows that share
+too few words with the template to reach the least coverage, or the best so
+far, are passed over, and the best window counts.  Texts without any of a
+template's signal words are passed over; the signal words are so many that no
+text without them reaches the least coverage, so nothing is lost.  Each text
+is handled whole, in the task that reads it: nothing is shuffled.
 
 Defined results: a null or empty text has no words and no license; of
 templates with equal coverage the longer one wins, then the first by name; a
@@ -129,15 +133,26 @@ class Template:
                 break
             self.signals.add(w)
 
-    def windows(self, text: list[str]) -> Iterator[tuple[int, int]]:
-        """Parts of a text that may hold the template."""
+    def windows(self, text: list[str]) -> Iterator[tuple[int, int, int]]:
+        """(first word, end, words shared with the template) of parts of a text that may hold the template."""
         size = len(self.words)
+        places = [k for k, w in enumerate(text) if w in self.count]
+        # No alignment has more words than what both have in common.
+        if (Counter(text[k] for k in places) & self.count).total() < self.least * size:
+            return
         groups: list[list[int]] = []
+        clusters: list[tuple[int, int]] = []
         seen: set[str] = set()
-        for k, w in enumerate(text):
+        for k in places:
+            w = text[k]
             if w not in self.own:
                 continue
-            if not groups or k - groups[-1][-1] > size or (w in seen and self.count[w] == 1):
+            near = bool(groups) and k - groups[-1][-1] <= size
+            if near:
+                clusters[-1] = clusters[-1][0], k + 1
+            else:
+                clusters.append((k, k + 1))
+            if not near or (w in seen and self.count[w] == 1):
                 groups.append([])
                 seen = set()
             groups[-1].append(k)
@@ -146,15 +161,47 @@ class Template:
         for n, group in enumerate(groups):
             before = groups[n - 1][-1] + 1 if n else 0
             after = groups[n + 1][0] if n + 1 < len(groups) else len(text)
-            yield max(before, group[0] - size), min(after, group[-1] + size + 1)
+            first, end = max(before, group[0] - size), min(after, group[-1] + size + 1)
+            yield first, end, (Counter(text[first:end]) & self.count).total()
+        # A part of up to ``length`` words lies in one of these whole, wherever it begins.
+        for first, end in clusters:
+            first, end = max(0, first - size), min(len(text), end + size)
+            inside = places[bisect_left(places, first): bisect_left(places, end)]
+            length = size
+            while True:
+                step = max(1, length // 8)
+                have: Counter = Counter()
+                shared = low = high = 0
+                for start in range(first, end, step):
+                    stop = min(end, start + length + step)
+                    while high < len(inside) and inside[high] < stop:
+                        w = text[inside[high]]
+                        have[w] += 1
+                        shared += have[w] <= self.count[w]
+                        high += 1
+                    while low < high and inside[low] < start:
+                        w = text[inside[low]]
+                        shared -= have[w] <= self.count[w]
+                        have[w] -= 1
+                        low += 1
+                    if shared >= self.least * size:
+                        yield start, stop, shared
+                    if stop == end:
+                        break
+                if length >= end - first:
+                    break
+                length *= 2
 
     def match(self, text: list[str]) -> tuple[float, int, int]:
-        """(coverage, first word, end) of the best window; coverage 0 if there is none."""
+        """(coverage, first word, end) of the best window, of equals the one aligned first; coverage 0 if there is none."""
         best = (0.0, 0, 0)
-        for first, end in self.windows(text):
+        for first, end, shared in self.windows(text):
+            if shared / len(self.words) < max(self.least, best[0]) or (shared / len(self.words) == best[0] and first >= best[1]):
+                continue
             found = align(text[first:end], self.words)
-            if found and len(found) / len(self.words) > best[0]:
-                best = (len(found) / len(self.words), first + found[0][0], first + found[-1][0] + 1)
+            coverage = len(found) / len(self.words)
+            if found and (coverage > best[0] or (coverage == best[0] and first + found[0][0] < best[1])):
+                best = (coverage, first + found[0][0], first + found[-1][0] + 1)
         return best
 
 

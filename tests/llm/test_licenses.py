@@ -25,6 +25,27 @@ def test_repeated_and_changed_notices():
     assert _best("") is None
 
 
+def test_words_that_recur_inside_one_notice():
+    """A word the template has once may come before the notice too; the notice is found whole."""
+    before = {"MIT": "Copyright (c) 2024 Jane Doe", "ISC": "Copyright (c) 2024 Jane Doe", "MPL-2.0 (header)": "This file is part of Foo.",
+              "GPL-3.0 (notice)": "Software license: GNU General Public License."}
+    for name, line in before.items():
+        notice = f"{line}\n\n{licenses.TEMPLATES[name]}"
+        n = len(licenses.words(notice))
+        for text, times in ((notice, 1), ((notice + "\n") * 3, 3), ("plain " * 500 + notice + " plain" * 500, 1)):
+            found = {m: (c, f, e) for m, c, f, e in licenses.scan(text, KNOWN)}
+            assert found[name][0] == 1.0, (name, times)
+            lead = 500 if text.startswith("plain") else 0
+            assert lead <= found[name][1] and found[name][2] <= lead + n, (name, times)
+
+
+def test_a_recurring_word_in_a_notice_spread_out():
+    """Twice as long as the template, with words it has once added in between."""
+    spread = " ".join(w if k % 4 else f"{w} copyright Jane" for k, w in enumerate(licenses.words(licenses.TEMPLATES["MIT"])))
+    found = {n: c for n, c, _, _ in licenses.scan(spread + " copyright permission sublicense", KNOWN)}
+    assert found.get("MIT", 0) >= 0.95
+
+
 def test_longest_increasing():
     for p in itertools.permutations(range(6)):
         best = max(len(c) for k in range(7) for c in itertools.combinations(range(6), k) if all(p[a] < p[b] for a, b in zip(c, c[1:])))
