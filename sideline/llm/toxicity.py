@@ -13,9 +13,9 @@
 * A logistic model over a few counts gives the score.
 
 Only the lexicon and the model are fitted on a sample, which is bounded by
-``FIT_TOXIC`` and ``FIT_CLEAN`` labelled rows (chosen by a hash of the id, so
-alike at every size); every document is scanned and scored.  What a score uses
-is the text alone.
+``FIT_TOXIC`` and ``FIT_CLEAN`` different labelled texts (chosen by a hash of
+the id, so alike at every size); every document is scanned and scored.  What a
+score uses is the text alone.
 
 Defined results: a null or empty text has no hit and gets the model's score for
 that; a null ``doc_id`` is scored and never held out; repeated rows score
@@ -43,7 +43,7 @@ THRESHOLD = 0.7
 LEAST_RATIO, LEAST_ODDS = 20.0, 5.0
 #: A learned stem is weak if its odds are below this: clean texts have it by chance too, so its density counts.
 STRONG_ODDS = 60.0
-CANDIDATES, TERMS = 2000, 200
+TERMS = 200
 #: Words on each side of a hit that decide its context.
 WINDOW = 6
 #: Common insults, pronouns of address, words of reporting.
@@ -220,11 +220,14 @@ def _count_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first in range(0, batch.num_rows, 200):
             part = batch.slice(first, 200)
             count = (Counter(), Counter())
-            for text, toxic in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist(), strict=True):
-                count[toxic].update(stems(text or ""))
-            both = list(count[0].keys() | count[1].keys())
-            yield pa.RecordBatch.from_pydict({"stem": pa.array(both, pa.string()), "a": pa.array([count[1][s] for s in both], pa.int64()),
-                                              "b": pa.array([count[0][s] for s in both], pa.int64())})
+            rows: dict[str, int] = {}
+            for text, toxic, row in zip(*(part.column(c).to_pylist() for c in ("text", "toxic", "row")), strict=True):
+                has = stems(text or "")
+                count[toxic].update(has)
+                for stem in has:
+                    rows[stem] = rows.get(stem, 0) ^ row
+            yield pa.RecordBatch.from_pydict({"stem": pa.array(list(rows), pa.string()), "a": pa.array([count[1][s] for s in rows], pa.int64()),
+                                              "b": pa.array([count[0][s] for s in rows], pa.int64()), "rows": pa.array(list(rows.values()), pa.int64())})
 
 
 def ratio(a, b, total_a: float, total_b: float):
@@ -253,8 +256,8 @@ def choose(presence: list[tuple[int, set[str]]], candidates: list[str]) -> tuple
     total_a = len(left)
     toxic = Counter(s for has in left for s in has)
     chosen: list[str] = []
+    count = Counter(toxic)
     while left and len(chosen) < TERMS:
-        count = Counter(s for has in left for s in has)
         names = [s for s in candidates if count[s] >= 3]
         if not names:
             break
@@ -264,16 +267,20 @@ def choose(presence: list[tuple[int, set[str]]], candidates: list[str]) -> tuple
         if value[k] < LEAST_RATIO:
             break
         chosen.append(names[k])
+        for has in left:
+            if names[k] in has:
+                count.subtract(has)
         left = [has for has in left if names[k] not in has]
     strong = [s for s in chosen if odds(toxic[s], clean[s], total_a, total_b) >= STRONG_ODDS]
     return strong, [s for s in chosen if s not in strong]
 
 
-def _present(candidates: set[str]):
+def _present(candidates: list[str]):
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {s: k for k, s in enumerate(candidates)}
         for batch in batches:
-            rows = [sorted(stems(t or "") & candidates) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), "has": pa.array(rows, pa.list_(pa.string()))})
+            rows = [sorted(place[s] for s in stems(t or "") & place.keys()) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), "has": pa.array(rows, pa.list_(pa.int32()))})
 
     return present
 
@@ -301,19 +308,27 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[tuple, np.ndarray]:
     """((strong terms, weak terms), weights) from labelled rows that are not held out."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(
         "doc_id is not null and toxic in (0, 1)").where(~held_out()).distinct()
-    ids = [known.where(f"toxic = {t}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for t, n in ((1, FIT_TOXIC), (0, FIT_CLEAN))]
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("_text", F.xxhash64("text"))
+    # Each different text once, so copies neither fill the sample nor bring in their ordinary words.
+    once = texts.select("doc_id", "_text").join(known, "doc_id").groupBy("toxic", "_text").agg(F.min(F.struct(F.xxhash64("doc_id").alias("at"), "doc_id")).alias("of"))
+    ids = [once.where(f"toxic = {t}").orderBy("of", "_text").limit(n).select("toxic", "_text", "of.doc_id") for t, n in ((1, FIT_TOXIC), (0, FIT_CLEAN))]
     # At most FIT_TOXIC + FIT_CLEAN short rows: the bound of this broadcast.
-    sample = staged(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids[0].union(ids[1])), "doc_id")
-                    .select("toxic", "text"), "labelled")
+    sample = staged(texts.join(F.broadcast(ids[0].union(ids[1])), ["doc_id", "_text"]).dropDuplicates(["toxic", "_text"])
+                    .select("toxic", "text", F.xxhash64("_text", "toxic").alias("row")), "labelled")
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return (INSULTS, ()), FIXED
-    counted = sample.mapInArrow(_count_stems, "stem string, a long, b long").groupBy("stem").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counted = sample.mapInArrow(_count_stems, "stem string, a long, b long, rows long").groupBy("stem").agg(
+        F.sum("a").alias("a"), F.sum("b").alias("b"), F.bit_xor("rows").alias("rows"))
     a, b = sizes[1], sizes[0]
     worth = odds(F.col("a"), F.col("b"), a, b)
-    top = counted.where(F.col("a") >= 3).where(worth >= LEAST_ODDS).orderBy(F.desc("a"), F.length("stem").desc(), "stem").limit(CANDIDATES)
-    candidates = [r["stem"] for r in top.collect()]  # at most CANDIDATES
-    presence = [(r["toxic"], set(r["has"])) for r in sample.mapInArrow(_present(set(candidates)), "toxic int, has array<string>").collect()]
+    # Of stems in the same texts the longest stands for all: choose() can take no other one.
+    eligible = counted.where(F.col("a") >= 3).where(worth >= LEAST_ODDS).groupBy("a", "b", "rows").agg(F.max(F.struct(F.length("stem"), "stem")).alias("of"))
+    found = eligible.select("of.stem", "a", "b").collect()  # bounded by the sample
+    # What falls short over all toxic texts falls short over those left, too.
+    value = ratio([r["a"] for r in found], [r["b"] for r in found], a, b)
+    candidates = sorted(r["stem"] for r, v in zip(found, value, strict=True) if v >= LEAST_RATIO)
+    presence = [(r["toxic"], {candidates[k] for k in r["has"]}) for r in sample.mapInArrow(_present(candidates), "toxic int, has array<int>").collect()]
     strong, weak = choose(presence, candidates)
     terms = (tuple(sorted({*INSULTS, *strong})), tuple(sorted({*weak} - {*INSULTS})))
     rows = sample.mapInArrow(_count_hits(terms, "toxic"), "toxic int, exact double, edited double, quoted double, addressed double, weak double, words double").collect()

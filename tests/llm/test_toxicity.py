@@ -74,6 +74,24 @@ def test_copies_of_one_text_bring_no_ordinary_words():
     assert toxicity.choose(presence, ["bad*", "plain"]) == (["bad*"], [])
 
 
+@pytest.mark.parametrize("changed", [False, True])
+def test_copies_of_a_long_text_leave_the_stems_of_others(spark, changed):
+    """A third of the toxic rows are one long text (or that with one word changed); rarer stems are learned all the same."""
+    rnd = random.Random(2)
+
+    def plain(n):
+        return [f"{rnd.randrange(10**6):06d}" for _ in range(n)]
+
+    long = " ".join("".join(rnd.choice("abcdefgh") for _ in range(9)) for _ in range(2500))
+    families = ["achlich", "bomente", "qurreux", "wixxont", "zuldrak", "yopfern"]
+    toxic = [" ".join([*plain(20), f + "xyz"[k % 3] * (k % 4)]) for f in families for k in range(24)]
+    toxic += [f"{long} {plain(1)[0] if changed else ''}" for _ in range(72)]
+    rows = [(k, t, 1) for k, t in enumerate(toxic)] + [(1000 + k, " ".join(plain(20)), 0) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    (strong, weak, *_), _ = toxicity.learn(df.drop("toxic"), df.drop("text"))
+    assert [f for f in families if not any(t.startswith(f[:4]) for t in (*strong, *weak))] == []
+
+
 def test_held_out_accuracy(spark):
     """Learned on two thirds of the labels, judged on the others."""
     docs, labels = table(spark, SF01, "documents"), table(spark, SF01, "labels")
