@@ -8,6 +8,8 @@
 * Every whole text is scanned by a Levenshtein automaton of one edit that is
   intersected with the lexicon's trie and determinised as it goes; a word
   mostly leaves it after two or three letters.
+* Near forms that ordinary words often have as well (another first letter, an
+  edit in a beginning) are loose hits with a learned weight of their own.
 * Each hit is weighed by a window of words around it: quotation marks or
   words of reporting make it a quotation, a pronoun of address makes it abuse.
 * A logistic model over a few counts gives the score.
@@ -54,8 +56,8 @@ REPORT = frozenset(("said", "says", "wrote", "called", "quote", "quoted", "word"
 _EDGE = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()) + "“”„«»‘’…¿¡–—"
 _OPEN = re.compile(r"^[\"“„«‘'(\[]*[\"“„«]")
 _CLOSE = re.compile(r"[\"”“»][.,;:!?)\]]*$")
-#: Weights if there is nothing to learn from: constant, hits, edited, quoted, addressed, weak hits, their density.
-FIXED = np.array([-3.0, 3.5, 0.0, 0.0, 0.5, 0.0, 0.0])
+#: Weights if there is nothing to learn from: constant, hits, edited, quoted, addressed, weak hits, their density, loose hits, their density.
+FIXED = np.array([-3.0, 3.5, 0.0, 0.0, 0.5, 0.0, 0.0, 0.0, 0.0])
 _REMEMBERED = 100_000
 
 
@@ -63,14 +65,21 @@ class FuzzyLexicon:
     """Terms (whole words, or beginnings that end in ``*``) as a trie, run against words with at most one edit.
 
     ``find(word)`` is 0 for no match, 1 for an exact one, 2 for one with an
-    edit, 3 for an exact one of a weak term only.
+    edit, 3 for an exact one of a weak term only, 4 for a loose one.
     Whole words of five letters and more match with an edit if they begin
-    alike; beginnings match exactly.
+    alike; beginnings match exactly.  Loose matches are looked for if ``wide``:
+    whole words of five letters and more whose first letter is another one or
+    missing; beginnings of five letters and more with one edit before their
+    last letter (their first letter may be another one or missing, too); whole
+    words of four letters with a digit or sign in place of a letter.  Weak
+    terms match exactly only.
     """
 
-    def __init__(self, terms, weak=()):
+    def __init__(self, terms, weak=(), wide=False):
+        self.wide = wide
         self.children: list[dict[str, int]] = [{}]
-        # 1: a whole word ends here, 2: one that allows an edit, 4: a beginning ends here; 8 and 16: a weak word, a weak beginning
+        # 1: a whole word ends here, 2: one that allows an edit, 4: a beginning ends here; 8 and 16: a weak word, a weak beginning;
+        # 32: a whole word of four letters, 64: a beginning of five or more
         self.ends: list[int] = [0]
         for term in (*terms, *weak):
             node = 0
@@ -84,6 +93,7 @@ class FuzzyLexicon:
                 self.ends[node] |= 16 if term.endswith("*") else 8
             else:
                 self.ends[node] |= 4 if term.endswith("*") else 3 if len(term) >= 5 else 1
+                self.ends[node] |= 64 if term.endswith("*") and len(term) > 5 else 32 if len(term) == 4 and not term.endswith("*") else 0
         self.letters = {x for c in self.children for x in c}
         self.states: dict[frozenset, int] = {}
         self.steps: list[dict[str, int]] = []
@@ -94,51 +104,70 @@ class FuzzyLexicon:
         self.known: dict[str, int] = {}
 
     def _state(self, places: frozenset) -> int:
+        """Of (node, edits): no edit, 1: one, 2: one at the first letter, 3: a sign for a letter; node -1: a beginning ended with an edit before."""
         at = self.states.get(places)
         if at is None:
             at = self.states[places] = len(self.sets)
             self.sets.append(places)
             self.steps.append({})
+            begun = (-1, 0) in places
+            places = places - {(-1, 0)}
             here = 0
             for n, e in places:
                 here |= 0 if e else self.ends[n]
-            self.begun.append(1 if here & 4 else 3 if here & 16 else 0)
+            self.begun.append(1 if here & 4 else 3 if here & 16 else 4 if begun else 0)
+            loose = any(e == 2 and self.ends[n] & 2 or e == 3 and self.ends[n] & 32 for n, e in places)
+            places = {(n, e) for n, e in places if e < 2}
             exact = here & 1
             # With no edit yet, the last letter of the term may still be missing.
             near = any(self.ends[n] & 2 if e else any(self.ends[c] & 2 for c in self.children[n].values()) for n, e in places) \
                 or any(e == 0 and self.ends[n] & 2 for n, e in places)
-            self.accept.append(1 if exact else 3 if here & 8 else 2 if near else 0)
+            self.accept.append(1 if exact else 3 if here & 8 else 2 if near else 4 if loose else 0)
         return at
 
     def _step(self, state: int, letter: str) -> int:
         out = set()
+        sign = self.wide and letter and not letter.isalpha()
         for node, edits in self.sets[state]:
+            if node < 0:
+                continue
             if letter in self.children[node]:
                 out.add((self.children[node][letter], edits))
-            if not edits and node:
+                if self.wide and edits in (1, 2) and self.ends[self.children[node][letter]] & 64:
+                    out.add((-1, 0))
+            if edits or not (node or self.wide):
+                continue
+            if node:
                 out.add((node, 1))  # a letter too many
-                for child in self.children[node].values():
-                    out.add((child, 1))  # another letter
-                    if letter in self.children[child]:
-                        out.add((self.children[child][letter], 1))  # a letter missing
+            for x, child in self.children[node].items():
+                out.add((child, 1 if node else 2))  # another letter
+                if sign and x.isalpha():
+                    out.add((child, 3))
+                if letter in self.children[child]:
+                    out.add((self.children[child][letter], 1 if node else 2))  # a letter missing
+                    if self.wide and self.ends[self.children[child][letter]] & 64:
+                        out.add((-1, 0))
         return self._state(frozenset(out)) if out else -1
 
     def _run(self, word: str) -> int:
-        state, weak = self.start, 0
+        state, weak, loose = self.start, 0, 0
         for letter in word:
             if letter not in self.letters:
-                letter = ""
+                letter = "" if letter.isalpha() else "\0"
             step = self.steps[state].get(letter)
             if step is None:
                 step = self.steps[state][letter] = self._step(state, letter)
             if step < 0:
-                return weak
+                return weak or loose
             state = step
             if self.begun[state]:
                 if self.begun[state] == 1:
                     return 1
-                weak = 3
-        return self.accept[state] if self.accept[state] == 1 else weak or self.accept[state]
+                if self.begun[state] == 3:
+                    weak = 3
+                else:
+                    loose = 4
+        return self.accept[state] if self.accept[state] == 1 else weak or self.accept[state] or loose
 
     def find(self, chunk: str) -> int:
         """For a lower-case word as it stands in the text."""
@@ -151,19 +180,22 @@ class FuzzyLexicon:
 
 
 def hits(text: str, lexicon: FuzzyLexicon) -> tuple[float, ...]:
-    """(plain exact hits, plain hits with an edit, quoted hits, addressed hits, weak hits, words) of a whole text."""
+    """(plain exact hits, plain hits with an edit, quoted hits, addressed hits, weak hits, loose hits, words) of a whole text."""
     chunks = text.lower().split()
     find = lexicon.find
     found = {c for c in set(chunks) if find(c)}
     if not found:
-        return 0.0, 0.0, 0.0, 0.0, 0.0, float(len(chunks))
-    exact = edited = quoted = addressed = weak = 0
+        return 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, float(len(chunks))
+    exact = edited = quoted = addressed = weak = loose = 0
     for i, chunk in enumerate(chunks):
         if chunk not in found:
             continue
         if find(chunk) == 3:
             weak += 1
             continue
+        if find(chunk) == 4:
+            loose += 1
+            continue
         window = chunks[max(0, i - WINDOW): i + WINDOW + 1]
         at = min(i, WINDOW)
         opened = any(_OPEN.search(w) for w in window[: at + 1])
@@ -178,14 +210,14 @@ def hits(text: str, lexicon: FuzzyLexicon) -> tuple[float, ...]:
         else:
             edited += 1
             addressed += to_you
-    return float(exact), float(edited), float(quoted), float(addressed), float(weak), float(len(chunks))
+    return float(exact), float(edited), float(quoted), float(addressed), float(weak), float(loose), float(len(chunks))
 
 
 def features(counts: np.ndarray) -> np.ndarray:
     """Columns as in ``FIXED``."""
-    exact, edited, quoted, addressed, weak, words = counts.T
+    exact, edited, quoted, addressed, weak, loose, words = counts.T
     return np.stack([np.ones(len(counts)), np.log1p(exact + 0.7 * edited + 0.15 * quoted), np.log1p(edited), np.log1p(quoted), np.log1p(addressed),
-                     np.log1p(weak), np.log1p(100 * weak / np.maximum(words, 20))], axis=1)
+                     np.log1p(weak), np.log1p(100 * weak / np.maximum(words, 20)), np.log1p(loose), np.log1p(100 * loose / np.maximum(words, 20))], axis=1)
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -289,14 +321,14 @@ def _count_hits(terms: tuple, keep: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = _lexicon(terms)
         for batch in batches:
-            rows = np.array([hits(t.as_py() or "", lexicon) for t in batch.column("text")]).reshape(-1, 6)
-            yield pa.RecordBatch.from_pydict({keep: batch.column(keep)} | {n: pa.array(rows[:, k]) for k, n in enumerate(("exact", "edited", "quoted", "addressed", "weak", "words"))})
+            rows = np.array([hits(t.as_py() or "", lexicon) for t in batch.column("text")]).reshape(-1, 7)
+            yield pa.RecordBatch.from_pydict({keep: batch.column(keep)} | {n: pa.array(rows[:, k]) for k, n in enumerate(("exact", "edited", "quoted", "addressed", "weak", "loose", "words"))})
 
     return count
 
 
 def _lexicon(terms: tuple) -> FuzzyLexicon:
-    """One automaton for each lexicon (strong terms, weak terms) and Python worker."""
+    """One automaton for each lexicon (strong terms, weak terms, wide or not) and Python worker."""
     return keep_one("lexicon", terms, lambda: FuzzyLexicon(*terms))
 
 
@@ -305,7 +337,7 @@ def held_out(doc_id="doc_id"):
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> tuple[tuple, np.ndarray]:
-    """((strong terms, weak terms), weights) from labelled rows that are not held out."""
+    """((strong terms, weak terms, wide), weights) from labelled rows that are not held out."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(
         "doc_id is not null and toxic in (0, 1)").where(~held_out()).distinct()
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("_text", F.xxhash64("text"))
@@ -330,17 +362,19 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[tuple, np.ndarray]:
     candidates = sorted(r["stem"] for r, v in zip(found, value, strict=True) if v >= LEAST_RATIO)
     presence = [(r["toxic"], {candidates[k] for k in r["has"]}) for r in sample.mapInArrow(_present(candidates), "toxic int, has array<int>").collect()]
     strong, weak = choose(presence, candidates)
-    terms = (tuple(sorted({*INSULTS, *strong})), tuple(sorted({*weak} - {*INSULTS})))
-    rows = sample.mapInArrow(_count_hits(terms, "toxic"), "toxic int, exact double, edited double, quoted double, addressed double, weak double, words double").collect()
-    x = np.array([r[1:] for r in rows], float).reshape(-1, 6)
-    return terms, fit(features(x), np.array([r[0] for r in rows], float))
+    terms = (tuple(sorted({*INSULTS, *strong})), tuple(sorted({*weak} - {*INSULTS})), True)
+    rows = sample.mapInArrow(_count_hits(terms, "toxic"), "toxic int, exact double, edited double, quoted double, addressed double, weak double, loose double, words double").collect()
+    x = np.array([r[1:] for r in rows], float).reshape(-1, 7)
+    weights = fit(features(x), np.array([r[0] for r in rows], float))
+    weights[-2:] = np.maximum(weights[-2:], 0)  # a misspelled insult makes no text better
+    return terms, weights
 
 
 def _score(terms: tuple, weights: np.ndarray):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = _lexicon(terms)
         for batch in batches:
-            counts = np.array([hits(t.as_py() or "", lexicon) for t in batch.column("text")]).reshape(-1, 6)
+            counts = np.array([hits(t.as_py() or "", lexicon) for t in batch.column("text")]).reshape(-1, 7)
             value = 1 / (1 + np.exp(-np.clip(features(counts) @ weights, -30, 30)))
             at = batch.schema.get_field_index("text")
             columns = [c for i, c in enumerate(batch.columns) if i != at]
@@ -361,7 +395,7 @@ def _reject(terms: tuple, weights: np.ndarray):
     def reject(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = _lexicon(terms)
         for batch in batches:
-            counts = np.array([hits(t.as_py() or "", lexicon) for t in batch.column("text")]).reshape(-1, 6)
+            counts = np.array([hits(t.as_py() or "", lexicon) for t in batch.column("text")]).reshape(-1, 7)
             value = 1 / (1 + np.exp(-np.clip(features(counts) @ weights, -30, 30)))
             yield batch.filter(pa.array(value < THRESHOLD))
 

@@ -41,6 +41,43 @@ def test_beginnings_and_weak_terms():
     assert [lexicon.find(w) for w in ("loweix", "lowei", "lowe", "achlichst", "bad", "badx", "\"idiot!\"", "idi0t")] == [1, 1, 0, 3, 3, 0, 1, 2]
 
 
+def test_loose_matches():
+    """A wide lexicon's near forms beyond those of a narrow one; what matched before matches alike."""
+    terms, weak = ["idiot", "stupid", "scum", "lowei*", "achlich*", "worm*"], ["bomente*"]
+    wide, narrow = toxicity.FuzzyLexicon(terms, weak, True), toxicity.FuzzyLexicon(terms, weak)
+    loose = ["1diot", "ztupid", "diot", "sc0m", "5cum", "achl1chst", "achlch", "axchlich", "chlichst", "bchlichst", "lxweix", "lowxei"]
+    assert [(w, wide.find(w), narrow.find(w)) for w in loose] == [(w, 4, 0) for w in loose]
+    for w in ("idiot", "idi0t", "stupd", "achlichst", "bomentex", "scum", "lowei"):
+        assert wide.find(w) == narrow.find(w) > 0, w
+    for w in ("bomxnte", "scam", "warms", "lowex", "zdiott", "xxiot", "fine", "", "lowe", "xidiot", "sc00", "7"):
+        assert wide.find(w) == narrow.find(w) == 0, w
+    assert toxicity.hits("a ztupid 1diot", wide)[5] == 2 and toxicity.features(np.array([toxicity.hits("a ztupid", wide)]))[0, 1] == 0
+
+
+def test_wide_automaton_finds_first_letters_edited():
+    """Against edit distance: a first letter that is another one or missing, and edits before the end of a beginning."""
+    rnd = random.Random(3)
+    terms, begin = ["idiot", "trash", "loser", "moron"], "achlich"
+    wide, narrow = toxicity.FuzzyLexicon([*terms, begin + "*"], (), True), toxicity.FuzzyLexicon([*terms, begin + "*"])
+    for _ in range(5_000):
+        t = rnd.choice(terms)
+        word = rnd.choice("xzq70é") * rnd.randint(0, 1) + t[1:]
+        assert wide.find(word) == 4 and narrow.find(word) == 0, word
+        k = rnd.randrange(len(begin) - 1)
+        near = begin[:k] + rnd.choice(["", "x", "0"]) + begin[k + 1:] + rnd.choice(["", "st", "keit"])
+        assert wide.find(near) == 4 and narrow.find(near) == 0, near
+
+
+def test_loose_hits_have_a_weight_of_their_own():
+    """Where misspelled terms part toxic texts, they are learned to."""
+    lexicon = toxicity.FuzzyLexicon(toxicity.INSULTS, (), True)
+    texts = [("what a ztupid 1diot they are, sc0m", 1)] * 40 + [("what a fine day it is today", 0)] * 100
+    x = toxicity.features(np.array([toxicity.hits(t, lexicon) for t, _ in texts]))
+    weights = toxicity.fit(x, np.array([y for _, y in texts], float))
+    found = 1 / (1 + np.exp(-x @ weights)) >= toxicity.THRESHOLD
+    assert found.tolist() == [y == 1 for _, y in texts]
+
+
 def test_contexts():
     lexicon = toxicity.FuzzyLexicon(toxicity.INSULTS)
     assert toxicity.hits("you are an idiot and a m0ron", lexicon)[:4] == (1, 1, 0, 2)
