@@ -57,4 +57,42 @@ scores AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scores QUALIFY rank <= 20"""
 
-SQL = {"op3_warc_reassembly": OP3, "op7_minhash_near_dedup": OP7, "op9_embedding_near_dedup": OP9, "op10_exact_top_k": OP10}
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+
+def _op12() -> str:
+    """Rules, the beta prior by moments and the verdicts on sources, rule by rule."""
+    rules = {"few": "n_words < 10", "again": "100 * n_repeat_words > 20 * n_words", "symbols": "10 * n_symbols > n_words",
+             "lines": "100 * n_dup_lines > 30 * n_lines", "length": "word_chars < 3 * n_words OR word_chars > 10 * n_words"}
+    flags = ", ".join(f"({rule}) AS {r}" for r, rule in rules.items())
+    counts = ", ".join(f"CAST(count(*) FILTER (WHERE {r}) AS DOUBLE) AS {r}" for r in rules)
+    priors = ", ".join(f"sum({r}) / sum(n) AS mean_{r}, (sum({r} * {r} / n) - sum({r}) * sum({r}) / sum(n)) AS s_{r}" for r in rules)
+    alike = ", ".join(f"CASE WHEN mean_{r} * (1 - mean_{r}) > 0 AND room > 0 THEN (s_{r} / (mean_{r} * (1 - mean_{r})) - (k - 1)) / room ELSE 0 END AS alike_{r}" for r in rules)
+    rates = " OR ".join(f"CASE WHEN alike_{r} > 0 THEN ({r} + mean_{r} * greatest(0, 1 / alike_{r} - 1)) / (n + greatest(0, 1 / alike_{r} - 1)) ELSE mean_{r} END >= 0.5" for r in rules)
+    return rf"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents),
+split AS (SELECT *, {_WORDS} AS w FROM texts),
+windows AS (
+  SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4] AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM split WHERE len(w) >= 5)),
+again AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+covered AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS j FROM again) GROUP BY r),
+lines AS (
+  SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS l FROM texts) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+measured AS (
+  SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+  FROM split LEFT JOIN covered USING (r) LEFT JOIN lines USING (r)),
+held AS (SELECT *, {flags} FROM measured),
+hosts AS (SELECT source, CAST(count(*) AS DOUBLE) AS n, {counts} FROM held WHERE source IS NOT NULL GROUP BY source),
+total AS (SELECT count(*) AS k, sum(n) - sum(n * n) / sum(n) - (count(*) - 1) AS room, {priors} FROM hosts),
+fitted AS (SELECT *, {alike} FROM total),
+rejected AS (SELECT source AS bad FROM hosts, fitted WHERE {rates})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few OR again AS base_failed,
+       NOT (few OR again) AND bad IS NULL AS kept
+FROM held LEFT JOIN rejected ON source = bad"""
+
+
+SQL = {"op3_warc_reassembly": OP3, "op7_minhash_near_dedup": OP7, "op9_embedding_near_dedup": OP9, "op10_exact_top_k": OP10, "op12_host_rules": _op12()}

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sideline.llm.common import ship
+from sideline.llm.host_rules import op12_host_rules
 from sideline.llm.licenses import op1_license_scan
 from sideline.llm.near_dedup import op7_minhash_near_dedup
 from sideline.llm.oracle import SQL
@@ -30,6 +31,7 @@ _ALL = (
     op8_sentencepiece,
     op9_embedding_near_dedup,
     op10_exact_top_k,
+    op12_host_rules,
 )
 
 
