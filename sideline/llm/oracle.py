@@ -95,4 +95,50 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few
 FROM held LEFT JOIN rejected ON source = bad"""
 
 
-SQL = {"op3_warc_reassembly": OP3, "op7_minhash_near_dedup": OP7, "op9_embedding_near_dedup": OP9, "op10_exact_top_k": OP10, "op12_host_rules": _op12()}
+OP11 = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b)) AS t),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY doc_id, run),
+bytes AS (
+  SELECT run, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+                                        lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)] ELSE [195, ord(c) - 64] END)) AS b FROM runs),
+hashed AS (SELECT run, n, xor(4294967295, list_reduce(b, lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8), 4294967295)) AS h FROM bytes, crc),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+skipped AS (SELECT word, n, i, left(word, i - 1) AS a, substr(word, i + 1) AS b FROM places),
+shorter AS (SELECT DISTINCT word, n, a || b AS other FROM skipped),
+near AS (
+  SELECT x.word, y.word AS other, y.n FROM skipped x JOIN skipped y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION ALL SELECT s.word, w.word, w.n FROM shorter s JOIN words w ON w.word = s.other
+  UNION ALL SELECT w.word, s.word, s.n FROM shorter s JOIN words w ON w.word = s.other),
+counted AS (SELECT word, count(*) AS n_near FROM near GROUP BY word),
+best AS (SELECT word, other, n FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, other) = 1),
+forms AS (SELECT w.word, b.other AS form, b.n AS form_n FROM words w JOIN best b USING (word) WHERE b.n >= 2 * w.n),
+chain AS (SELECT word, word AS root FROM words UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root)
+SELECT w.word, form, c.root, w.n, coalesce(n_near, 0) AS n_near, form_n
+FROM words w LEFT JOIN forms USING (word) LEFT JOIN counted USING (word)
+JOIN (SELECT word, root FROM chain WHERE root NOT IN (SELECT word FROM forms)) c USING (word)"""
+
+
+OP13 = f"""
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND {_USABLE}),
+scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM whole a JOIN whole c ON c.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY rank <= 10"""
+
+SQL = {"op3_warc_reassembly": OP3, "op7_minhash_near_dedup": OP7, "op9_embedding_near_dedup": OP9, "op10_exact_top_k": OP10, "op11_permuterm": OP11, "op12_host_rules": _op12(), "op13_shared_lists": OP13}

@@ -12,9 +12,11 @@ from sideline.llm.licenses import op1_license_scan
 from sideline.llm.near_dedup import op7_minhash_near_dedup
 from sideline.llm.oracle import SQL
 from sideline.llm.packing import op4_best_fit_packing
+from sideline.llm.permuterm import op11_permuterm
 from sideline.llm.product_quantisation import op9_embedding_near_dedup
 from sideline.llm.repeats import op6_suffix_array_dedup
 from sideline.llm.sentence_pieces import op8_sentencepiece
+from sideline.llm.shared_lists import op13_shared_lists
 from sideline.llm.token_counts import op2_token_counts
 from sideline.llm.top_inner import op10_exact_top_k
 from sideline.llm.toxicity import op5_toxicity
@@ -31,7 +33,9 @@ _ALL = (
     op8_sentencepiece,
     op9_embedding_near_dedup,
     op10_exact_top_k,
+    op11_permuterm,
     op12_host_rules,
+    op13_shared_lists,
 )
 
 

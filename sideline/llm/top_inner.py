@@ -36,14 +36,12 @@ from pyspark.sql import functions as F
 
 from sideline.llm.batches import table_batch
 from sideline.llm.common import staged
-from sideline.llm.vectors import binaries, matrix, rows_of
+from sideline.llm.vectors import EXACT, binaries, integer_products, matrix, rows_of
 
 #: Candidates in a bucket, queries in a block.
 BUCKET, QUERIES = 2048, 256
 #: Local cosine threshold from which coordinates prune better than length; coordinates looked at.
 COORDINATE_COSINE, FOCUS = 0.3, 4
-#: Largest component for which doubles hold every partial sum exactly, given its number of dimensions.
-_EXACT = 1 << 53
 
 
 def _scaled(dims: int, scale: float):
@@ -91,14 +89,6 @@ def _blocks(size: int):
     return blocks
 
 
-def _products(q: np.ndarray, v: np.ndarray, dims: int) -> np.ndarray:
-    """Exact integer inner products, cut to a long."""
-    if dims * np.abs(q).max(initial=0) * np.abs(v).max(initial=0) < _EXACT:
-        return (q @ v.T).astype(np.int64)
-    exact = np.array([[int(x) for x in row] for row in q], object) @ np.array([[int(x) for x in row] for row in v], object).T
-    return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
-
-
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k highest scores (long), ties to smaller ids; ~ turns the order without overflow."""
     if len(scores) > 4 * k:
@@ -144,10 +134,10 @@ def _answer(dims: int, k: int, seeding: bool):
                 qs = np.frombuffer(row["vs"]).reshape(-1, dims)
                 ids, lengths, vs = np.frombuffer(row["b_ids"], np.int64), np.frombuffer(row["b_lengths"]), np.frombuffer(row["b_vs"]).reshape(-1, dims)
                 if seeding:
-                    scores = _products(qs, vs, dims).astype(np.float64)
+                    scores = integer_products(qs, vs, dims).astype(np.float64)
                     scores[q_ids[:, None] == ids[None, :]] = -np.inf
                     needed = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) >= k else np.full(len(qs), -np.inf)
-                    needed = np.where(np.abs(needed) < _EXACT, needed, -np.inf)
+                    needed = np.where(np.abs(needed) < EXACT, needed, -np.inf)
                     with np.errstate(divide="ignore", invalid="ignore"):
                         reach = np.where(needed > 0, needed / np.maximum(q_lengths, 1e-300), 0)
                     yield table_batch(schema, [[row[c]] for c in ("block", "most", "ids", "lengths", "vs")] + [[needed.tobytes()], [float(reach.min())]])
@@ -157,7 +147,7 @@ def _answer(dims: int, k: int, seeding: bool):
                 for i in range(len(qs)):
                     keep = prune(qs[i], q_lengths[i], needed[i], vs, lengths)
                     keep = keep[ids[keep] != q_ids[i]]
-                    scores = _products(qs[i: i + 1], vs[keep], dims)[0]
+                    scores = integer_products(qs[i: i + 1], vs[keep], dims)[0]
                     on = scores >= needed[i]
                     keep, scores = keep[on], scores[on]
                     at = best(scores, ids[keep], k)

@@ -6,6 +6,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
+#: Up to here doubles hold every whole number, so sums below it are exact.
+EXACT = 1 << 53
+
 
 def matrix(column: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
     """(rows x dims doubles, which rows are usable): null, of another length, or with null or non-finite components are not."""
@@ -14,7 +17,7 @@ def matrix(column: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
     ok = lengths == dims
     if ok.any():
         flat = column.filter(pa.array(ok)).flatten().cast(pa.float64())
-        out[ok] = flat.fill_null(np.nan).to_numpy(zero_copy_only=False).reshape(-1, dims)
+        out[ok] = flat.fill_null(np.nan).to_numpy(zero_copy_only=False).reshape(int(ok.sum()), dims)
     ok &= np.isfinite(out).all(axis=1)
     out[~ok] = 0
     return out, ok
@@ -31,3 +34,11 @@ def binaries(x: np.ndarray) -> pa.Array:
 def rows_of(column: pa.Array, dtype, dims: int) -> np.ndarray:
     """Byte strings back to a matrix."""
     return np.frombuffer(b"".join(x.as_buffer() for x in column), dtype).reshape(len(column), dims)
+
+
+def integer_products(q: np.ndarray, v: np.ndarray, dims: int) -> np.ndarray:
+    """Exact integer inner products of rows of whole numbers, cut to a long."""
+    if dims * np.abs(q).max(initial=0) * np.abs(v).max(initial=0) < EXACT:
+        return (q @ v.T).astype(np.int64)
+    exact = np.array([[int(x) for x in row] for row in q], object) @ np.array([[int(x) for x in row] for row in v], object).T
+    return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
