@@ -4,10 +4,16 @@ All functions run on numpy arrays inside tasks.  Hashes are 64-bit sums of
 random byte values times powers of an odd number (modulo 2**64), so the hash
 of any substring follows from one running sum; ``mix`` then scrambles it.
 They depend on bytes only and are the same on every machine.
+
+Sums of powers collide for strings made for it (as Thue-Morse sequences), so
+whole words are hashed by ``block_hashes``, where each block of bytes is
+scrambled together with all before it.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -39,6 +45,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Bytes up to which words are hashed in blocks of eight, all words at once; longer ones are digested one by one.
+_SHORT = 64
+
+
+def block_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte strings of a buffer: eight bytes at a time, each block mixed with the hash so far."""
+    length = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    out = mix(length.astype(np.uint64) + np.uint64(_BASE))
+    on = np.flatnonzero((length > 0) & (length <= _SHORT))
+    at, left = starts[on], length[on]
+    while len(on):
+        block = eight[at].astype(np.uint64)
+        spare = (np.maximum(0, 8 - left) * 8).astype(np.uint64)
+        block = (block << spare) >> spare
+        out[on] = mix(out[on] * np.uint64(_BASE) ^ mix(block + np.uint64(_BASE)))
+        more = left > 8
+        on, at, left = on[more], at[more] + 8, left[more] - 8
+    for k in np.flatnonzero(length > _SHORT):
+        out[k] = np.frombuffer(hashlib.blake2b(data[starts[k]: ends[k]].tobytes(), digest_size=8).digest(), "<u8")[0]
+    return out
+
+
 class Substrings:
     """Hashes of substrings of one buffer: ``of(starts, ends)``."""
 

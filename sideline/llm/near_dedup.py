@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sideline.llm.batches import groups, parts, table_batch
+from sideline.llm.batches import groups, parts, table_batch, tidy
 from sideline.llm.common import connected_components, keep_one, staged
 from sideline.llm.hashing import mix
 from sideline.llm.repeats import _packed, unpack
@@ -116,7 +116,7 @@ def _scan(shingle: int, m: int):
                 yield table_batch(schema, [part.column("doc_id"), part.column("key"), pa.array(n), pa.array(marks[:, 0], mask=none),
                                            pa.array(marks[:, 1], mask=none), pa.array([r.tobytes() for r in registers], pa.binary(), mask=none)])
 
-    return scan
+    return tidy(scan)
 
 
 def _bands(bands: int, rows: int):
@@ -133,7 +133,7 @@ def _bands(bands: int, rows: int):
                     h = mix(h * _GOLD + value[:, :, k])
                 yield table_batch(schema, [pa.array(h.ravel().view(np.int64)), pa.array(np.repeat(reps[first: first + 2048], bands))])
 
-    return cut
+    return tidy(cut)
 
 
 def log_likelihood(j, u, larger, smaller, equal):
@@ -170,7 +170,7 @@ def _estimate(percent: int):
                 keep = plausible(x, y, part.column("na").to_numpy().astype(float), part.column("nb").to_numpy().astype(float), percent)
                 yield table_batch(schema, [part.column(c).filter(pa.array(keep)) for c in ("a", "b")])
 
-    return estimate
+    return tidy(estimate)
 
 
 def _verify(percent: int):
@@ -187,7 +187,7 @@ def _verify(percent: int):
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield table_batch(schema, [batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")])
 
-    return verify
+    return tidy(verify)
 
 
 def _sets(shingle: int):
@@ -201,7 +201,7 @@ def _sets(shingle: int):
                 yield table_batch(schema, [part.column("rep"), pa.array(np.diff(ends)),
                                            pa.array([sets[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())])
 
-    return scan
+    return tidy(scan)
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,10 +219,11 @@ def _pairs_with(pairs: DataFrame, side: DataFrame, value: str) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").select("a", "b", "na", "nb", "sa", "sb")
 
 
+@tidy
 def _beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many shingles of a member its hub has, and the others."""
     schema = pa.schema([("hub", pa.int64()), ("rep", pa.int64()), ("n", pa.int64()), ("both", pa.int64()), ("others", pa.list_(pa.int64()))])
-    for batch in batches:
+    for batch in parts(batches):
         both, others = [], []
         for x, y in zip(batch.column("sb"), batch.column("sa"), strict=True):
             x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)

@@ -18,9 +18,10 @@ bounded size and a block of queries meets a block of a list in one task, which
 returns for each vector the number of partners and a spanning forest of the
 links: rows grow with the vectors in a block, never with their pairs.
 
-Defined results: vectors that are null, zero, of another length than most, or
-hold null or non-finite components link with nothing, and neither does a row
-whose ``vec_id`` is null; those are their own component and kept; equal rows
+Defined results: vectors that are null, empty, zero, or hold null or
+non-finite components link with nothing, and neither does a row whose
+``vec_id`` is null; vectors of different lengths link with nothing of each
+other; those are their own component and kept; equal rows
 are partners of each other; an empty table gives an empty result; further
 columns are ignored.
 """
@@ -182,11 +183,24 @@ def _meet(q: Quantiser):
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of each row of ``vectors`` (vec_id, embedding)."""
-    spark = vectors.sparkSession
+    """(vec_id, n_links, component_id, kept) of each row of ``vectors`` (vec_id, embedding).
+
+    Vectors of different lengths never link; each length is an index of its
+    own, and lengths of one vector need none.
+    """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    length = rows.where("embedding is not null").groupBy(F.size("embedding").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").limit(1).collect()
-    dims = max(1, length[0]["n"]) if length else 1
+    length = F.coalesce(F.size("embedding"), F.lit(0))
+    lengths = sorted(r["n"] for r in rows.select(length.alias("n")).where("n > 0").groupBy("n").count().where("count > 1").collect())
+    alone = F.col("vec_id").alias("component_id")
+    out = rows.where(~length.isin(lengths)).select("vec_id", F.lit(0).cast("long").alias("n_links"), alone, F.lit(True).alias("kept"))
+    for dims in lengths:
+        out = out.union(_one_length(rows.where(length == dims), dims, cosine))
+    return out
+
+
+def _one_length(rows: DataFrame, dims: int, cosine: float) -> DataFrame:
+    """``near_vectors`` of vectors with ``dims`` components."""
+    spark = rows.sparkSession
     unit = staged(rows.mapInArrow(_normal(dims), "vec_id long, v binary").withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64("v", F.lit(1))}), "unit")
     usable = unit.where("v is not null")
     classes = staged(usable.groupBy("h1", "h2").agg(F.min(F.struct("vec_id", "v")).alias("x"), F.count("*").alias("c"))

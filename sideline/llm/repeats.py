@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sideline.llm.batches import as_binary, buffer, groups, parts, table_batch
+from sideline.llm.batches import as_binary, buffer, groups, parts, table_batch, tidy
 from sideline.llm.common import staged
 from sideline.llm.hashing import Substrings
 
@@ -57,8 +57,9 @@ TOKEN = 48
 NAME = 40
 #: Neighbouring suffixes in one row of the exchange across boundaries.
 BLOCK = 8
-#: Suffixes sorted at once in a bucket; a token with more is compared across as if cut by a boundary.
-SORT_ROWS = 400_000
+#: Suffixes, and bytes of text, sorted at once in a bucket; a token with more is compared across as if cut by a boundary.
+#: A worker takes about 50 bytes for each byte sorted, so this bounds it whatever the runs are like.
+SORT_ROWS, SORT_BYTES = 100_000, 2 << 20
 
 
 def _sliding_min(h: np.ndarray, w: int) -> np.ndarray:
@@ -111,9 +112,10 @@ def _scan(size: int, token: int, only_lead: bool):
                 yield table_batch(schema, [part.column("doc_id").take(at), part.column("key").take(at), lead,
                                            pa.array(content.view(np.int64)), pa.array(start), pa.array(n.astype(np.int32))])
 
-    return scan
+    return tidy(scan)
 
 
+@tidy
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compress the column ``text`` (to bytes) so that shuffles carry less."""
     squeeze = zstandard.ZstdCompressor(level=1).compress
@@ -147,23 +149,24 @@ def _chunks(size: int):
                     [{"lead": x["lead"], "content": x["content"], "single": x["single"], "doc_id": doc_id, "key": key,
                       "start": x["start"], "chunk": text[x["start"]: x["start"] + x["n"] + size - 1]} for x in wanted], schema=schema)
 
-    return cut
+    return tidy(cut)
 
 
-def multikey_groups(tokens: np.ndarray) -> np.ndarray:
-    """For rows of tokens: the number of the class of equal rows, -1 for a row without an equal.
+def multikey_groups(n: int, levels: int, token_at) -> np.ndarray:
+    """For ``n`` rows of tokens: the number of the class of equal rows, -1 for a row without an equal.
 
     A multikey quicksort, a token position at a time: rows are sorted by
     (class so far, token), classes split where the token changes, and rows
-    alone in their class leave.
+    alone in their class leave.  ``token_at(level, rows)`` gives the tokens of
+    the rows that are left.
     """
-    out = np.full(len(tokens), -1, np.int64)
-    rows = np.arange(len(tokens))
-    group = np.zeros(len(tokens), np.int64)
-    for level in range(tokens.shape[1]):
-        order = np.lexsort((tokens[rows, level], group))
-        rows, group = rows[order], group[order]
-        value = tokens[rows, level]
+    out = np.full(n, -1, np.int64)
+    rows = np.arange(n)
+    group = np.zeros(n, np.int64)
+    for level in range(levels):
+        value = token_at(level, rows)
+        order = np.lexsort((value, group))
+        rows, group, value = rows[order], group[order], value[order]
         new = np.ones(len(rows), bool)
         new[1:] = (group[1:] != group[:-1]) | (value[1:] != value[:-1])
         group = np.cumsum(new) - 1
@@ -188,8 +191,8 @@ def _sort_bucket(size: int, name: int, token: int):
         run = np.repeat(np.arange(len(rows)), count)
         at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         pos = offsets[run] + at
-        tokens = np.stack([hashes.of(pos + k, pos + min(k + name, size)) for k in range(0, size, name)], axis=1)
-        group = multikey_groups(tokens)
+        ends = [min(k + name, size) for k in range(0, size, name)]
+        group = multikey_groups(len(pos), len(ends), lambda level, on: hashes.of(pos[on] + level * name, pos[on] + ends[level]))
         single = np.array([r["single"] for r in rows])
         repeat = (group >= 0) & single[run]
         # Neighbouring repeats of a run are one row.
@@ -241,35 +244,36 @@ def _sort_bucket(size: int, name: int, token: int):
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted by (lead, content); closed tokens are sorted together, as many as fit.
         ready: list[dict] = []
-        ready_n = 0
+        ready_size = np.zeros(2, np.int64)
         group: list[dict] = []
-        group_n = 0
+        group_size = np.zeros(2, np.int64)
+        most = np.array([SORT_ROWS, SORT_BYTES])
         cut = True  # the first token of a bucket may begin in the bucket before
-        for batch in batches:
+        for batch in parts(batches):
             for row in batch.to_pylist():
                 if group and row["lead"] != group[0]["lead"]:
                     if cut:
                         yield from decide(group, True)
                     else:
-                        ready += group
-                        ready_n += group_n
-                        if ready_n > SORT_ROWS // 4:
+                        if ready and (ready_size + group_size > most).any():
                             yield from decide(ready, False)
-                            ready, ready_n = [], 0
-                    group, group_n, cut = [], 0, False
+                            ready, ready_size = [], np.zeros(2, np.int64)
+                        ready += group
+                        ready_size += group_size
+                    group, group_size, cut = [], np.zeros(2, np.int64), False
                 elif group and row["content"] == group[-1]["content"]:
                     continue  # the same run of a repeated row
-                elif group_n > SORT_ROWS:
+                elif (group_size > most).any():
                     yield from decide(group, True)
-                    group, group_n, cut = [], 0, True
+                    group, group_size, cut = [], np.zeros(2, np.int64), True
                 group.append(row)
-                group_n += len(row["chunk"]) - size + 1
+                group_size += (len(row["chunk"]) - size + 1, len(row["chunk"]))
         if ready:
             yield from decide(ready, False)
         if group:
             yield from decide(group, True)  # may go on in the next bucket
 
-    return sort
+    return tidy(sort)
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +345,7 @@ def _apply(size: int):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(sizes, pa.int64()),
                                               pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], names=names)
 
-    return apply
+    return tidy(apply)
 
 
 def remove_repeats(docs: DataFrame, size: int = SIZE, token: int = TOKEN) -> DataFrame:

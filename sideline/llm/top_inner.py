@@ -16,8 +16,9 @@ What is left is verified by whole inner products of integers.  The bounds hold
 for all vectors, so the result is exact.
 
 Defined results: components are turned into integers by ``floor(scale * x)``;
-vectors that are null, of another length than most, or hold null or
-non-finite components take no part, and neither do rows without ``vec_id``;
+vectors that are null or hold null or non-finite components take no part, and
+neither do rows without ``vec_id``; each length of vectors is searched for
+itself (an empty vector scores 0 with the empty ones);
 candidates with the query's ``vec_id`` are its own row; a query row that is
 repeated is answered as often; fewer than k candidates are all returned;
 scores beyond a long are cut to it; an empty table gives an empty result;
@@ -131,8 +132,9 @@ def _answer(dims: int, k: int, seeding: bool):
         for batch in batches:
             for row in batch.to_pylist():
                 q_ids, q_lengths = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["lengths"])
-                qs = np.frombuffer(row["vs"]).reshape(-1, dims)
-                ids, lengths, vs = np.frombuffer(row["b_ids"], np.int64), np.frombuffer(row["b_lengths"]), np.frombuffer(row["b_vs"]).reshape(-1, dims)
+                qs = np.frombuffer(row["vs"]).reshape(len(q_ids), dims)
+                ids, lengths, vs = np.frombuffer(row["b_ids"], np.int64), np.frombuffer(row["b_lengths"]), np.frombuffer(row["b_vs"])
+                vs = vs.reshape(len(ids), dims)
                 if seeding:
                     scores = integer_products(qs, vs, dims).astype(np.float64)
                     scores[q_ids[:, None] == ids[None, :]] = -np.inf
@@ -160,10 +162,20 @@ def _answer(dims: int, k: int, seeding: bool):
 
 
 def top_inner(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best rows of ``vectors`` for each of its rows where ``is_query`` holds."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    length = rows.where("embedding is not null").groupBy(F.size("embedding").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").limit(1).collect()
-    dims = max(1, length[0]["n"]) if length else 1
+    """(query_id, rank, vec_id, score): the k best rows of ``vectors`` for each of its rows where ``is_query`` holds.
+
+    Queries are answered from the vectors of their own length.
+    """
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where("embedding is not null")
+    lengths = sorted(r["n"] for r in rows.select(F.size("embedding").alias("n")).distinct().collect())
+    out = rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    for dims in lengths:
+        out = out.union(_one_length(rows.where(F.size("embedding") == dims), is_query, dims, k, scale))
+    return out
+
+
+def _one_length(rows: DataFrame, is_query, dims: int, k: int, scale: float) -> DataFrame:
+    """``top_inner`` of vectors with ``dims`` components."""
     whole = staged(rows.mapInArrow(_scaled(dims, scale), "vec_id long, length double, v binary"), "vectors")
     order = (F.desc("length"), "vec_id")
     buckets = staged(whole.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks(BUCKET), _BLOCK), "buckets")

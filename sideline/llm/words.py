@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from sideline.llm.hashing import Substrings, mix
+from sideline.llm.hashing import block_hashes, mix
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -27,7 +27,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     tails = offsets[1:][np.diff(offsets) > 0] - 1
     ends[tails] = inside[tails]
     starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    return Substrings(low).of(starts, stops), np.searchsorted(offsets, starts, "right") - 1
+    return block_hashes(low, starts, stops), np.searchsorted(offsets, starts, "right") - 1
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

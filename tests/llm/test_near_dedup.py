@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from sideline.llm import near_dedup
-from sideline.llm.words import shingle_sets
+from sideline.llm.words import shingle_sets, word_hashes
 
 SCHEMA = "doc_id long, text string"
 
@@ -87,3 +87,28 @@ def test_likelihood_keeps_pairs_at_the_threshold():
     assert dropped == 0
     far = np.arange(180, dtype=np.uint16)[None] * 7
     assert not near_dedup.plausible(far, far[:, ::-1], np.array([300.0]), np.array([300.0]), 85)[0]
+
+
+def test_words_made_to_collide(spark):
+    """Thue-Morse words have equal sums of powers; they are different words all the same."""
+    def thue_morse(a, b, n):
+        return "".join(a if bin(k).count("1") % 2 == 0 else b for k in range(n))
+
+    rest = " ".join(f"w{k}" for k in range(30))
+    for n in (32, 64, 1024, 4096):
+        rows = [(1, f"{thue_morse('a', 'b', n)} x y"), (2, f"{thue_morse('b', 'a', n)} x y"), (3, rest), (4, rest + " w29")]
+        found = sorted(tuple(r) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).drop("key").collect())
+        assert found == near_dedup.brute_force(rows, 3, 85)
+
+
+def test_word_hashes_depend_on_bytes_only():
+    rnd = random.Random(8)
+    words = ["".join(rnd.choice("ab") for _ in range(n)) for n in (1, 7, 8, 9, 15, 16, 17, 63, 64, 65, 200) for _ in range(3)]
+    hashes = {}
+    for sep in (" ", "\n\n  "):
+        text = (sep.join(words) + sep).encode()
+        h, owner = word_hashes(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        assert len(h) == len(words) and not owner.any()
+        for w, x in zip(words, h.tolist(), strict=True):
+            assert hashes.setdefault(w, x) == x
+    assert len(set(hashes.values())) == len(hashes)

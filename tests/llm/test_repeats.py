@@ -2,9 +2,12 @@
 
 import hashlib
 import random
+import subprocess
+import sys
 
 import pytest
 
+from conftest import ROOT
 from sideline.llm import repeats
 
 SCHEMA = "doc_id long, text string"
@@ -34,10 +37,11 @@ def _wanted(rows):
     return sorted(((d, *b) for (d, _), b in zip(rows, repeats.brute_force([(t or "").encode() for _, t in rows]), strict=True)), key=str)
 
 
-@pytest.mark.parametrize("sort_rows", [400_000, 40])
-def test_matches_brute_force(spark, monkeypatch, sort_rows):
+@pytest.mark.parametrize(("sort_rows", "sort_bytes"), [(400_000, 1 << 30), (40, 1 << 30), (400_000, 1500)])
+def test_matches_brute_force(spark, monkeypatch, sort_rows, sort_bytes):
     """Nulls, copies, overlaps, periodic texts and repeated rows; small buckets force the comparison across boundaries."""
     monkeypatch.setattr(repeats, "SORT_ROWS", sort_rows)
+    monkeypatch.setattr(repeats, "SORT_BYTES", sort_bytes)
     rows = _texts(1)
     assert _found(spark.createDataFrame(rows, SCHEMA)) == _wanted(rows)
 
@@ -66,3 +70,33 @@ def test_size_boundary(spark):
     out = {r.doc_id: r.n_removed for r in repeats.remove_repeats(spark.createDataFrame(
         [(1, "A" + a + "B"), (2, "C" + a + "D"), (3, "E" + a + "xF"), (4, "G" + a + "xH")], SCHEMA)).collect()}
     assert out == {1: 0, 2: 0, 3: 200, 4: 200}
+
+
+def test_sorting_stays_within_its_memory():
+    """A hot token of runs of one suffix each: a worker's memory follows SORT_BYTES, not the bucket."""
+    code = """
+import os, resource, numpy as np, pyarrow as pa
+from sideline.llm import repeats
+class Context:
+    @staticmethod
+    def get():
+        return Context
+    partitionId = staticmethod(lambda: 0)
+repeats.TaskContext = Context
+rng = np.random.default_rng(0)
+token = rng.integers(97, 123, repeats.TOKEN, dtype=np.uint8)
+lead = repeats.Substrings(token).of(np.array([0]), np.array([repeats.TOKEN])).view(np.int64)[0]
+def batches():
+    for k in range(40):
+        n = 10_000
+        text = rng.integers(97, 123, (n, 200), dtype=np.uint8)
+        text[:, 60: 60 + repeats.TOKEN] = token
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, lead)), pa.array(np.arange(n) + k * n), pa.array([True] * n), pa.array(np.arange(n) + k * n),
+            pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n, np.int64)), pa.array([x.tobytes() for x in text], pa.binary())],
+            names=["lead", "content", "single", "doc_id", "key", "start", "chunk"])
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+rows = sum(b.num_rows for b in repeats._sort_bucket(repeats.SIZE, repeats.NAME, repeats.TOKEN)(batches()))
+print(rows, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=ROOT, check=True, timeout=300).stdout.split()
+    assert int(out[1]) < 300

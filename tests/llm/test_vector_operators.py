@@ -11,11 +11,15 @@ from sideline.llm import product_quantisation, top_inner
 SCHEMA = "vec_id long, embedding array<float>"
 ODD = [(700, None), (701, [0.0] * 16), (702, [float("nan")] + [1.0] * 15), (703, [None] + [1.0] * 15), (704, [1.0] * 3), (707, []), (708, [float("inf")] + [0.0] * 15)]
 
+# Vectors of further lengths, with links and queries of their own; one of them also fits the longer ones' beginning.
+MINOR = [(800 + k, [float(k % 3 + 1), float(k % 2), 1.0]) for k in range(30)] + [(840, [1.0, 2.0]), (860, [2.0, 4.0]), (880, [5.0])]
+
 
 def _near_brute(rows, cosine):
-    usable = [i is not None and e is not None and len(e) == 16 and all(v is not None and math.isfinite(v) for v in e) and any(e) for i, e in rows]
-    x = np.array([np.array(e, float) / np.linalg.norm(np.array(e, float)) if ok else np.zeros(16) for (_, e), ok in zip(rows, usable, strict=True)])
-    near = (x @ x.T >= cosine - 1e-12) & np.outer(usable, usable)
+    usable = [i is not None and e is not None and all(v is not None and math.isfinite(v) for v in e) and any(e) for i, e in rows]
+    x = np.array([np.pad(np.array(e, float) / np.linalg.norm(np.array(e, float)), (0, 16 - len(e))) if ok else np.zeros(16) for (_, e), ok in zip(rows, usable, strict=True)])
+    size = np.array([len(e or ()) for _, e in rows])
+    near = (x @ x.T >= cosine - 1e-12) & np.outer(usable, usable) & (size[:, None] == size[None, :])
     np.fill_diagonal(near, False)
     parent = {i: i for i, _ in rows}
 
@@ -37,7 +41,7 @@ def test_near_vectors(spark, monkeypatch, block):
     rng = np.random.default_rng(0)
     base = rng.normal(size=(20, 16))
     rows = [(i, [float(x) for x in (base[i % 20] + rng.normal(size=16) * 0.3 * (i % 4)).astype(np.float32)]) for i in range(400)]
-    rows += [*ODD, (None, rows[0][1]), (705, rows[5][1]), (706, [2 * x for x in rows[5][1]]), (5, rows[5][1])]
+    rows += [*ODD, *MINOR, (None, rows[0][1]), (705, rows[5][1]), (706, [2 * x for x in rows[5][1]]), (5, rows[5][1])]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA + ", rep string, c int")
     found = sorted((tuple(r) for r in product_quantisation.near_vectors(df).collect()), key=str)
     assert found == _near_brute(rows, 0.9)
@@ -66,11 +70,11 @@ def test_lookups_bound_the_distance_from_below():
 
 
 def _top_brute(rows, k):
-    x = [(i, [math.floor(64 * float(v)) for v in e]) for i, e in rows if i is not None and e is not None and len(e) == 16 and all(v is not None and math.isfinite(v) for v in e)]
+    x = [(i, [math.floor(64 * float(v)) for v in e]) for i, e in rows if i is not None and e is not None and all(v is not None and math.isfinite(v) for v in e)]
     out = []
     for i, q in x:
         if i % 20 == 0:
-            scores = [(max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(q, v, strict=True)))), j) for j, v in x if j != i]
+            scores = [(max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(q, v, strict=True)))), j) for j, v in x if j != i and len(v) == len(q)]
             out += [(i, r, j, s) for r, (s, j) in enumerate(sorted(scores, key=lambda y: (-y[0], y[1]))[:k], 1)]
     return sorted(out)
 
@@ -86,7 +90,7 @@ def test_top_inner(spark, monkeypatch, kind):
         v = rng.normal(size=16)
         v = v / np.linalg.norm(v) if kind == "equal lengths" else v * rng.exponential()
         rows.append((i, [0.3] * 16 if kind == "copies" and i % 3 == 0 else [float(x) for x in v.astype(np.float32)]))
-    rows += [*ODD, (None, rows[0][1]), (720, rows[5][1])]
+    rows += [*ODD, *MINOR, (None, rows[0][1]), (720, rows[5][1])]
     if kind == "huge":
         rows += [(740, [1e30] + [0.0] * 15), (741, [3e37] + [0.0] * 15), (742, [1e9] * 16)]
     found = sorted(tuple(r) for r in top_inner.top_inner(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0).collect())
