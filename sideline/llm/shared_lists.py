@@ -50,8 +50,8 @@ from sideline.llm.vectors import binaries, integer_products, matrix, rows_of
 
 #: Anchors the centroids are fitted to, at most, and centroids, at most.
 SAMPLE, CENTROIDS = 8192, 256
-#: Anchors in a cluster, candidates in a block, blocks in the head of a list.
-MEMBERS, BLOCK, HEAD = 64, 2048, 2
+#: Anchors in a cluster, candidates in a block, candidates in the head of a list.
+MEMBERS, BLOCK, HEAD = 64, 2048, 4096
 #: Clusters that meet one copy of a block.
 PAGE = 4096
 #: Slack of cosines against rounding.
@@ -140,7 +140,7 @@ def _packed(rows: pa.Table) -> list:
 
 _CLUSTER = pa.schema([("cluster", pa.int64()), ("centre", pa.binary()), ("radius", pa.float64()), ("cells", pa.list_(pa.float64())),
                       ("ids", pa.binary()), ("labels", pa.binary()), ("lengths", pa.binary()), ("vs", pa.binary())])
-_BLOCKS = pa.schema([("block", pa.int64()), ("cell", pa.int32()), ("low", pa.float64()), ("high", pa.float64()), ("most", pa.float64()),
+_BLOCKS = pa.schema([("block", pa.int64()), ("cell", pa.int32()), ("low", pa.float64()), ("high", pa.float64()), ("most", pa.float64()), ("rows", pa.int64()),
                      ("b_ids", pa.binary()), ("b_labels", pa.binary()), ("b_lengths", pa.binary()), ("b_vs", pa.binary())])
 
 
@@ -160,7 +160,7 @@ def _clusters(dims: int, kind: np.dtype, centroids: np.ndarray):
 def _candidates():
     def made_of(rows: pa.Table) -> list:
         angle, length = rows.column("angle").to_numpy(), rows.column("length").to_numpy()
-        return [rows.column("cell")[0].as_py(), float(angle.min()), float(angle.max()), float(length.max()), *_packed(rows)]
+        return [rows.column("cell")[0].as_py(), float(angle.min()), float(angle.max()), float(length.max()), rows.num_rows, *_packed(rows)]
 
     return _cut(BLOCK, _BLOCKS, made_of)
 
@@ -281,14 +281,15 @@ class _Lists:
 
         kinds = "ids binary, labels binary, lengths binary, vs binary"
         self.clusters = staged(dealt(anchors).mapInArrow(_clusters(dims, self.kind, centroids), f"cluster long, centre binary, radius double, cells array<double>, {kinds}"), "clusters")
-        self.blocks = staged(dealt(whole).mapInArrow(_candidates(), "block long, cell int, low double, high double, most double, " + ", ".join(f"b_{c}" for c in kinds.split(", "))), "blocks")
+        self.blocks = staged(dealt(whole).mapInArrow(_candidates(), "block long, cell int, low double, high double, most double, rows long, " + ", ".join(f"b_{c}" for c in kinds.split(", "))), "blocks")
         # The angle left between a cluster's members and a block's rows, by the angles both have to the block's centroid.
         cells = self.clusters.select("cluster", "radius", F.posexplode("cells").alias("cell", "phi"))
         left = F.greatest(F.lit(0.0), F.col("phi") - F.col("radius") - F.col("high"), F.col("low") - F.col("phi") - F.col("radius"))
         bound = F.col("most") * F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.cos(F.least(left, F.lit(np.pi))) + _SLACK))
-        entries = cells.join(self.blocks.select("block", "cell", "low", "high", "most"), "cell").select("cluster", "block", bound.alias("bound"))
-        order = Window.partitionBy("cluster").orderBy(F.desc("bound"), "block")
-        self.list = staged(entries.withColumn("at", F.row_number().over(order)), "lists")
+        entries = cells.join(self.blocks.select("block", "cell", "low", "high", "most", "rows"), "cell").select("cluster", "block", "rows", bound.alias("bound"))
+        order = Window.partitionBy("cluster").orderBy(F.desc("bound"), "block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        # The place of an entry: how many candidates come before its own.
+        self.list = staged(entries.withColumn("at", F.sum("rows").over(order) - F.col("rows")).drop("rows"), "lists")
         busiest = self.list.groupBy("block").count().agg(F.max("count").alias("n")).collect()[0]["n"] or 0
         self.pages, self.parts = max(1, -(-busiest // PAGE)), width(spark)
 
@@ -306,7 +307,7 @@ class _Lists:
         """The ``k`` best for each member and place: the head of the lists first, then until no bound reaches what is needed."""
         place = Window.partitionBy("cluster", "member", "place").orderBy(F.desc("score"), "vec_id")
         top = lambda found: found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
-        head = staged(top(self.walk(self.list.where(F.col("at") <= HEAD), asked, k)), "head")
+        head = staged(top(self.walk(self.list.where(F.col("at") < HEAD), asked, k)), "head")
         # What the head gives: the k-th best of those that have so many.
         got = head.where(F.col("rank") == k).select("cluster", "member", "place", F.col("score").alias("need"), F.col("vec_id").alias("need_id"))
         if asked is None:
@@ -318,7 +319,7 @@ class _Lists:
         lengths = self.clusters.select("cluster", F.col("lengths"))
         state = staged(wanted.groupBy("cluster").agg(F.collect_list(F.struct("member", "place", "positive_id", "positive_score", "need", "need_id")).alias("asked"))
                        .join(lengths, "cluster").mapInArrow(_reach(self.low, self.high), f"cluster long, reach double, asked {_ASKED}"), "asked")
-        rest = self.list.where(F.col("at") > HEAD).join(state.select("cluster", "reach"), "cluster").where(F.col("bound") >= F.col("reach"))
+        rest = self.list.where(F.col("at") >= HEAD).join(state.select("cluster", "reach"), "cluster").where(F.col("bound") >= F.col("reach"))
         return staged(top(head.drop("rank").union(self.walk(rest, state.select("cluster", "asked"), k))), "walked")
 
 

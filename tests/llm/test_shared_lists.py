@@ -52,6 +52,7 @@ def test_hard_negatives(spark, monkeypatch, kind):
     monkeypatch.setattr(L, "MEMBERS", 3)
     monkeypatch.setattr(L, "BLOCK", 50)
     monkeypatch.setattr(L, "PAGE", 2)
+    monkeypatch.setattr(L, "HEAD", 100)
     rows = _rows(kind)
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA)
     found = sorted(tuple(r) for r in L.hard_negatives(df, F.col("vec_id") % 100 == 0).collect())
