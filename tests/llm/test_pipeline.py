@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__
@@ -95,3 +96,17 @@ def test_registered():
     names = __spark_entry__.queries()
     assert {f"op{n}_" for n in range(1, 11)} <= {n.split("_")[0] + "_" for n in names if n.startswith("op")} and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "suffix_dedup", "packing"]
+
+
+def test_clashing_columns(spark, folder):
+    """Names that operators and stages use themselves are columns like others."""
+    docs = table(spark, folder, "documents")
+    names = ["_stay_id", "_stay_key", "stay_id", "id", "key", "row_", "kept", "score", "toxic", "sketch", "rep", "ranges", "letters", "rows", "n_bytes"]
+    clash = docs.withColumns({c: F.lit(c) for c in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, clash, folder)
+        assert out.columns == clash.columns, name
+        plain = stage(spark, docs, folder)
+        assert sorted(map(tuple, out.select(docs.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+        assert out.where(F.col("_stay_id") != "_stay_id").isEmpty()
+    assert corpus_pipeline.packing_stage(spark, clash, folder).count() == corpus_pipeline.packing_stage(spark, docs, folder).count()
