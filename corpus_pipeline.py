@@ -14,7 +14,9 @@ their order, further columns included.
 4. ``packing``: sequences of at most 1024 ids, one row for each piece.
 
 Nulls, empty texts, repeated rows and empty tables have the results that the
-operators state; a null ``doc_id`` is never a duplicate.
+operators state; a null ``doc_id`` is never a duplicate.  Further columns may
+have any names: they are carried in a struct, or passed on as they are, and
+come out of every stage but the last unchanged.
 """
 
 from __future__ import annotations
@@ -35,14 +37,16 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    # Rows travel in a struct, so no column of theirs can clash with a name used here.
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     found = near_dedup.near_duplicates(docs.select("doc_id", "text"))
-    stay = staged(found.where("kept").groupBy(F.col("doc_id").alias("_stay_id"), F.col("key").alias("_stay_key")).agg(F.count("*").alias("_stay_rows")), "stay")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_stay_id")) & (F.xxhash64("text") == F.col("_stay_key"))
-    many = (F.col("_stay_rows") > 1) & F.col("_stay_id").isNotNull()
-    once = docs.join(stay.where(~many), same, "left_semi")
+    stay = staged(found.where("kept").groupBy(F.col("doc_id").alias("stay_id"), F.col("key").alias("stay_key")).agg(F.count("*").alias("rows")), "stay")
+    same = F.col("id").eqNullSafe(F.col("stay_id")) & (F.col("key") == F.col("stay_key"))
+    many = (F.col("rows") > 1) & F.col("stay_id").isNotNull()
+    once = rows.join(stay.where(~many), same, "left_semi").select("row")
     # Rows that repeat id and text: one of them stays.
-    again = docs.join(stay.where(many), same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.union(again.select(docs.columns))
+    again = rows.join(stay.where(many), same, "left_semi").withColumn("text", F.col("row.text")).dropDuplicates(["id", "text"]).select("row")
+    return once.union(again).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,11 +1,14 @@
 """Command line: the source's scripts as subcommands.
 
     python -m sideline load    --tables DIR --out DIR            # historical load
-    python -m sideline load    --landed DIR --out DIR            # the same, from landed files
+    python -m sideline load    --landed DIR --out DIR [--play-by-play 2000 2024]   # the same, from landed files
     python -m sideline build   --tables DIR --out DIR [--database mart]
     python -m sideline report  --tables DIR --out DIR            # profiles, drift and coverage as CSV
     python -m sideline peek    --tables DIR [--report top_teams_alltime] [--rows 10]
     python -m sideline update  --out DIR --schedules FEED --weekly FEED [--season N --weeks 1 2] [--game-type REG]
+    python -m sideline coaches   --out DIR --feed FEED [--seasons 2024]   # merge into the stored dimension
+    python -m sideline divisions --out DIR --csv FILE
+    python -m sideline profile   --out DIR [--seasons 2024]      # profile anew only these seasons
     python -m sideline refresh --landing DIR --table DIR --checkpoint DIR [--rejects DIR]
 
 ``--tables`` is a folder with the driver's parquet tables.  The session comes
@@ -33,6 +36,17 @@ def main(argv: list[str] | None = None) -> int:
     given.add_argument("--tables")
     given.add_argument("--landed")
     p.add_argument("--out", required=True)
+    p.add_argument("--play-by-play", type=int, nargs=2, metavar=("FIRST", "LAST"), default=None)
+    p = sub.add_parser("coaches", help="merge the coaches of played games into the stored dimension")
+    p.add_argument("--out", required=True)
+    p.add_argument("--feed", required=True)
+    p.add_argument("--seasons", type=int, nargs="*", default=None)
+    p = sub.add_parser("divisions", help="merge a division CSV into the stored dimension")
+    p.add_argument("--out", required=True)
+    p.add_argument("--csv", required=True)
+    p = sub.add_parser("profile", help="profile the stored weekly table, season by season")
+    p.add_argument("--out", required=True)
+    p.add_argument("--seasons", type=int, nargs="*", default=None)
     p = sub.add_parser("update", help="refresh the season's completed weeks of the loaded tables")
     p.add_argument("--out", required=True)
     p.add_argument("--schedules", required=True)
@@ -61,8 +75,20 @@ def main(argv: list[str] | None = None) -> int:
     from sideline.session import get_spark
     spark = get_spark(a.master)
     if a.cmd == "load" and a.landed:
-        from sideline.plans.pipelines import load_landed
+        from sideline.plans.pipelines import load_landed, load_play_by_play
         load_landed(spark, a.landed, a.out).show(truncate=False)
+        if a.play_by_play:
+            first, last = a.play_by_play
+            load_play_by_play(spark, a.landed, a.out, range(first, last + 1)).orderBy("season").show(100)
+    elif a.cmd == "coaches":
+        from sideline.plans.pipelines import merge_coaches
+        print("seasons merged:", *[s for (s,) in merge_coaches(spark, a.out, spark.read.parquet(a.feed), a.seasons)])
+    elif a.cmd == "divisions":
+        from sideline.plans.pipelines import merge_divisions
+        print("seasons merged:", *[s for (s,) in merge_divisions(spark, a.out, a.csv)])
+    elif a.cmd == "profile":
+        from sideline.plans.pipelines import refresh_profiles
+        refresh_profiles(spark, a.out, seasons=a.seasons).orderBy("column_name").show(200, truncate=False)
     elif a.cmd == "load":
         from sideline.plans.pipelines import historical_load
         from sideline.plans.warehouse import stage_months

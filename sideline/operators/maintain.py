@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SLICE_KEYS = ["season", "week"]
@@ -39,6 +39,27 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "keys") -> Dat
     return grouped.where(_guard(keys, what)).select(*df.columns)
 
 
+def enforce(df: DataFrame, keys: Sequence[str], not_null: Iterable[str] = (), what: str = "table") -> DataFrame:
+    """``df`` itself, failing while it is evaluated where a key repeats or a key or NOT NULL column is NULL.
+
+    The guard is part of the plan of whatever writes the rows, so they are
+    read once and a refused write leaves nothing behind.  The numbering of
+    equal keys streams over rows sorted by key and holds none of them; a key
+    is a row's own, so no key gathers more rows than the first repeat of it.
+    """
+    must = list(dict.fromkeys([*keys, *not_null]))
+    shown = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys or must])
+    missing = F.lit(False)
+    for c in must:
+        missing = missing | F.col(c).isNull()
+    guard = F.when(missing, F.raise_error(F.concat(F.lit(f"{what}: NULL in {', '.join(must)} of key "), shown)))
+    if not keys:
+        return df.where(guard.otherwise(F.lit(True))) if must else df
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    guard = guard.when(F.col("_nth_of_key") > 1, F.raise_error(F.concat(F.lit(f"{what}: duplicate key "), shown))).otherwise(F.lit(True))
+    return df.withColumn("_nth_of_key", nth).where(guard).drop("_nth_of_key")
+
+
 def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``INSERT ... ON CONFLICT (keys) DO UPDATE`` as one grouped aggregate.
 

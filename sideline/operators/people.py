@@ -19,10 +19,10 @@ from sideline.functions.exprs import PLAYOFF_TYPES, name_or_display, round_int,
 from sideline.functions.joins import bounded
 from sideline.operators.align import require_columns
 from sideline.operators.games import played
-from sideline.operators.maintain import assert_unique
 
 COACH_GAME_TYPES = ("REG",) + PLAYOFF_TYPES
 GAME_KEYS = ["game_id", "season", "week", "game_type"]
+SIDES = ["home_team", "away_team", "home_coach", "away_coach"]
 
 
 def qb_primary_game(weekly: DataFrame) -> DataFrame:
@@ -58,24 +58,34 @@ def coach_map(schedules: DataFrame, feed: DataFrame, validate: bool = True) -> D
     """(season, week, team, head_coach) for every side of every played game.
 
     ``feed`` carries (game_id, season, week, game_type, home_coach, away_coach);
-    it is left-joined to the played games one-to-one (``validate`` raises at
-    run time if either side repeats a key); a frame that lacks a needed column
-    fails at once, by name.  Rows of other game types and
+    it is matched to the played games one-to-one in one aggregate of both
+    sides (``validate`` raises at run time if either side repeats a key, else
+    a repeated key is taken once); a frame that lacks a needed column fails at
+    once, by name.  Rows of other game types and
     rows without a coach are dropped, names are stripped of white space and
     the first row per (season, week, team) is kept.
     """
     require_columns(schedules, [*GAME_KEYS, "home_team", "away_team", "home_score", "away_score"], "coach_map: schedule")
     require_columns(feed, [*GAME_KEYS, "home_coach", "away_coach"], "coach_map: feed")
-    games = played(schedules).select(
-        "game_id", F.col("season").cast("int").alias("season"),
-        F.col("week").cast("int").alias("week"), "game_type", "home_team", "away_team")
-    src = feed.select("game_id", F.col("season").cast("int").alias("season"),
-                      F.col("week").cast("int").alias("week"), "game_type",
-                      "home_coach", "away_coach")
+    def keyed(df: DataFrame, feed_side: bool, columns: list[str]) -> DataFrame:
+        """One side, tagged; the other side's columns are NULL."""
+        return df.select("game_id", F.col("season").cast("int").alias("season"), F.col("week").cast("int").alias("week"), "game_type",
+                         F.lit(feed_side).alias("_feed"), *[(F.col(c) if c in columns else F.lit(None)).cast("string").alias(c) for c in SIDES])
+
+    # Both sides meet in one aggregate on the keys (one exchange), which also counts each side's rows of a key.
+    both = keyed(played(schedules), False, SIDES[:2]).union(keyed(feed, True, SIDES[2:]))
+    n = {"schedule": F.count_if(~F.col("_feed")), "feed": F.count_if(F.col("_feed"))}
+    m = both.groupBy(*GAME_KEYS).agg(*[F.max(c).alias(c) for c in SIDES], n["schedule"].alias("_n_schedule"), n["feed"].alias("_n_feed"))
+    # A left join: games without a feed row have no coaches, and a NULL in a key matches nothing.
+    keep = F.col("_n_schedule") > 0
+    for k in GAME_KEYS:
+        keep = keep & F.col(k).isNotNull()
     if validate:
-        games = assert_unique(games, GAME_KEYS, "coach_map: schedule keys")
-        src = assert_unique(src, GAME_KEYS, "coach_map: feed keys")
-    m = games.join(src, GAME_KEYS, "left")
+        # One expression with the filter, so that nothing is filtered before it is checked.
+        shown = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in GAME_KEYS])
+        refuse = {side: F.raise_error(F.concat(F.lit(f"coach_map: {side} keys: duplicate key "), shown)) for side in n}
+        keep = F.when(F.col("_n_schedule") > 1, refuse["schedule"]).when(F.col("_n_feed") > 1, refuse["feed"]).otherwise(keep)
+    m = m.where(keep)
     home = F.struct(F.lit(0).alias("side"), F.col("home_team").alias("team"),
                     F.col("home_coach").alias("head_coach"))
     away = F.struct(F.lit(1).alias("side"), F.col("away_team").alias("team"),

@@ -5,13 +5,22 @@ however many columns there are (the source ran three or four queries per
 column):
 
 1. one wide aggregate: non-NULL count, min, max and exact average of every
-   column, unpivoted to one row per column;
-2. one long form ``(column, value)`` of the non-NULL values, de-duplicated
-   with a grouped aggregate (map-side partial aggregation first), from which
-   the distinct count and the five smallest values per column are taken.
-   The five smallest use ``row_number() <= 5``, which Catalyst turns into a
-   per-task ``WindowGroupLimit`` before the shuffle, so no task ever holds
-   all values of a column.
+   column, unpivoted to one row per column; for columns of numbers also a
+   bitmap of the whole values from 0 to 32767 (4 kB a column and task), from
+   which their distinct count and smallest values follow: no such value is
+   ever exchanged;
+2. one long form ``(column, value)`` of the other non-NULL values (texts, and
+   numbers that no bitmap holds), de-duplicated with a grouped aggregate
+   (map-side partial aggregation first), from which the distinct count and the
+   five smallest values per column are taken.  The five smallest use
+   ``row_number() <= 5``, which Catalyst turns into a per-task
+   ``WindowGroupLimit`` before the shuffle, so no task ever holds all values
+   of a column.
+
+``slice_profiles`` profiles each slice of a table (its seasons, say) by
+mergeable measures, ``merge_profiles`` unites any number of slices: counts and
+sums add up, distinct counts are HyperLogLog sketches.  Kept as a table, a
+refreshed slice is profiled anew by itself (``plans.pipelines.refresh_profiles``).
 
 ``exact=False`` switches distinct counts to HyperLogLog
 (``approx_count_distinct``) inside the wide aggregate; the examples stay
@@ -22,16 +31,22 @@ shuffles all distinct values.  For very wide or very large tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sideline.functions.exprs import ratio, round_avg
+from sideline.functions.exprs import ratio, round_avg, to_decimal
 from sideline.functions.joins import bounded
 from sideline.operators.games import played
 
 SAMPLE_VALUES = 5
 SAMPLE_CHARS = 60
+# Values of a bitmap (Spark's own size), and the sketches' size (2**12 registers: estimates within a few percent).
+BITMAP_VALUES = 32_768
+SKETCH_BITS = 12
+_SMALLEST = "array<struct<k:double,v:string>>"
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
 
@@ -56,6 +71,7 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     for f in fields:
         c = F.col(f.name)
         num = _is_numeric(f.dataType)
+        mapped = exact and num
         nothing = F.lit(None).cast("double")
         no_date = F.lit(None).cast("date")
         temporal = _is_temporal(f.dataType)
@@ -67,15 +83,21 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
             (F.min(c).cast("date") if temporal else no_date).alias("min_date"),
             (F.max(c).cast("date") if temporal else no_date).alias("max_date"),
             (F.approx_count_distinct(c) if not exact else F.lit(None).cast("bigint")).alias("approx"),
+            (F.bitmap_construct_agg(F.when(_in_bitmap(c), c.cast("bigint"))) if mapped else F.lit(None).cast("binary")).alias("bits"),
         ).alias(f.name))
     wide = df.agg(total.alias("_total"), *stats)
     per_col = (wide.unpivot(["_total"], [f.name for f in fields], "column_name", "s")
                .select("column_name", "_total", "s.*"))
 
+    def rest(f) -> Column:
+        """The value, NULL where the column's bitmap has it."""
+        c = F.col(f.name)
+        return F.when(~F.coalesce(_in_bitmap(c), F.lit(False)), c) if exact and _is_numeric(f.dataType) else c
+
     values = df.select(F.explode(F.array(*[
         F.struct(F.lit(f.name).alias("column_name"),
-                 F.col(f.name).cast("string").alias("v"),
-                 (F.col(f.name).cast("double") if _is_numeric(f.dataType)
+                 rest(f).cast("string").alias("v"),
+                 (rest(f).cast("double") if _is_numeric(f.dataType)
                   else F.lit(None).cast("double")).alias("k"))
         for f in fields])).alias("x")).select("x.*").where(F.col("v").isNotNull())
     first = Window.partitionBy("column_name").orderBy(F.col("k").asc_nulls_first(), F.col("v").asc())
@@ -94,18 +116,26 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     samples = (pool.withColumn("rn", F.row_number().over(first))
                .where(F.col("rn") <= SAMPLE_VALUES)
                .groupBy("column_name")
-               .agg(F.array_join(F.transform(
-                   F.array_sort(F.collect_list(F.struct("rn", F.substring("v", 1, SAMPLE_CHARS).alias("v")))),
-                   lambda s: s["v"]), ", ").alias("examples")))
+               .agg(F.collect_list(F.struct("k", "v")).alias("smallest")))
     out = per_col.join(bounded(samples), "column_name", "left")
+    if exact:
+        out = out.withColumn("mapped", _smallest_bits(F.col("bits")))
     if exact:
         counts = distinct_vals.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
         out = out.join(bounded(counts), "column_name", "left")
-        distinct = F.coalesce(F.col("distinct_count"), F.lit(0))
+        distinct = F.coalesce(F.col("distinct_count"), F.lit(0)) + F.coalesce(F.bitmap_count("bits"), F.lit(0))
     else:
         distinct = F.col("approx")
     types = {f.name: f.dataType.simpleString() for f in fields}
     type_col = F.create_map(*[x for name, t in types.items() for x in (F.lit(name), F.lit(t))])
+    smallest = F.coalesce("smallest", F.array().cast(_SMALLEST))
+    if exact:
+        # Bits are whole numbers of the column's type, and written like its values.
+        for f in fields:
+            if _is_numeric(f.dataType):
+                written_as = lambda t: lambda b: F.struct(b.cast("double").alias("k"), b.cast(t).cast("string").alias("v"))
+                mine = F.transform("mapped", written_as(f.dataType.simpleString()))
+                smallest = F.when(F.col("column_name") == f.name, F.concat(F.coalesce("smallest", F.array().cast(_SMALLEST)), F.coalesce(mine, F.array().cast(_SMALLEST)))).otherwise(smallest)
     nulls = F.col("_total") - F.col("non_null")
     return out.select(
         "column_name",
@@ -115,10 +145,82 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
         ratio(nulls * 100, F.col("_total"), 2).alias("null_pct"),
         distinct.cast("bigint").alias("distinct_count"),
         "min", "max", "avg", "min_date", "max_date",
-        F.coalesce(F.col("examples"), F.lit("")).alias("examples"),
+        _examples(smallest).alias("examples"),
     )
 
 
+def _in_bitmap(c: Column) -> Column:
+    """Whether a number is a whole one that a bitmap has a place for."""
+    return (c >= 0) & (c < BITMAP_VALUES) & (c == F.floor(c))
+
+
+def _smallest_bits(bits: Column) -> Column:
+    """The smallest places set in a bitmap, ``SAMPLE_VALUES`` of them, ascending."""
+    byte = lambda i: F.conv(F.hex(F.substr(bits, i, F.lit(1))), 16, 10).cast("int")
+    used = F.slice(F.filter(F.sequence(F.lit(1), F.lit(BITMAP_VALUES // 8)), lambda i: byte(i) != 0), 1, SAMPLE_VALUES)
+    places = F.flatten(F.transform(used, lambda i: F.filter(
+        F.transform(F.sequence(F.lit(0), F.lit(7)), lambda b: F.when(F.getbit(byte(i), b) == 1, (i - 1) * 8 + b)), lambda p: p.isNotNull())))
+    return F.slice(places, 1, SAMPLE_VALUES)
+
+
+def _examples(smallest: Column | str) -> Column:
+    """The smallest different values of (number, text) pairs as one text; pairs without a number come first."""
+    smallest = F.col(smallest) if isinstance(smallest, str) else smallest
+    first = F.slice(F.array_sort(F.array_distinct(smallest)), 1, SAMPLE_VALUES)
+    return F.array_join(F.transform(first, lambda s: F.substring(s["v"], 1, SAMPLE_CHARS)), ", ")
+
+
+# ---- profiles of slices, and their union -------------------------------------------
+def slice_profiles(df: DataFrame, by: Sequence[str] = ("season",)) -> DataFrame:
+    """One row per slice and column: ``by``, column_name, type, total_rows, non_null, min, max, total, sketch, smallest.
+
+    ``sketch`` is a HyperLogLog sketch of the values' texts; ``smallest`` holds
+    the slice's five smallest different values, taken from each task's five.
+    One aggregate by slice (partial before the exchange), one limited window.
+    The columns in ``by`` are profiled from the slices' keys when they are united.
+    """
+    fields = [f for f in df.schema.fields if f.name not in by]
+    stats = []
+    for f in fields:
+        c, num = F.col(f.name), _is_numeric(f.dataType)
+        nothing = F.lit(None).cast("double")
+        stats.append(F.struct(
+            F.lit(f.dataType.simpleString()).alias("type"),
+            F.count(c).alias("non_null"),
+            (F.min(c).cast("double") if num else nothing).alias("min"),
+            (F.max(c).cast("double") if num else nothing).alias("max"),
+            (to_decimal(F.sum(c.cast("decimal(38,0)") if isinstance(f.dataType, _WHOLE) else c)) if num else F.lit(None).cast("decimal(38,12)")).alias("total"),
+            F.hll_sketch_agg(F.concat(F.lit("="), c.cast("string")), F.lit(SKETCH_BITS)).alias("sketch"),  # sketches skip empty texts
+        ).alias(f.name))
+    wide = df.groupBy(*by).agg(F.count(F.lit(1)).alias("total_rows"), *stats)
+    names = [f.name for f in fields]
+    stats_rows = wide.unpivot([*by, "total_rows"], names, "column_name", "s").select(*by, "column_name", "total_rows", "s.*")
+    values = df.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).cast("string").alias("v"),
+                 (F.col(f.name).cast("double") if _is_numeric(f.dataType) else F.lit(None).cast("double")).alias("k"))
+        for f in fields])).alias("x")).select(*by, "x.*").where(F.col("v").isNotNull())
+    order = (F.col("k").asc_nulls_first(), F.col("v").asc())
+    per_task = Window.partitionBy(*by, "column_name", "_task").orderBy(*order)
+    few = (values.withColumn("_task", F.spark_partition_id()).withColumn("rn", F.dense_rank().over(per_task))
+           .where(F.col("rn") <= SAMPLE_VALUES).groupBy(*by, "column_name").agg(F.collect_set(F.struct("k", "v")).alias("smallest")))
+    few = few.withColumn("smallest", F.slice(F.array_sort("smallest"), 1, SAMPLE_VALUES))
+    same = [stats_rows[c].eqNullSafe(few[c]) for c in [*by, "column_name"]]
+    return stats_rows.join(few, same, "left").select(*[stats_rows[c] for c in stats_rows.columns], "smallest")
+
+
+def merge_profiles(slices: DataFrame) -> DataFrame:
+    """The profile of all slices together; ``distinct_count`` is an estimate of their united sketches."""
+    united = slices.groupBy("column_name", "type").agg(
+        F.sum("total_rows").alias("_total"), F.sum("non_null").alias("non_null"), F.min("min").alias("min"), F.max("max").alias("max"),
+        F.sum("total").alias("total"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_count"),
+        F.flatten(F.collect_list("smallest")).alias("smallest"))
+    nulls = F.col("_total") - F.col("non_null")
+    return united.select(
+        "column_name", "type", "non_null", nulls.alias("nulls"), ratio(nulls * 100, F.col("_total"), 2).alias("null_pct"), "distinct_count", "min", "max",
+        F.when(F.col("min").isNotNull(), ratio(F.col("total"), F.col("non_null"), 3)).alias("avg"),
+        _examples("smallest").alias("examples"))
+
+
 def season_range(df: DataFrame) -> DataFrame:
     """Earliest and latest season (one row)."""
     return df.agg(F.min(F.col("season").cast("int")).alias("min_season"),

@@ -8,11 +8,17 @@ closes every ordering, so ties cannot make the result depend on the plan.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sideline.operators.games import in_latest_season, played
+from sideline.operators.games import in_latest_season, played, vs500_leaderboard
+from sideline.operators.players import player_games
 from sideline.plans.marts import Marts
+from sideline.session import ensure_checkpoint_dir
+from sideline.sources.io import in_slices
 
 
 def top(df: DataFrame, order: list[Column], k: int, columns: list[str],
@@ -151,8 +157,30 @@ def scored_sample(schedules: DataFrame, k: int = 10, start: int | None = None,
                 "home_score", "away_score"])
 
 
+def newest_first(weekly: DataFrame, enough) -> DataFrame:
+    """The rows of the newest (season, week) partitions, as many of them as ``enough(rows)`` asks for.
+
+    The partitions are known without reading a column; each try doubles how
+    many of them are taken, as a literal filter on the partition columns, so
+    older files are never opened.
+    """
+    weeks = weekly.select("season", "week").where("season is not null and week is not null").distinct()
+    newest = [(r["season"], r["week"]) for r in weeks.orderBy(F.desc("season"), F.desc("week")).collect()]
+    take = 1
+    while take < len(newest):
+        some = weekly.where(in_slices(newest[:take]))
+        if enough(some):
+            return some
+        take *= 2
+    return weekly
+
+
 def player_games_latest(m: Marts, k: int = 20) -> DataFrame:
-    return top(m.player_games, [d("season"), d("week"), a("player_id")], k,
+    def games(weekly: DataFrame) -> DataFrame:
+        return player_games(weekly, m.team_games_enriched)
+
+    weekly = newest_first(m.weekly, lambda some: games(some).limit(k).count() >= k)
+    return top(games(weekly), [d("season"), d("week"), a("player_id")], k,
                ["player_id", "season", "week", "team", "player_name", "position_group",
                 "rushing_attempts", "rushing_yards", "targets", "receptions", "receiving_yards",
                 "completions", "attempts", "passing_yards", "passing_tds", "interceptions",
@@ -160,11 +188,41 @@ def player_games_latest(m: Marts, k: int = 20) -> DataFrame:
 
 
 # ---- whole ordered outputs ----------------------------------------------------
+def numbered(df: DataFrame, *order: Column) -> DataFrame:
+    """The whole frame sorted, with ``position`` from 1, for any number of rows.
+
+    Rows are range-partitioned and sorted in their partitions, numbered there
+    and written once; the partitions' counts (one row each) give each its
+    offset.  No task sees more than its range.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/numbered-{uuid.uuid4().hex}"
+    # The high bits of the id are the partition, the low ones the place in it.
+    df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_row", T.LongType())])).parquet(path).withColumn("_range", F.shiftright("_row", 33))
+    offsets, before = [], 0
+    for r in sorted(rows.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()):
+        offsets.append((r["_range"], before))
+        before += r["n"]
+    known = spark.createDataFrame(offsets, "_range long, _before long")
+    place = F.col("_before") + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return rows.join(F.broadcast(known), "_range").select(*df.columns, place.alias("position")).orderBy("position")
+
+
+def vs500_in_order(m: Marts, min_games: int) -> DataFrame:
+    """Teams by their win rate against opponents at .500 or above."""
+    return numbered(vs500_leaderboard(m.schedules, min_games), d("win_pct_vs_500_pct"), d("games_vs_500"), a("team"))
+
+
+def teams_last_season_in_order(m: Marts) -> DataFrame:
+    return numbered(m.team_last_season_wide, d("win_pct"), d("wins"), a("team"))
+
+
 def in_order(df: DataFrame, *order: Column) -> DataFrame:
     """The whole frame sorted, with ``position`` from 1.
 
-    A total order is one task's work, so this is for reports whose rows are
-    bounded by teams or seasons; ``head_and_tail`` is for any size.
+    One task numbers the rows, so this is for reports whose rows are bounded by
+    teams or seasons; ``numbered`` is for any size.
     """
     position = F.row_number().over(Window.orderBy(*order))
     return df.withColumn("position", position).orderBy("position")

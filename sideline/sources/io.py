@@ -4,16 +4,26 @@ Readers are lazy; season and week filters are plain predicates that Catalyst
 turns into partition pruning (for data written ``partitionBy('season')``)
 or parquet row-group pushdown.  Writers never read and overwrite the same
 path in one job: a refresh writes its result to a new path.
+
+Writers that are given keys refuse a repeated or NULL key (and NULL in a NOT
+NULL column) in the same pass as the write: a partitioned table is replaced by
+dynamic partition overwrite, which shows nothing of a job that fails, a table
+without partitions is staged first.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sideline.operators.maintain import enforce
+from sideline.session import ensure_checkpoint_dir
+
 DIVISION_SCHEMA = T.StructType([
     T.StructField("season", T.IntegerType()),
     T.StructField("team", T.StringType()),
@@ -121,34 +131,142 @@ def in_slices(slices: Iterable[tuple[int, int]]):
     return cond
 
 
+def drop_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], values: Iterable[tuple]) -> None:
+    """Remove the named partitions of a table (at most the calendar's)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for value in values:
+        part = jvm.org.apache.hadoop.fs.Path(root, "/".join(f"{c}={v}" for c, v in zip(partition_by, value, strict=True)))
+        if fs.exists(part):
+            fs.delete(part, True)
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> set[tuple]:
+    """Rewrite the partitions that ``df`` has rows for; returns them, observed while they are written."""
+    seen = Observation()
+    (df.observe(seen, F.collect_set(F.struct(*partition_by)).alias("present")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    return {tuple(r) for r in seen.get["present"] or ()}
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
+    """A function that writes a frame to the shared checkpoint folder once and reads it back; all of it is removed at the end."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staging-{uuid.uuid4().hex}"
+
+    def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        write_table(df, f"{root}/{name}", "errorifexists", partition_by)
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}").select(*[F.col(f"`{c}`") for c in df.columns])
+
+    try:
+        yield stage
+    finally:
+        jvm = spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), keys: Sequence[str] = (), not_null: Sequence[str] = ()) -> str:
+    """Replace a table by ``df``; where it is refused, the table stays as it was.
+
+    A partitioned table is rewritten partition by partition when the job
+    commits, then the partitions that got no new rows go.  The frame is
+    evaluated once.
+    """
+    spark = df.sparkSession
+    checked = enforce(df, keys, not_null, path.rstrip("/").rsplit("/", 1)[-1])
+    layout = partition_layout(spark, path)
+    if layout is None:
+        return write_table(checked, path, "overwrite", partition_by)
+    if not partition_by or layout != list(partition_by):
+        with staging(spark) as stage:
+            return write_table(stage(checked, "table"), path, "overwrite", partition_by)
+    had = {tuple(r) for r in spark.read.parquet(path).select(*partition_by).distinct().collect()}
+    present = overwrite_partitions(checked, path, partition_by)
+    drop_partitions(spark, path, partition_by, had - present)
+    return path
+
+
 def overwrite_slices(df: DataFrame, path: str, slices: Iterable[tuple[int, int]],
-                     partition_by: Sequence[str] = ("season", "week")) -> list[tuple[int, int]]:
+                     partition_by: Sequence[str] = ("season", "week"),
+                     keys: Sequence[str] = (), not_null: Sequence[str] = ()) -> list[tuple[int, int]]:
     """Replace the listed (season, week) partitions of a table with ``df``'s rows.
 
     Partitions ``df`` has rows for are rewritten by Spark's dynamic
     partition overwrite (only those partitions: O(slice), not O(table));
     listed partitions without new rows are deleted, so every listed week
-    ends up holding exactly the new rows.  Only the distinct slice keys of
-    ``df`` reach the driver (at most the listed slices).  Running it twice
-    with the same input gives the same table.  Returns the emptied slices.
+    ends up holding exactly the new rows.  ``df`` is evaluated once: rows
+    outside the list, and keys that repeat or are NULL, fail that job, and
+    the slices it wrote are observed on the way (at most the listed ones
+    reach the driver).  Running it twice with the same input gives the same
+    table.  Returns the emptied slices.
     """
     spark = df.sparkSession
     check_layout(spark, path, partition_by)
     listed = {(int(s), int(w)) for s, w in slices}
-    present = {(int(r[0]), int(r[1])) for r in df.select(*partition_by).distinct().collect()}
-    outside = present - listed
-    if outside:
-        raise ValueError(f"rows outside the listed slices: {sorted(outside)[:5]}")
-    if present:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by).parquet(path))
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    emptied = []
-    for season, week in sorted(listed - present):
-        part = jvm.org.apache.hadoop.fs.Path(root, f"{partition_by[0]}={season}/{partition_by[1]}={week}")
-        if fs.exists(part):
-            fs.delete(part, True)
-        emptied.append((season, week))
+    outside = "rows outside the listed slices: "
+    shown = F.concat_ws("-", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in partition_by])
+    guard = F.when(F.coalesce(in_slices(listed), F.lit(False)), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit(outside), shown)))
+    try:
+        present = overwrite_partitions(enforce(df, keys, not_null, path.rstrip("/").rsplit("/", 1)[-1]).where(guard), path, partition_by)
+    except Exception as refused:
+        if outside in str(refused):
+            raise ValueError(f"{outside}{str(refused).split(outside)[1].splitlines()[0][:60]}") from refused
+        raise
+    emptied = sorted(listed - {(int(s), int(w)) for s, w in present})
+    drop_partitions(spark, path, partition_by, emptied)
     return emptied
+
+
+def append_batch(df: DataFrame, path: str, batch: str, column: str = "batch") -> int:
+    """Append ``df`` as the batch named ``batch``; appending the batch again replaces it, so a re-run doubles nothing.
+
+    The batch is the table's partition (``column``), written by dynamic
+    partition overwrite.  A batch without rows writes nothing, and takes away
+    what an earlier run of it wrote.  Returns its rows, counted on the way.
+    """
+    spark = df.sparkSession
+    check_layout(spark, path, (column,))
+    seen = Observation()
+    (df.withColumn(column, F.lit(str(batch))).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
+    rows = seen.get["rows"] or 0
+    if not rows:
+        drop_partitions(spark, path, (column,), [(str(batch),)])
+    return rows
+
+
+def merge_into(incoming: DataFrame, path: str, schema: T.StructType, keys: Sequence[str], not_null: Sequence[str] = (),
+               partition_by: Sequence[str] = ("season",)) -> list[tuple]:
+    """Upsert ``incoming`` into the stored table, touching only the partitions it has rows for.
+
+    The batch is checked and staged in one pass; its partitions (bounded by
+    the calendar) become a literal filter on the table, so only those are
+    read, united with the batch, and rewritten when the job commits.  A row
+    with a stored key replaces it.  A batch that repeats a key, or holds NULL
+    in a key or NOT NULL column, is refused and the table stays as it was; so
+    does a merge that is run again.  Returns the partitions it touched.
+    """
+    spark = incoming.sparkSession
+    check_layout(spark, path, partition_by)
+    have = set(incoming.columns)
+    typed = incoming.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+    with staging(spark) as stage:
+        arriving = stage(enforce(typed, keys, not_null, path.rstrip("/").rsplit("/", 1)[-1]), "arriving")
+        touched = sorted(tuple(r) for r in arriving.select(*partition_by).distinct().collect())
+        if not touched:
+            return []
+        merged = arriving
+        if partition_layout(spark, path) is not None:
+            here = F.lit(False)
+            for value in touched:
+                one = F.lit(True)
+                for c, v in zip(partition_by, value, strict=True):
+                    one = one & (F.col(c) == F.lit(v))
+                here = here | one
+            stored = spark.read.schema(schema).parquet(path).where(here)
+            stay = stored.join(arriving.select(*keys), list(keys), "left_anti").select(*schema.fieldNames())
+            merged = stage(stay.union(arriving), "merged")
+        overwrite_partitions(merged, path, partition_by)
+    return touched

@@ -18,7 +18,6 @@ effectively exactly once.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,9 +26,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sideline.operators.align import conform, harmonize
+from sideline.operators.maintain import enforce
 from sideline.schemas import HIST_WEEKLY, SLICE_LAYOUT, WEEKLY_KEYS
-from sideline.session import ensure_checkpoint_dir
-from sideline.sources.io import check_layout, in_slices, overwrite_slices, write_table
+from sideline.sources.io import check_layout, in_slices, overwrite_slices, staging, write_table
 
 
 def init_table(df: DataFrame, table_dir: str) -> str:
@@ -42,14 +41,6 @@ def read_table(spark: SparkSession, table_dir: str, schema: T.StructType = HIST_
     return spark.read.schema(schema).parquet(table_dir).select(*schema.fieldNames())
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: evaluated once, and safe to overwrite what it came from."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def refresh_batch(batch: DataFrame, table_dir: str, rejects_dir: str | None = None, epoch_id: int = 0,
                   game_type: str = "REG", keys: Sequence[str] = WEEKLY_KEYS) -> list:
     """Align one batch of feed rows to the stored table and merge it, by ``keys``, into the slices it touches.
@@ -57,22 +48,25 @@ def refresh_batch(batch: DataFrame, table_dir: str, rejects_dir: str | None = No
     Rows whose season or week did not parse cannot be placed, and rows of
     another season type (or none) are not taken; with ``rejects_dir`` both are
     written to ``rejects_dir/epoch=<id>`` (overwritten on replay) instead of
-    being dropped silently.  Returns the touched slices, at most the calendar.
+    being dropped silently.  A batch whose rows repeat a key, or lack a part of
+    it, fails while it is staged: nothing of it becomes visible.  Returns the
+    touched slices, at most the calendar.
     """
     spark = batch.sparkSession
     check_layout(spark, table_dir, SLICE_LAYOUT)
     stored = spark.read.parquet(table_dir)
-    incoming = _written(conform(harmonize(batch, stored.columns), stored.schema), "refresh-batch")
     taken = F.col("season").isNotNull() & F.col("week").isNotNull() & F.col("season_type").eqNullSafe(game_type)
-    good = incoming.where(taken)
-    slices = [(r[0], r[1]) for r in good.select(*SLICE_LAYOUT).distinct().collect()]
-    if slices:
-        arriving = good.select(*[F.col(k).alias(f"_{k}") for k in keys])
-        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-        stay = stored.where(in_slices(slices)).join(arriving, same, "left_anti")
-        overwrite_slices(_written(stay.unionByName(good), "refresh-merged"), table_dir, slices, SLICE_LAYOUT)
-    if rejects_dir is not None:
-        write_table(incoming.where(~taken), f"{rejects_dir.rstrip('/')}/epoch={epoch_id}", "overwrite")
+    with staging(spark) as stage:
+        incoming = stage(conform(harmonize(batch, stored.columns), stored.schema), "incoming")
+        good = stage(enforce(incoming.where(taken), keys, what="weekly batch"), "good")
+        slices = [(r[0], r[1]) for r in good.select(*SLICE_LAYOUT).distinct().collect()]
+        if slices:
+            arriving = good.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+            stay = stored.where(in_slices(slices)).join(arriving, same, "left_anti")
+            overwrite_slices(stage(stay.unionByName(good), "merged"), table_dir, slices, SLICE_LAYOUT)
+        if rejects_dir is not None:
+            write_table(incoming.where(~taken), f"{rejects_dir.rstrip('/')}/epoch={epoch_id}", "overwrite")
     return slices
 
 
