@@ -64,18 +64,14 @@ def pick(df: DataFrame, options: Sequence[str], cast: str | None = None,
     return expr.cast(cast)
 
 
-def player_games(weekly: DataFrame, enriched: DataFrame) -> DataFrame:
-    """One row per player per team game: typed measures plus game flags.
-
-    The inner join on (season, week, team) drops weekly rows whose team code
-    has no game that week (bye weeks, code mismatches).
-    """
+def player_lines(weekly: DataFrame) -> DataFrame:
+    """Weekly rows with typed keys and measures, whatever the feed calls them; one projection."""
     cols = weekly.columns
     measures = {name: pick(weekly, opts, cast).alias(name)
                 for name, (opts, cast) in MEASURE_SOURCES.items()}
     position = F.col("position") if "position" in cols else F.lit(None).cast("string")
     group = F.coalesce(F.col("position_group"), position) if "position_group" in cols else position
-    hw = weekly.select(
+    return weekly.select(
         F.col("player_id").cast("string").alias("player_id"),
         name_or_display().cast("string").alias("player_name"),
         position.cast("string").alias("position"),
@@ -86,6 +82,15 @@ def player_games(weekly: DataFrame, enriched: DataFrame) -> DataFrame:
         F.col("week").cast("int").alias("week"),
         *measures.values(),
     )
+
+
+def player_games(weekly: DataFrame, enriched: DataFrame) -> DataFrame:
+    """One row per player per team game: typed measures plus game flags.
+
+    The inner join on (season, week, team) drops weekly rows whose team code
+    has no game that week (bye weeks, code mismatches).
+    """
+    hw = player_lines(weekly)
     g = enriched.select("season", "week", "team", "game_id", "game_type",
                         "is_home", "is_playoff", "is_primetime")
     j = hw.join(bounded(g), ["season", "week", "team"])

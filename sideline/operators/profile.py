@@ -83,7 +83,7 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
             (F.min(c).cast("date") if temporal else no_date).alias("min_date"),
             (F.max(c).cast("date") if temporal else no_date).alias("max_date"),
             (F.approx_count_distinct(c) if not exact else F.lit(None).cast("bigint")).alias("approx"),
-            (F.bitmap_construct_agg(F.when(_in_bitmap(c), c.cast("bigint"))) if mapped else F.lit(None).cast("binary")).alias("bits"),
+            (F.bitmap_construct_agg(F.when(_in_bitmap(c), c.cast("bigint"))) if mapped else F.lit(bytearray())).alias("bits"),
         ).alias(f.name))
     wide = df.agg(total.alias("_total"), *stats)
     per_col = (wide.unpivot(["_total"], [f.name for f in fields], "column_name", "s")

@@ -92,10 +92,28 @@ def def_rank_by_pos(player_games: DataFrame) -> DataFrame:
     A game where a position gained nothing counts as 0 in the average.
     """
     reg = player_games.where(F.col("game_type") == "REG")
-    per_game = reg.groupBy("season", "game_id", F.col("opp_team").alias("team")).agg(*[
-        F.sum(F.when(F.col("position_group") == pos, F.col(DEFENCE_YARDS[pos]))
-              .otherwise(F.lit(0.0))).alias(pos)
-        for pos in RANK_POSITIONS])
+    return _ranked(reg.groupBy("season", "game_id", F.col("opp_team").alias("team")).agg(*_position_yards()))
+
+
+def weekly_def_ranks(lines: DataFrame, enriched: DataFrame) -> DataFrame:
+    """``def_rank_by_pos`` from the weekly lines themselves.
+
+    The lines are summed by week and the two teams before they meet their
+    games, so the join and what follows see a few rows a game, not a row a
+    player.
+    """
+    sums = lines.groupBy("season", "week", "team", "opp_team").agg(*_position_yards())
+    games = enriched.where(F.col("game_type") == "REG").select("season", "week", "team", "game_id")
+    met = sums.join(bounded(games), ["season", "week", "team"])
+    return _ranked(met.groupBy("season", "game_id", F.col("opp_team").alias("team")).agg(*[F.sum(p).alias(p) for p in RANK_POSITIONS]))
+
+
+def _position_yards() -> list:
+    """Yards by position, 0 for rows of other positions."""
+    return [F.sum(F.when(F.col("position_group") == pos, F.col(DEFENCE_YARDS[pos])).otherwise(F.lit(0.0))).alias(pos) for pos in RANK_POSITIONS]
+
+
+def _ranked(per_game: DataFrame) -> DataFrame:
     per_team = per_game.groupBy("season", "team").agg(*[F.avg(p).alias(p) for p in RANK_POSITIONS])
     long = per_team.unpivot(["season", "team"], list(RANK_POSITIONS), "position_group", "yards_per_game")
     w = Window.partitionBy("season", "position_group").orderBy(F.col("yards_per_game").asc())

@@ -157,7 +157,7 @@ class Marts:
 
     @cached_property
     def def_rank_by_pos(self) -> DataFrame:
-        return R.def_rank_by_pos(self.player_games)
+        return R.weekly_def_ranks(PL.player_lines(self.weekly), self.team_games_enriched)
 
     @cached_property
     def player_games_keys(self) -> DataFrame:
