@@ -58,6 +58,8 @@ BASE = 1.02
 #: A pair is given up if its best likelihood beats that at the threshold by e to this power.
 GIVE_UP = 13.0
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+#: Keys that the rows of one component are dealt over.
+SALTS = 64
 
 
 def band_shape(percent: int) -> tuple[int, int]:
@@ -312,7 +314,10 @@ def shingle_classes(docs: DataFrame, shingle: int, percent: int) -> tuple[DataFr
                   .agg(F.min(F.struct((F.col("own") / F.col("n")).alias("alone"), (-F.col("n")).alias("size"), "rep")).alias("c"))
                   .select(F.col("comp").alias("main"), F.col("c.rep").alias("mid")))
         main = alive.groupBy("k").agg(F.coalesce(F.max(F.when(F.col("comp") == F.col("main"), F.col("comp"))), F.min("comp")).alias("main"))
-        met = staged(alive.select("k", "rep", "comp").join(main, "k").join(middle, "main"), "met")
+        # A component may hold most rows: each is dealt over SALTS keys, and its one middle is there for all of them.
+        middles = middle.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = alive.select("k", "rep", "comp").join(main, "k").withColumn("salt", F.pmod(F.xxhash64("k", "rep"), F.lit(SALTS)).cast("int"))
+        met = staged(met.join(middles, ["main", "salt"]).drop("salt"), "met")
         all_links = all_links.union(links(met.where("comp <> main").select(F.col("mid").alias("a"), F.col("rep").alias("b"))))
         rest = apart(met.select("k", "rep", F.col("mid").alias("hub")), all_links)
         if rest.limit(1).count():

@@ -5,9 +5,10 @@ end-of-document id behind each document: no index, no lengths.  Files are
 taken in blocks of ids that know nothing of documents.  In each block the
 separators are found by one vectorised comparison; a document that runs over
 blocks is stitched together by a prefix scan over the blocks' summaries (ids
-so far, documents so far, place of the last separator), which is a window
-over (file, block).  Blocks themselves are never shuffled: only their
-summaries and separator places are.
+so far, documents so far, place of the last separator), in two levels: within
+spans of blocks, and over the spans of a file.  So one file may be as large as
+it likes.  Blocks themselves are never shuffled: their summaries are, and the
+separator places of a block once, to meet what was before it.
 
 Defined results: a null text is empty and has no tokens; two separators in a
 row are an empty document; ids behind the last separator are an unfinished
@@ -31,8 +32,8 @@ from sideline.llm.tokens import encoder
 
 #: The end-of-document id of the default vocabulary.
 SEPARATOR = 50_256
-#: Ids in one block.
-BLOCK_IDS = 1 << 18
+#: Ids in one block, blocks in one span of the prefix scan.
+BLOCK_IDS, SPAN_BLOCKS = 1 << 18, 1024
 
 
 def _blocks(width: int, block_ids: int):
@@ -120,15 +121,39 @@ def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield table_batch(schema, [batch.column("file").take(pa.array(row)), pa.array(nth), pa.array(before + 1), pa.array(at - before - 1)])
 
 
-def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, width: int = 2) -> DataFrame:
+def _prefixes(summaries: DataFrame, span: int) -> DataFrame:
+    """(file, block, base, docs, before): ids, documents and the place of the last separator before each block.
+
+    Two levels: blocks are scanned within spans of ``span`` blocks, the spans'
+    sums within files, and both are added up.  A task holds one span's blocks,
+    or one row a span, however large a file is.
+    """
+    def before(keys: list[str], order: str) -> Window:
+        return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    zero, none = F.lit(0), F.lit(-1)
+    inner = before(["file", "span"], "block")
+    blocks = summaries.withColumn("span", F.floor(F.col("block") / span))
+    blocks = blocks.withColumns({"base": F.coalesce(F.sum("n").over(inner), zero), "docs": F.coalesce(F.sum("found").over(inner), zero)})
+    blocks = blocks.withColumn("before", F.max(F.col("base") + F.col("last")).over(inner))
+    spans = blocks.groupBy("file", "span").agg(F.sum("n").alias("n"), F.sum("found").alias("found"), F.max(F.col("base") + F.col("last")).alias("last"))
+    outer = before(["file"], "span")
+    spans = spans.withColumns({"s_base": F.coalesce(F.sum("n").over(outer), zero), "s_docs": F.coalesce(F.sum("found").over(outer), zero)})
+    spans = spans.withColumn("s_before", F.max(F.col("s_base") + F.col("last")).over(outer)).select("file", "span", "s_base", "s_docs", "s_before")
+    return blocks.join(spans, ["file", "span"]).select(
+        "file", "block", "n", "found", "last", (F.col("s_base") + F.col("base")).alias("base"), (F.col("s_docs") + F.col("docs")).alias("docs"),
+        F.coalesce(F.col("s_base") + F.col("before"), "s_before", none).alias("before"))
+
+
+def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, width: int = 2, span: int = SPAN_BLOCKS) -> DataFrame:
     """(file, nth, start, n_tokens) of each document in the files, without its separator."""
     found = staged(blocks.mapInArrow(_scan(separator, width), "file string, block long, n long, found long, last long, places binary"), "separators")
-    so_far = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    based = found.withColumn("base", F.coalesce(F.sum("n").over(so_far), F.lit(0)))
-    scanned = based.select("file", "places", "n", "base", F.coalesce(F.sum("found").over(so_far), F.lit(0)).alias("docs"),
-                           F.coalesce(F.max(F.col("base") + F.col("last")).over(so_far), F.lit(-1)).alias("before"))
-    whole = scanned.select("file", "places", "base", "docs", "before").mapInArrow(_lengths, "file string, nth long, start long, n_tokens long")
-    ends = based.groupBy("file").agg(F.sum("n").alias("n"), F.sum("found").alias("nth"), F.coalesce(F.max(F.col("base") + F.col("last")), F.lit(-1)).alias("last"))
+    scanned = staged(_prefixes(found.drop("places"), span), "prefixes")
+    # The places wait where they are until the prefixes of their block are known.
+    places = found.where("found > 0").select("file", "block", "places")
+    whole = places.join(scanned.select("file", "block", "base", "docs", "before"), ["file", "block"]).select("file", "places", "base", "docs", "before").mapInArrow(
+        _lengths, "file string, nth long, start long, n_tokens long")
+    ends = scanned.groupBy("file").agg(F.sum("n").alias("n"), F.sum("found").alias("nth"), F.coalesce(F.max(F.col("base") + F.col("last")), F.lit(-1)).alias("last"))
     rest = ends.where("n - 1 > last").select("file", "nth", (F.col("last") + 1).alias("start"), (F.col("n") - F.col("last") - 1).alias("n_tokens"))
     return whole.union(rest)
 

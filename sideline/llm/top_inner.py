@@ -2,10 +2,11 @@
 
 Candidates are range-partitioned by length, longest first (ties by id, so
 equal vectors spread), and cut into buckets of bounded size.  Queries are cut
-into blocks.  A first pass over the longest bucket gives each query a score
-that its k best must reach; then every block meets the buckets.  For each
-query and bucket, that score divided by the query's length and the bucket's
-largest length is a local threshold of the cosine:
+into blocks.  A first pass over the longest bucket gives each query a score,
+and an id for ties, that its k best must reach; then each block goes to those
+ranges of buckets whose longest vectors can reach it.  For each query and
+bucket, that score divided by the query's length and the bucket's largest
+length is a local threshold of the cosine:
 
 * above 1, the bucket is left out;
 * high, its vectors are pruned by coordinates: a partner above that cosine
@@ -36,11 +37,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sideline.llm.batches import table_batch
-from sideline.llm.common import staged
+from sideline.llm.common import staged, width
 from sideline.llm.vectors import EXACT, binaries, integer_products, matrix, rows_of
 
 #: Candidates in a bucket, queries in a block.
 BUCKET, QUERIES = 2048, 256
+#: Ranges of neighbouring buckets within one task's buckets, at most.
+RANGES = 4096
 #: Local cosine threshold from which coordinates prune better than length; coordinates looked at.
 COORDINATE_COSINE, FOCUS = 0.3, 4
 
@@ -126,7 +129,7 @@ def prune(q: np.ndarray, q_length: float, needed: float, v: np.ndarray, lengths:
 
 def _answer(dims: int, k: int, seeding: bool):
     schema = pa.schema([("block", pa.int64()), ("q", pa.int32()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())]
-                       if not seeding else [("block", pa.int64()), ("most", pa.float64()), ("ids", pa.binary()), ("lengths", pa.binary()), ("vs", pa.binary()), ("needed", pa.binary()), ("reach", pa.float64())])
+                       if not seeding else [("block", pa.int64()), ("most", pa.float64()), ("ids", pa.binary()), ("lengths", pa.binary()), ("vs", pa.binary()), ("needed", pa.binary()), ("needed_id", pa.binary()), ("reach", pa.float64())])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,19 +141,21 @@ def _answer(dims: int, k: int, seeding: bool):
                 if seeding:
                     scores = integer_products(qs, vs, dims).astype(np.float64)
                     scores[q_ids[:, None] == ids[None, :]] = -np.inf
-                    needed = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) >= k else np.full(len(qs), -np.inf)
+                    # The k-th best of the bucket, by score and then by id: what comes behind it is in no answer.
+                    at = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, k - 1] if len(ids) >= k else np.zeros(len(qs), np.int64)
+                    needed = scores[np.arange(len(qs)), at] if len(ids) >= k else np.full(len(qs), -np.inf)
                     needed = np.where(np.abs(needed) < EXACT, needed, -np.inf)
                     with np.errstate(divide="ignore", invalid="ignore"):
                         reach = np.where(needed > 0, needed / np.maximum(q_lengths, 1e-300), 0)
-                    yield table_batch(schema, [[row[c]] for c in ("block", "most", "ids", "lengths", "vs")] + [[needed.tobytes()], [float(reach.min())]])
+                    yield table_batch(schema, [[row[c]] for c in ("block", "most", "ids", "lengths", "vs")] + [[needed.tobytes()], [ids[at].tobytes()], [float(reach.min())]])
                     continue
-                needed = np.frombuffer(row["needed"])
+                needed, needed_id = np.frombuffer(row["needed"]), np.frombuffer(row["needed_id"], np.int64)
                 out: list[list[np.ndarray]] = [[], [], [], []]
                 for i in range(len(qs)):
                     keep = prune(qs[i], q_lengths[i], needed[i], vs, lengths)
                     keep = keep[ids[keep] != q_ids[i]]
                     scores = integer_products(qs[i: i + 1], vs[keep], dims)[0]
-                    on = scores >= needed[i]
+                    on = (scores > needed[i]) | ((scores == needed[i]) & (ids[keep] <= needed_id[i]))
                     keep, scores = keep[on], scores[on]
                     at = best(scores, ids[keep], k)
                     for column, value in zip(out, (np.full(len(at), i), np.full(len(at), q_ids[i]), ids[keep[at]], scores[at]), strict=True):
@@ -177,6 +182,8 @@ def top_inner(vectors: DataFrame, is_query, k: int = 20, scale: float = 64.0) ->
 def _one_length(rows: DataFrame, is_query, dims: int, k: int, scale: float) -> DataFrame:
     """``top_inner`` of vectors with ``dims`` components."""
     whole = staged(rows.mapInArrow(_scaled(dims, scale), "vec_id long, length double, v binary"), "vectors")
+    if whole.isEmpty():
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     order = (F.desc("length"), "vec_id")
     buckets = staged(whole.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks(BUCKET), _BLOCK), "buckets")
     queries = staged(whole.where(is_query).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks(QUERIES), _BLOCK), "queries")
@@ -184,13 +191,18 @@ def _one_length(rows: DataFrame, is_query, dims: int, k: int, scale: float) -> D
     # One bucket of bounded size: the longest vectors.
     first = renamed.orderBy(F.desc("b_most"), "bucket").limit(1).drop("bucket", "b_most").withColumn("one", F.lit(1))
     seeded = staged(queries.withColumn("one", F.lit(1)).join(F.broadcast(first), "one").mapInArrow(
-        _answer(dims, k, True), f"{_BLOCK}, needed binary, reach double"), "seeded")
-    # Blocks of queries meet buckets by an equi-join on a group of buckets.
-    groups = max(1, min(64, buckets.count()))
-    grouped = renamed.withColumn("g", F.pmod(F.xxhash64("bucket"), F.lit(groups)).cast("int"))
-    asked = seeded.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    met = asked.join(grouped, "g").where(F.col("b_most") * (1 + 1e-9) >= F.col("reach"))
-    found = met.select("block", "ids", "lengths", "vs", "needed", "b_ids", "b_lengths", "b_vs").mapInArrow(
+        _answer(dims, k, True), f"{_BLOCK}, needed binary, needed_id binary, reach double"), "seeded")
+    # Buckets next to each other in the order of length are a range; a block goes to the ranges that it can reach, at most RANGES.
+    parallel = width(rows.sparkSession)
+    size = max(1, -(-buckets.count() // RANGES))
+    ranged = renamed.withColumns({"range": F.shiftright("bucket", 32), "part": F.floor((F.col("bucket") % (1 << 32)) / size)})
+    tops = F.array(*[F.struct(F.lit(r["range"]).alias("range"), F.lit(r["part"]).alias("part"), F.lit(r["top"]).alias("top"))
+                     for r in ranged.groupBy("range", "part").agg(F.max("b_most").alias("top")).collect()])
+    reached = F.filter(tops, lambda t: t["top"] * (1 + 1e-9) >= F.col("reach"))
+    asked = seeded.withColumn("to", F.explode(reached)).withColumns({"range": F.col("to.range"), "part": F.col("to.part")}).drop("to")
+    met = (asked.repartition(parallel, "range", "part").join(ranged.repartition(parallel, "range", "part").hint("merge"), ["range", "part"])
+           .where(F.col("b_most") * (1 + 1e-9) >= F.col("reach")))
+    found = met.select("block", "ids", "lengths", "vs", "needed", "needed_id", "b_ids", "b_lengths", "b_vs").mapInArrow(
         _answer(dims, k, False), "block long, q int, query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("block", "q").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

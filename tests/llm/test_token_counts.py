@@ -10,8 +10,8 @@ from sideline.llm.tokens import default_vocabulary
 SCHEMA = "doc_id long, text string"
 
 
-@pytest.mark.parametrize("block_ids", [1, 3, 7, 1000])
-def test_flat_files(spark, tmp_path, block_ids):
+@pytest.mark.parametrize(("block_ids", "span"), [(1, 2), (1, 1024), (3, 1), (3, 3), (7, 2), (1000, 1024)])
+def test_flat_files(spark, tmp_path, block_ids, span):
     """Documents longer than many blocks, empty ones, an unfinished one, an empty file and half an id at the end."""
     end = 9
     files = {"a.bin": [[1, 2], [], [3] * 50, [4]], "b.bin": [[5] * 8], "c.bin": []}
@@ -21,7 +21,7 @@ def test_flat_files(spark, tmp_path, block_ids):
     (tmp_path / "d.bin").write_bytes(np.array([1, end, 2, 2], "<u2").tobytes() + b"\1")
     files["d.bin"] = [[1], [2, 2]]
     found = {}
-    for r in token_counts.count_tokens(token_counts.read_token_files(spark, str(tmp_path), 2, block_ids), end, 2).collect():
+    for r in token_counts.count_tokens(token_counts.read_token_files(spark, str(tmp_path), 2, block_ids), end, 2, span).collect():
         found.setdefault(r.file.rsplit("/", 1)[1], {})[r.nth] = r.n_tokens
     assert found == {n: {k: len(d) for k, d in enumerate(docs)} for n, docs in files.items() if docs}
 
