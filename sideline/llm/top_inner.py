@@ -2,7 +2,7 @@
 
 Candidates are range-partitioned by length, longest first (ties by id, so
 equal vectors spread), and cut into buckets of bounded size.  Queries are cut
-into blocks.  A first pass over the longest bucket gives each query a score,
+into blocks.  A first pass over the longest vectors gives each query a score,
 and an id for ties, that its k best must reach; then each block goes to those
 ranges of buckets whose longest vectors can reach it.  For each query and
 bucket, that score divided by the query's length and the bucket's largest
@@ -188,8 +188,9 @@ def _one_length(rows: DataFrame, is_query, dims: int, k: int, scale: float) -> D
     buckets = staged(whole.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks(BUCKET), _BLOCK), "buckets")
     queries = staged(whole.where(is_query).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks(QUERIES), _BLOCK), "queries")
     renamed = buckets.select(F.col("block").alias("bucket"), F.col("most").alias("b_most"), F.col("ids").alias("b_ids"), F.col("lengths").alias("b_lengths"), F.col("vs").alias("b_vs"))
-    # One bucket of bounded size: the longest vectors.
-    first = renamed.orderBy(F.desc("b_most"), "bucket").limit(1).drop("bucket", "b_most").withColumn("one", F.lit(1))
+    # The longest vectors, one bucket's worth however the others are cut: one task of bounded size.
+    longest = whole.orderBy(*order).limit(BUCKET).coalesce(1).sortWithinPartitions(*order).mapInArrow(_blocks(BUCKET), _BLOCK)
+    first = longest.select(F.col("ids").alias("b_ids"), F.col("lengths").alias("b_lengths"), F.col("vs").alias("b_vs"), F.lit(1).alias("one"))
     seeded = staged(queries.withColumn("one", F.lit(1)).join(F.broadcast(first), "one").mapInArrow(
         _answer(dims, k, True), f"{_BLOCK}, needed binary, needed_id binary, reach double"), "seeded")
     # Buckets next to each other in the order of length are a range; a block goes to the ranges that it can reach, at most RANGES.
