@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sideline.functions.exprs import ratio, round_avg, to_decimal
+from sideline.functions.exprs import ratio, to_decimal
 from sideline.functions.joins import bounded
 from sideline.operators.games import played
 
@@ -66,40 +66,42 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """One row per column: column_name, type, non_null, nulls, null_pct, distinct_count,
     min, max, avg (numbers), min_date, max_date (dates and timestamps, as dates), examples."""
     fields = df.schema.fields
-    total = F.count(F.lit(1))
-    stats = []
-    for f in fields:
-        c = F.col(f.name)
-        num = _is_numeric(f.dataType)
-        mapped = exact and num
-        nothing = F.lit(None).cast("double")
-        no_date = F.lit(None).cast("date")
-        temporal = _is_temporal(f.dataType)
-        stats.append(F.struct(
-            F.count(c).alias("non_null"),
-            (F.min(c).cast("double") if num else nothing).alias("min"),
-            (F.max(c).cast("double") if num else nothing).alias("max"),
-            (round_avg(c.cast("decimal(38,0)") if isinstance(f.dataType, _WHOLE) else c, 3) if num else nothing).alias("avg"),
-            (F.min(c).cast("date") if temporal else no_date).alias("min_date"),
-            (F.max(c).cast("date") if temporal else no_date).alias("max_date"),
-            (F.approx_count_distinct(c) if not exact else F.lit(None).cast("bigint")).alias("approx"),
-            (F.bitmap_construct_agg(F.when(_in_bitmap(c), c.cast("bigint"))) if mapped else F.lit(bytearray())).alias("bits"),
-        ).alias(f.name))
-    wide = df.agg(total.alias("_total"), *stats)
+
+    def measures(f) -> str:
+        """One column's measures as SQL (one call a column: wide tables have many)."""
+        c, num, temporal = _quoted(f.name), _is_numeric(f.dataType), _is_temporal(f.dataType)
+        whole = f"CAST({c} AS DECIMAL(38,0))" if isinstance(f.dataType, _WHOLE) else c
+        mean = f"CAST(round(try_divide(CAST(sum({whole}) AS DECIMAL(38,12)), CAST(count({c}) AS DECIMAL(20,0))), 3) AS DOUBLE)"
+        parts = {
+            "non_null": f"count({c})",
+            "min": f"CAST(min({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)",
+            "max": f"CAST(max({c}) AS DOUBLE)" if num else "CAST(NULL AS DOUBLE)",
+            "avg": mean if num else "CAST(NULL AS DOUBLE)",
+            "min_date": f"CAST(min({c}) AS DATE)" if temporal else "CAST(NULL AS DATE)",
+            "max_date": f"CAST(max({c}) AS DATE)" if temporal else "CAST(NULL AS DATE)",
+            "approx": f"approx_count_distinct({c})" if not exact else "CAST(NULL AS BIGINT)",
+            "bits": f"bitmap_construct_agg(CASE WHEN {_in_bitmap(c)} THEN CAST({c} AS BIGINT) END)" if exact and num else "X''",
+        }
+        return f"named_struct({', '.join(f'{_text(k)}, {v}' for k, v in parts.items())}) AS {c}"
+
+    wide = df.agg(F.count(F.lit(1)).alias("_total"), *[F.expr(measures(f)) for f in fields])
     per_col = (wide.unpivot(["_total"], [f.name for f in fields], "column_name", "s")
                .select("column_name", "_total", "s.*"))
 
-    def rest(f) -> Column:
-        """The value, NULL where the column's bitmap has it."""
-        c = F.col(f.name)
-        return F.when(~F.coalesce(_in_bitmap(c), F.lit(False)), c) if exact and _is_numeric(f.dataType) else c
-
-    values = df.select(F.explode(F.array(*[
-        F.struct(F.lit(f.name).alias("column_name"),
-                 rest(f).cast("string").alias("v"),
-                 (rest(f).cast("double") if _is_numeric(f.dataType)
-                  else F.lit(None).cast("double")).alias("k"))
-        for f in fields])).alias("x")).select("x.*").where(F.col("v").isNotNull())
+    def long_form(of: DataFrame, some: list, value) -> DataFrame:
+        """(column_name, v, k): the non-NULL values of some columns, as texts and, if numbers, as such."""
+        pairs = [f"named_struct('column_name', {_text(f.name)}, 'v', CAST({value(f)} AS STRING), 'k', CAST({value(f) if _is_numeric(f.dataType) else 'NULL'} AS DOUBLE))" for f in some]
+        return of.select(F.expr(f"explode(array({', '.join(pairs)})) AS x")).select("x.*").where(F.col("v").isNotNull())
+
+    if exact:
+        # Texts, and of the numbers only the rows that have one beyond the bitmaps.
+        texts, numbers = [f for f in fields if not _is_numeric(f.dataType)], [f for f in fields if _is_numeric(f.dataType)]
+        any_beyond = " OR ".join(f"coalesce(NOT ({_in_bitmap(_quoted(f.name))}), FALSE)" for f in numbers)
+        branches = [long_form(df, texts, lambda f: _quoted(f.name))] if texts else []
+        branches += [long_form(df.where(any_beyond), numbers, lambda f: f"CASE WHEN NOT ({_in_bitmap(_quoted(f.name))}) THEN {_quoted(f.name)} END")] if numbers else []
+        values = branches[0] if len(branches) == 1 else branches[0].union(branches[1])
+    else:
+        values = long_form(df, fields, lambda f: _quoted(f.name))
     first = Window.partitionBy("column_name").orderBy(F.col("k").asc_nulls_first(), F.col("v").asc())
     if exact:
         distinct_vals = values.distinct()
@@ -118,24 +120,25 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
                .groupBy("column_name")
                .agg(F.collect_list(F.struct("k", "v")).alias("smallest")))
     out = per_col.join(bounded(samples), "column_name", "left")
-    if exact:
-        out = out.withColumn("mapped", _smallest_bits(F.col("bits")))
     if exact:
         counts = distinct_vals.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
         out = out.join(bounded(counts), "column_name", "left")
         distinct = F.coalesce(F.col("distinct_count"), F.lit(0)) + F.coalesce(F.bitmap_count("bits"), F.lit(0))
     else:
         distinct = F.col("approx")
-    types = {f.name: f.dataType.simpleString() for f in fields}
-    type_col = F.create_map(*[x for name, t in types.items() for x in (F.lit(name), F.lit(t))])
+    type_col = F.expr(f"map({', '.join(f'{_text(f.name)}, {_text(f.dataType.simpleString())}' for f in fields)})")
     smallest = F.coalesce("smallest", F.array().cast(_SMALLEST))
     if exact:
-        # Bits are whole numbers of the column's type, and written like its values.
-        for f in fields:
-            if _is_numeric(f.dataType):
-                written_as = lambda t: lambda b: F.struct(b.cast("double").alias("k"), b.cast(t).cast("string").alias("v"))
-                mine = F.transform("mapped", written_as(f.dataType.simpleString()))
-                smallest = F.when(F.col("column_name") == f.name, F.concat(F.coalesce("smallest", F.array().cast(_SMALLEST)), F.coalesce(mine, F.array().cast(_SMALLEST)))).otherwise(smallest)
+        # Bits are whole numbers, written as values of the column's type are.
+        kind = type_col[F.col("column_name")]
+
+        def written(b: Column) -> Column:
+            text = b.cast("string")
+            for t in sorted({f.dataType.simpleString() for f in fields if _is_numeric(f.dataType)}):
+                text = F.when(kind == t, b.cast(t).cast("string")).otherwise(text)
+            return F.struct(b.cast("double").alias("k"), text.alias("v"))
+
+        smallest = F.concat(F.transform(_smallest_bits(F.col("bits")), written), smallest)
     nulls = F.col("_total") - F.col("non_null")
     return out.select(
         "column_name",
@@ -149,9 +152,17 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     )
 
 
-def _in_bitmap(c: Column) -> Column:
-    """Whether a number is a whole one that a bitmap has a place for."""
-    return (c >= 0) & (c < BITMAP_VALUES) & (c == F.floor(c))
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _in_bitmap(c: str) -> str:
+    """SQL: whether a number is a whole one that a bitmap has a place for."""
+    return f"{c} >= 0 AND {c} < {BITMAP_VALUES} AND {c} = floor({c})"
 
 
 def _smallest_bits(bits: Column) -> Column:
