@@ -256,6 +256,22 @@ def _meet(dims: int, kind: np.dtype, k: int, low: int, high: int):
     return meet
 
 
+def _meet_all(dims: int, kind: np.dtype, k: int, low: int, high: int):
+    """The head of one cluster's list at once: ``k`` rows for each member and place, however many blocks they come from."""
+    meet = _meet(dims, kind, k, low, high)
+
+    def together(table: pa.Table) -> pa.Table:
+        found = pa.Table.from_batches(list(meet(iter(table.to_batches()))), schema=_FOUND_SCHEMA)
+        score, ids = found.column("score").to_numpy(), found.column("vec_id").to_numpy()
+        group = found.column("member").to_numpy().astype(np.int64) << 32 | found.column("place").to_numpy()
+        order = np.lexsort((ids, ~score, group))  # ~ turns the order without overflow
+        group = group[order]
+        first = np.searchsorted(group, group, "left")
+        return found.take(pa.array(order[np.arange(len(order)) - first < k]))
+
+    return together
+
+
 _ASKED = "array<struct<member:int,place:int,positive_id:bigint,positive_score:bigint,need:bigint,need_id:bigint>>"
 
 
@@ -293,21 +309,27 @@ class _Lists:
         busiest = self.list.groupBy("block").count().agg(F.max("count").alias("n")).collect()[0]["n"] or 0
         self.pages, self.parts = max(1, -(-busiest // PAGE)), width(spark)
 
-    def walk(self, entries: DataFrame, asked: DataFrame | None, k: int) -> DataFrame:
-        """What the members find in these entries of their lists; ``asked`` (cluster, asked) has what they look for."""
+    def walk(self, entries: DataFrame, asked: DataFrame | None, k: int, together: bool = False) -> DataFrame:
+        """What the members find in these entries of their lists; ``asked`` (cluster, asked) has what they look for.
+
+        ``together`` takes a cluster's entries in one group, for heads, whose size is bounded.
+        """
         clusters = self.clusters.drop("cells")
         clusters = clusters.withColumn("asked", F.lit(None).cast(_ASKED)) if asked is None else clusters.join(asked, "cluster")
         page = F.pmod(F.xxhash64("cluster"), F.lit(self.pages)).cast("int")
         left = entries.select("cluster", "block").join(clusters, "cluster").withColumn("page", page).repartition(self.parts, "block", "page")
         right = (self.blocks.select("block", *(c for c in self.blocks.columns if c.startswith("b_")))
                  .withColumn("page", F.explode(F.sequence(F.lit(0), F.lit(self.pages - 1)))).repartition(self.parts, "block", "page"))
-        return left.join(right.hint("merge"), ["block", "page"]).drop("page").mapInArrow(_meet(self.dims, self.kind, k, self.low, self.high), _FOUND)
+        met = left.join(right.hint("merge"), ["block", "page"]).drop("page", "block")
+        if together:
+            return met.groupBy("cluster").applyInArrow(_meet_all(self.dims, self.kind, k, self.low, self.high), _FOUND)
+        return met.mapInArrow(_meet(self.dims, self.kind, k, self.low, self.high), _FOUND)
 
     def best(self, asked: DataFrame | None, k: int) -> DataFrame:
         """The ``k`` best for each member and place: the head of the lists first, then until no bound reaches what is needed."""
         place = Window.partitionBy("cluster", "member", "place").orderBy(F.desc("score"), "vec_id")
         top = lambda found: found.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
-        head = staged(top(self.walk(self.list.where(F.col("at") < HEAD), asked, k)), "head")
+        head = staged(top(self.walk(self.list.where(F.col("at") < HEAD), asked, k, together=True)), "head")
         # What the head gives: the k-th best of those that have so many.
         got = head.where(F.col("rank") == k).select("cluster", "member", "place", F.col("score").alias("need"), F.col("vec_id").alias("need_id"))
         if asked is None:
