@@ -15,6 +15,8 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sideline.functions.joins import bounded, short
+
 SLICE_KEYS = ["season", "week"]
 
 
@@ -94,17 +96,19 @@ def _slice_frame(spark: SparkSession, slices) -> DataFrame:
     return spark.createDataFrame(rows, "season int, week int")
 
 
-def refresh_slices(target: DataFrame, incoming: DataFrame, slices) -> DataFrame:
+def refresh_slices(target: DataFrame, incoming: DataFrame, slices, few: bool = False) -> DataFrame:
     """Delete every listed (season, week) slice from ``target``, then add ``incoming``.
 
     ``slices`` is a DataFrame with (season, week) or an iterable of pairs.
     Every listed week is emptied even if no new rows arrive for it (a
     partition overwrite would leave such a week in place).  Incoming rows
     outside the listed slices are not added, so the refresh is idempotent.
-    The slice list is bounded by the calendar (seasons x weeks) and is
-    broadcast; both big sides stream through without a shuffle.
+    A slice list from the driver, one that the caller knows to be ``few`` rows,
+    or one made of small tables is broadcast, and both big sides stream through
+    without a shuffle; any other is joined as the planner sees fit.
     """
-    sl = F.broadcast(_slice_frame(target.sparkSession, slices))
+    sl = _slice_frame(target.sparkSession, slices)
+    sl = short(sl) if few or not isinstance(slices, DataFrame) else bounded(sl)
     keep = target.join(sl, SLICE_KEYS, "left_anti")
     new = incoming.join(sl, SLICE_KEYS, "left_semi")
     return keep.unionByName(new.select(*[c for c in target.columns if c in new.columns]),

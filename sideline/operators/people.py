@@ -50,7 +50,8 @@ def qb_games(enriched: DataFrame, primary: DataFrame) -> DataFrame:
         "game_id", "season", "week", "game_type", "gamedate", "gametime", "weekday",
         "team", "opp", "is_home", "is_playoff", "is_primetime", "is_morning",
         "is_afternoon", "is_evening", "win_pts", "opp_is_500_plus")
-    return g.join(bounded(primary), ["season", "week", "team"]).select(
+    # The games' side is the one with a checked bound; quarterbacks come from the player rows.
+    return bounded(g).join(primary, ["season", "week", "team"]).select(
         *g.columns, "qb_id", "qb_name", "attempts", "passing_yards")
 
 

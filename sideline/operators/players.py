@@ -84,16 +84,17 @@ def player_lines(weekly: DataFrame) -> DataFrame:
     )
 
 
-def player_games(weekly: DataFrame, enriched: DataFrame) -> DataFrame:
+def player_games(weekly: DataFrame, enriched: DataFrame, schedules: DataFrame | None = None) -> DataFrame:
     """One row per player per team game: typed measures plus game flags.
 
     The inner join on (season, week, team) drops weekly rows whose team code
-    has no game that week (bye weeks, code mismatches).
+    has no game that week (bye weeks, code mismatches).  ``schedules``, if
+    given, is what the games come from: its size decides on their broadcast.
     """
     hw = player_lines(weekly)
     g = enriched.select("season", "week", "team", "game_id", "game_type",
                         "is_home", "is_playoff", "is_primetime")
-    j = hw.join(bounded(g), ["season", "week", "team"])
+    j = hw.join(bounded(g, schedules), ["season", "week", "team"])
     return j.select(
         *PLAYER_GAME_COLUMNS[:-3],
         (F.col("rushing_yards") + F.col("receiving_yards")).alias("scrimmage_yards"),

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sideline.functions.exprs import ratio, to_decimal
-from sideline.functions.joins import bounded
+from sideline.functions.joins import short
 from sideline.operators.games import played
 
 SAMPLE_VALUES = 5
@@ -119,10 +119,10 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
                .where(F.col("rn") <= SAMPLE_VALUES)
                .groupBy("column_name")
                .agg(F.collect_list(F.struct("k", "v")).alias("smallest")))
-    out = per_col.join(bounded(samples), "column_name", "left")
+    out = per_col.join(short(samples), "column_name", "left")
     if exact:
         counts = distinct_vals.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
-        out = out.join(bounded(counts), "column_name", "left")
+        out = out.join(short(counts), "column_name", "left")
         distinct = F.coalesce(F.col("distinct_count"), F.lit(0)) + F.coalesce(F.bitmap_count("bits"), F.lit(0))
     else:
         distinct = F.col("approx")

@@ -95,7 +95,7 @@ def def_rank_by_pos(player_games: DataFrame) -> DataFrame:
     return _ranked(reg.groupBy("season", "game_id", F.col("opp_team").alias("team")).agg(*_position_yards()))
 
 
-def weekly_def_ranks(lines: DataFrame, enriched: DataFrame) -> DataFrame:
+def weekly_def_ranks(lines: DataFrame, enriched: DataFrame, schedules: DataFrame | None = None) -> DataFrame:
     """``def_rank_by_pos`` from the weekly lines themselves.
 
     The lines are summed by week and the two teams before they meet their
@@ -104,7 +104,7 @@ def weekly_def_ranks(lines: DataFrame, enriched: DataFrame) -> DataFrame:
     """
     sums = lines.groupBy("season", "week", "team", "opp_team").agg(*_position_yards())
     games = enriched.where(F.col("game_type") == "REG").select("season", "week", "team", "game_id")
-    met = sums.join(bounded(games), ["season", "week", "team"])
+    met = sums.join(bounded(games, schedules), ["season", "week", "team"])
     return _ranked(met.groupBy("season", "game_id", F.col("opp_team").alias("team")).agg(*[F.sum(p).alias(p) for p in RANK_POSITIONS]))
 
 
@@ -130,11 +130,12 @@ def player_games_keys(player_games: DataFrame) -> DataFrame:
         "*", dash_key("season", "opp_team", "position_group").alias("opp_season_team_pos"))
 
 
-def player_games_vs_def_rank(keys: DataFrame, ranks: DataFrame) -> DataFrame:
+def player_games_vs_def_rank(keys: DataFrame, ranks: DataFrame, schedules: DataFrame | None = None) -> DataFrame:
     """Each player game with the rank of the defence it faced (NULL if unranked).
 
-    The rank table has (seasons x teams x 4) rows, bounded by the calendar,
-    and is broadcast; the player side streams through without a shuffle.
+    Ranks come from games alone, so there are at most eight for each game of
+    ``schedules``: if that is small, they are broadcast, and the player side
+    streams through without a shuffle.
     """
     r = ranks.select(F.col("season_team_pos").alias("opp_season_team_pos"), "def_rank_pos")
-    return keys.join(bounded(r), "opp_season_team_pos", "left").select(*keys.columns, "def_rank_pos")
+    return keys.join(bounded(r, schedules), "opp_season_team_pos", "left").select(*keys.columns, "def_rank_pos")

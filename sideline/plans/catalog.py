@@ -95,7 +95,7 @@ def refresh_slices_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     arriving = _latest_weeks(hw, REFRESH_WEEKS_WITH_ROWS)
     incoming = (hw.join(F.broadcast(arriving), ["season", "week"], "left_semi")
                 .withColumns({c: F.col(c) + 1 for c in ("passing_yards", "rushing_yards", "receiving_yards")}))
-    return MT.refresh_slices(hw, incoming, slices)
+    return MT.refresh_slices(hw, incoming, slices, few=True)
 
 
 def upsert_coach_q(spark: SparkSession, sf_dir: str) -> DataFrame:

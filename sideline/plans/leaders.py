@@ -177,7 +177,7 @@ def newest_first(weekly: DataFrame, enough) -> DataFrame:
 
 def player_games_latest(m: Marts, k: int = 20) -> DataFrame:
     def games(weekly: DataFrame) -> DataFrame:
-        return player_games(weekly, m.team_games_enriched)
+        return player_games(weekly, m.team_games_enriched, m.schedules)
 
     weekly = newest_first(m.weekly, lambda some: games(some).limit(k).count() >= k)
     return top(games(weekly), [d("season"), d("week"), a("player_id")], k,

@@ -132,7 +132,7 @@ class Marts:
     # ---- players ----------------------------------------------------------
     @cached_property
     def player_games(self) -> DataFrame:
-        return PL.player_games(self.weekly, self.team_games_enriched)
+        return PL.player_games(self.weekly, self.team_games_enriched, self.schedules)
 
     def position_alltime(self, group: str) -> DataFrame:
         return PL.position_stats(self.player_games, group, ["player_id"])
@@ -157,7 +157,7 @@ class Marts:
 
     @cached_property
     def def_rank_by_pos(self) -> DataFrame:
-        return R.weekly_def_ranks(PL.player_lines(self.weekly), self.team_games_enriched)
+        return R.weekly_def_ranks(PL.player_lines(self.weekly), self.team_games_enriched, self.schedules)
 
     @cached_property
     def player_games_keys(self) -> DataFrame:
@@ -165,7 +165,7 @@ class Marts:
 
     @cached_property
     def player_games_vs_def_rank(self) -> DataFrame:
-        return R.player_games_vs_def_rank(self.player_games_keys, self.def_rank_by_pos)
+        return R.player_games_vs_def_rank(self.player_games_keys, self.def_rank_by_pos, self.schedules)
 
     # ---- session helpers ------------------------------------------------
     def views(self) -> dict[str, DataFrame]:

@@ -1,8 +1,10 @@
 """Plan-shape tests: the scale properties the design relies on stay in place."""
 
+import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF001
 from sideline.plans.catalog import QUERIES
@@ -84,3 +86,54 @@ def test_broadcast_switch_falls_back_to_planner(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert rows == sorted(map(tuple, with_hint.collect()))
+
+
+def test_broadcast_hint_needs_a_small_source(spark, monkeypatch):
+    """The hint is given by stored bytes, where they are unknown by a bounded count; rows are the same without it."""
+    from sideline.functions import joins
+    from sideline.functions.joins import BYTES_KEY, bounded, source_bytes
+    from sideline.plans.catalog import facts
+    from sideline.plans.marts import Marts
+    hs, hw = facts(spark, SF001)
+    files = [f for f in hs.inputFiles()]
+    assert source_bytes(hs) == sum(os.path.getsize(f.removeprefix("file://")) for f in files)
+    assert source_bytes(hs.join(hw, "season").groupBy("season").count()) == source_bytes(hs) + source_bytes(hw)
+    hinted = lambda df: "ResolvedHint (strategy=broadcast)" in df._jdf.queryExecution().analyzed().toString()
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, v string")
+    assert source_bytes(rows) >= joins.UNKNOWN_BYTES and hinted(hw.join(bounded(rows), F.lit(1) == F.col("k")))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 2)
+    assert not hinted(hw.join(bounded(rows), F.lit(1) == F.col("k")))
+    names = ["player_games", "qb_games", "coach_games", "def_rank_by_pos", "player_games_vs_def_rank"]
+    small = {n: getattr(Marts(hs, hw), n) for n in names}
+    spark.conf.set(BYTES_KEY, "10")
+    try:
+        large = {n: getattr(Marts(hs, hw), n) for n in names}
+    finally:
+        spark.conf.unset(BYTES_KEY)
+    for n in names:
+        assert hinted(small[n]) and not hinted(large[n]), n
+        assert sorted(map(str, small[n].collect())) == sorted(map(str, large[n].collect())), n
+
+
+def test_the_player_table_never_proves_a_broadcast(spark):
+    """With a limit between the schedule's and the weekly table's size, hints stay, since only the schedule counts."""
+    from sideline.functions.joins import BYTES_KEY, source_bytes
+    from sideline.plans.catalog import facts
+    from sideline.plans.marts import Marts
+    hs, hw = facts(spark, SF001)
+    spark.conf.set(BYTES_KEY, str(4 * source_bytes(hs)))
+    try:
+        assert source_bytes(hw) > 4 * source_bytes(hs)
+        for name in ("player_games", "qb_games", "def_rank_by_pos", "player_games_vs_def_rank"):
+            plan = getattr(Marts(hs, hw), name)._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan, name
+    finally:
+        spark.conf.unset(BYTES_KEY)
+
+
+def test_hints_stay_when_the_bases_are_checkpointed(spark):
+    from sideline.plans.catalog import facts
+    from sideline.plans.marts import Marts
+    m = Marts(*facts(spark, SF001)).persist_bases(checkpoint=True)
+    plan = m.player_games_vs_def_rank._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
