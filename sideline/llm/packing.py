@@ -31,12 +31,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sideline.llm.batches import table_batch
+from sideline.llm.batches import parts, table_batch, tidy
 from sideline.llm.common import staged
 from sideline.llm.tokens import encoder
 
 CAPACITY = 1024
 SEPARATOR = 2
+#: Documents cut at once inside a task.
+ROWS = 1024
 
 
 def _cut(capacity: int, separator: int, vocabulary: str | None):
@@ -48,7 +50,7 @@ def _cut(capacity: int, separator: int, vocabulary: str | None):
         end = np.array([separator], bpe.dtype).tobytes()
         seen = [0] * (capacity + 1)
         task = TaskContext.get().partitionId()
-        for batch in batches:
+        for batch in parts(batches, ROWS):
             rows: list[list] = [[] for _ in range(7)]
             size = 0
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
@@ -61,12 +63,12 @@ def _cut(capacity: int, separator: int, vocabulary: str | None):
                         column.append(value)
                     seen[b - a] += 1
                 size += ids.nbytes
-                if size > 1 << 23:
+                if size > 1 << 21:
                     yield table_batch(schema, [*rows[:6], [task] * len(rows[0]), rows[6]])
                     rows, size = [[] for _ in range(7)], 0
             yield table_batch(schema, [*rows[:6], [task] * len(rows[0]), rows[6]])
 
-    return cut
+    return tidy(cut)
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, separator: int = SEPARATOR, vocabulary: str | None = None) -> DataFrame:
@@ -194,7 +196,7 @@ def _place(table: dict[int, np.ndarray]):
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
-    return place
+    return tidy(place)
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import os
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 
 from sideline.llm.common import keep_one
 
-#: Pieces, and words of several pieces or in front of others, remembered by one Python worker.
-PIECES, WORDS = 400_000, 200_000
+#: Pieces, and words with the space in front of them, remembered by one Python worker (about 60 MB when full).
+PIECES, WORDS = 100_000, 300_000
 #: Below this character the splitting pattern is the same in every Unicode version.
 _KNOWN = "ɐ"
 #: White space behind a space: there the pattern may split elsewhere than in front of the last space.
@@ -34,6 +35,20 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
 
 
+class Kept(dict):
+    """What ``make`` gives for a key, made when first asked for; at most ``limit`` are remembered."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int):
+        super().__init__()
+        self._make, self._limit = make, limit
+
+    def __missing__(self, key: str) -> bytes:
+        made = self._make(key)
+        if len(self) < self._limit:
+            self[key] = made
+        return made
+
+
 class ByteBpe:
     """``encode(text)``: the ids of a text as bytes of ``dtype`` (of the machine's order, little-endian on all common ones).
 
@@ -56,27 +71,21 @@ class ByteBpe:
         self._code = "H" if self.dtype.itemsize == 2 else "I"
         self._letters = byte_letters()
         self._split = regex.compile(PATTERN).findall
-        self._pieces: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self._pieces.get(piece)
-        if ids is None:
-            if piece.isascii() and piece.isprintable():
-                written = piece.replace(" ", self._letters[32])
-            else:
-                written = piece.encode().decode("latin-1").translate(self._letters)
-            ids = array(self._code, [t.id for t in self._tokenize(written)]).tobytes()
-            if len(self._pieces) < PIECES:
-                self._pieces[piece] = ids
-        return ids
-
-    def _behind(self, word: str) -> bytes:
-        """The ids of a word and the space in front of it."""
-        ids = b"".join(map(self._piece, self._split(" " + word)))
-        if len(self._words) < WORDS:
-            self._words[word] = ids
-        return ids
+        self._piece = Kept(self._of_piece, PIECES).__getitem__
+        self._behind = Kept(self._of_word, WORDS).__getitem__
+
+    def _of_piece(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isprintable():
+            written = piece.replace(" ", self._letters[32])
+        else:
+            written = piece.encode().decode("latin-1").translate(self._letters)
+        return array(self._code, [t.id for t in self._tokenize(written)]).tobytes()
+
+    def _of_word(self, word: str) -> bytes:
+        """The ids of a word and the space in front of it; letters alone are one piece of the pattern."""
+        if word.isalpha():
+            return self._piece(" " + word)
+        return b"".join(map(self._piece, self._split(" " + word)))
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -88,12 +97,8 @@ class ByteBpe:
                 return array(self._code, self._whole.encode(text, add_special_tokens=False).ids).tobytes()
         if text[-1] == " " or any(s in text for s in _ODD_SPACE):
             return b"".join(map(self._piece, self._split(text)))
-        words = text.split(" ")
-        out = list(map(self._words.get, words))
-        out[0] = b"".join(map(self._piece, self._split(words[0])))
-        if None in out:
-            out = [self._behind(w) if ids is None else ids for w, ids in zip(words, out)]
-        return b"".join(out)
+        first, *words = text.split(" ")
+        return b"".join(map(self._piece, self._split(first))) + b"".join(map(self._behind, words))
 
 
 def encoder(path: str | None = None) -> ByteBpe:

@@ -83,3 +83,23 @@ def test_non_negative_least_squares_finds_an_exact_mixture():
 def test_residuals_are_packed_best_fit():
     histogram = np.bincount([6, 5, 5, 4, 3, 2, 2], minlength=11)
     assert sum(c for _, c in packing.best_fit_decreasing(histogram, 10)) == 3
+
+
+def test_a_task_holds_few_documents_and_words_at_once(monkeypatch):
+    """Outputs are of at most ``ROWS`` documents however long Spark's batches are; an encoder remembers at most its limits."""
+    import pyarrow as pa
+
+    from sideline.llm import tokens
+
+    monkeypatch.setattr(packing, "TaskContext", type("Here", (), {"get": staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 3})())}))
+    n = 3 * packing.ROWS + 5
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(n)), "text": [f"w{i} x" for i in range(n)]})
+    out = list(packing._cut(64, packing.SEPARATOR, None)(iter([batch])))
+    assert max(b.num_rows for b in out) <= packing.ROWS
+    assert [x for b in out for x in b.column("doc_id").to_pylist()] == list(range(n))
+    monkeypatch.setattr(tokens, "WORDS", 2)
+    monkeypatch.setattr(tokens, "PIECES", 3)
+    small = tokens.ByteBpe(default_vocabulary())
+    text = "one two three four, five's six7 " * 3 + "one"
+    assert small.encode(text) == encoder().encode(text) == small.encode(text)
+    assert len(small._behind.__self__) == 2 and len(small._piece.__self__) == 3
