@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -47,6 +48,7 @@ DATE = "2024-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 _HTTP_REVISIT = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _BLANK = b"\r\n\r\n"
+_LINE_ENDS = re.compile(rb"[\r\n]*")
 
 
 def _letters(data: bytes, limit: int) -> Iterator[bytes]:
@@ -153,7 +155,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
         .write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
 
 
-def _inflated(data: memoryview, step: int = 1 << 20) -> Iterator[bytes]:
+def _inflated(data: memoryview, step: int = 1 << 18) -> Iterator[bytes]:
     """The content of a plain file or of a gzip file of any number of members."""
     if bytes(data[:2]) != b"\x1f\x8b":
         yield from (bytes(data[k: k + step]) for k in range(0, len(data), step))
@@ -170,17 +172,23 @@ def _inflated(data: memoryview, step: int = 1 << 20) -> Iterator[bytes]:
 
 
 def parse(parts: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields in lower case, block) of each record of an archive, by the stated lengths; a cut-off last record is left out."""
-    held, more = b"", iter(parts)
+    """(fields in lower case, block) of each record of an archive, by the stated lengths; a cut-off last record is left out.
+
+    What is held is walked by position and cut only where a part is added, so
+    a record's cost is its own length, however long the parts are.
+    """
+    held, at, more = b"", 0, iter(parts)
     while True:
-        end = held.find(_BLANK)
+        at = _LINE_ENDS.match(held, at).end()
+        end = held.find(_BLANK, at)
         while end < 0:
             part = next(more, None)
             if part is None:
                 return
-            held += part
-            end = held.find(_BLANK)
-        lines = held[:end].decode("utf-8", "replace").lstrip("\r\n").split("\r\n")
+            held, at = held[at:] + part, 0
+            at = _LINE_ENDS.match(held).end()
+            end = held.find(_BLANK, at)
+        lines = held[at:end].decode("utf-8", "replace").split("\r\n")
         fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
         size = int(fields.get("content-length", 0))
         need = end + 4 + size
@@ -195,37 +203,48 @@ def parse(parts: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
                 have += len(part)
             held = b"".join(gathered)
         yield fields, held[end + 4: need]
-        held = held[need:].lstrip(b"\r\n")
+        at = need
 
 
 _RAW = pa.schema([("record_id", pa.string()), ("type", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("refers", pa.string()),
                   ("stated", pa.string()), ("origin", pa.string()), ("number", pa.int32()), ("total", pa.int64()), ("block", pa.binary())])
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for content in as_binary(batch.column("content")):
-            rows, size = [], 0
-            for f, block in parse(_inflated(memoryview(content.as_buffer()))):
-                number = int(f["warc-segment-number"]) if "warc-segment-number" in f else None
-                own = f.get("warc-record-id", "").strip("<>")
-                digest = f.get("warc-payload-digest", "")
-                rows.append({"record_id": own, "type": f.get("warc-type"), "page_id": int(f["warc-page-id"]) if "warc-page-id" in f else None,
-                             "url": f.get("warc-target-uri"), "refers": f["warc-refers-to"].strip("<>") if "warc-refers-to" in f else None,
-                             "stated": base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None,
-                             "origin": f.get("warc-segment-origin-id", own).strip("<>") if number else None, "number": number,
-                             "total": int(f["warc-segment-total-length"]) if "warc-segment-total-length" in f else None, "block": block})
-                size += len(block)
-                if size > 1 << 22:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_RAW)
-                    rows, size = [], 0
-            yield pa.RecordBatch.from_pylist(rows, schema=_RAW)
-
-
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """The raw records of all archives below ``path``, plain or gzip; an archive is read by one task, as a stream of blocks."""
+def _read(segments: bool | None):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in as_binary(batch.column("content")):
+                rows: list[list] = [[] for _ in _RAW]
+                size = 0
+                for f, block in parse(_inflated(memoryview(content.as_buffer()))):
+                    number = int(f["warc-segment-number"]) if "warc-segment-number" in f else None
+                    if segments is not None and segments != (number is not None):
+                        continue
+                    own = f.get("warc-record-id", "").strip("<>")
+                    digest = f.get("warc-payload-digest", "")
+                    row = (own, f.get("warc-type"), int(f["warc-page-id"]) if "warc-page-id" in f else None, f.get("warc-target-uri"),
+                           f["warc-refers-to"].strip("<>") if "warc-refers-to" in f else None,
+                           base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None,
+                           f.get("warc-segment-origin-id", own).strip("<>") if number else None, number,
+                           int(f["warc-segment-total-length"]) if "warc-segment-total-length" in f else None, block)
+                    for column, value in zip(rows, row, strict=True):
+                        column.append(value)
+                    size += len(block)
+                    if size > 1 << 22:
+                        yield table_batch(_RAW, rows)
+                        rows, size = [[] for _ in _RAW], 0
+                yield table_batch(_RAW, rows)
+
+    return read
+
+
+def read_records(spark: SparkSession, path: str, segments: bool | None = None) -> DataFrame:
+    """The raw records of all archives below ``path``, plain or gzip; an archive is read by one task, as a stream of blocks.
+
+    ``segments`` gives only the records that are segments of others (True) or only those that are whole (False).
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
-    return files.mapInArrow(_read, "record_id string, type string, page_id long, url string, refers string, stated string, origin string, number int, total long, block binary")
+    return files.mapInArrow(_read(segments), "record_id string, type string, page_id long, url string, refers string, stated string, origin string, number int, total long, block binary")
 
 
 def join_segments(parts: list[dict]) -> tuple[bytes | None, int]:
@@ -261,13 +280,17 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield table_batch(schema, [[r[n] for r in rows] for n in schema.names])
 
 
-def reassemble(records: DataFrame) -> DataFrame:
-    """One row for each response and revisit: record_id, type, page_id, url, refers, stated, complete, payload, payload_digest."""
+def reassemble(records: DataFrame, segments: DataFrame | None = None) -> DataFrame:
+    """One row for each response and revisit: record_id, type, page_id, url, refers, stated, complete, payload, payload_digest.
+
+    The segments may be a frame of their own, so that neither reading hands on the other's blocks.
+    """
+    segments = records if segments is None else segments
     kinds = F.col("type").isin("response", "revisit")
     head = ["record_id", "type", "page_id", "url", "refers", "stated"]
     whole = records.where(F.col("number").isNull() & kinds).select(*head, "block", F.lit(None).cast("array<struct<number:int,total:bigint,block:binary>>").alias("segments"))
     first = F.struct(*(F.col(c) for c in head))
-    parts = (records.where("number is not null").groupBy("origin")
+    parts = (segments.where("number is not null").groupBy("origin")
              .agg(F.collect_list(F.struct("number", "total", "block")).alias("segments"), F.max(F.when(F.col("number") == 1, first)).alias("h"))
              .where("h is not null").select(*(F.col(f"h.{c}").alias(c) for c in head), F.lit(None).cast("binary").alias("block"), "segments"))
     return whole.union(parts).mapInArrow(_decode, _WHOLE)
@@ -279,7 +302,7 @@ def op3_warc_reassembly(spark, sf_dir: str) -> DataFrame:
 
     path = new_path(spark, "archives")
     write_archives(table(spark, sf_dir, "pages"), path)
-    found = staged(reassemble(read_records(spark, path)).select("record_id", "type", "page_id", "refers", "stated", "complete",
+    found = staged(reassemble(read_records(spark, path, False), read_records(spark, path, True)).select("record_id", "type", "page_id", "refers", "stated", "complete",
                                                                  F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest"), "payloads")
     answers = found.where("type = 'response'").select(F.col("record_id").alias("refers"), F.col("page_id").alias("o_page"),
                                                        F.col("payload_bytes").alias("o_bytes"), F.col("payload_digest").alias("o_digest")).distinct()

@@ -88,3 +88,38 @@ def test_chunks():
         assert warc.unchunked(warc.chunked(payload)) == payload
     assert warc.unchunked(b"5\r\nab") is None and warc.unchunked(b"") is None
     assert warc.unchunked(b"2;x=y\r\nab\r\n0\r\n\r\n") == b"ab"
+
+
+def test_parsing_costs_what_the_records_hold():
+    """Records of one long part are walked, not cut off its front: none is copied again with all that follows it."""
+    class Counted(bytes):
+        copied = 0
+
+        def __getitem__(self, at):
+            got = super().__getitem__(at)
+            if isinstance(at, slice):
+                Counted.copied += len(got)
+                return Counted(got)
+            return got
+
+        def __radd__(self, before):
+            return Counted(bytes(before) + bytes(self))
+
+        def lstrip(self, *chars):
+            return Counted(super().lstrip(*chars))
+
+    records = [warc.record("response", f"urn:uuid:{i}", b"x" * (i % 50)) + b"\r\n\r\n" for i in range(500)]
+    whole = b"".join(records)
+    got = list(warc.parse(iter([Counted(whole)])))
+    assert [len(block) for _, block in got] == [i % 50 for i in range(500)]
+    assert Counted.copied <= 2 * len(whole)
+    for step in (1, 2, 3, 7, 100):  # parts that end anywhere, line ends between records included
+        cut = [whole[k: k + step] for k in range(0, len(whole), step)]
+        assert [(f["warc-record-id"], b) for f, b in warc.parse(iter(cut))] == [(f["warc-record-id"], bytes(b)) for f, b in got]
+
+
+def test_whole_records_and_segments_are_read_apart(spark, tmp_path):
+    warc.write_archives(spark.createDataFrame(_pages(), SCHEMA), str(tmp_path / "w"))
+    every, whole, parts = (sorted(map(str, warc.read_records(spark, str(tmp_path / "w"), only).drop("block").collect())) for only in (None, False, True))
+    assert whole and parts and sorted(whole + parts) == every
+    assert warc.read_records(spark, str(tmp_path / "w"), True).where("number is null").count() == 0
