@@ -31,8 +31,11 @@ shuffles all distinct values.  For very wide or very large tables.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +49,8 @@ SAMPLE_CHARS = 60
 # Values of a bitmap (Spark's own size), and the sketches' size (2**12 registers: estimates within a few percent).
 BITMAP_VALUES = 32_768
 SKETCH_BITS = 12
+# Slices whose smallest values a task holds at once.
+MANY_SLICES = 1000
 _SMALLEST = "array<struct<k:double,v:string>>"
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
@@ -187,7 +192,8 @@ def slice_profiles(df: DataFrame, by: Sequence[str] = ("season",)) -> DataFrame:
 
     ``sketch`` is a HyperLogLog sketch of the values' texts; ``smallest`` holds
     the slice's five smallest different values, taken from each task's five.
-    One aggregate by slice (partial before the exchange), one limited window.
+    One aggregate by slice (partial before the exchange), one pass that keeps
+    a few rows a task (``_few_smallest``); only those take the long form.
     The columns in ``by`` are profiled from the slices' keys when they are united.
     """
     fields = [f for f in df.schema.fields if f.name not in by]
@@ -206,19 +212,91 @@ def slice_profiles(df: DataFrame, by: Sequence[str] = ("season",)) -> DataFrame:
     wide = df.groupBy(*by).agg(F.count(F.lit(1)).alias("total_rows"), *stats)
     names = [f.name for f in fields]
     stats_rows = wide.unpivot([*by, "total_rows"], names, "column_name", "s").select(*by, "column_name", "total_rows", "s.*")
-    values = df.select(*by, F.explode(F.array(*[
-        F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).cast("string").alias("v"),
-                 (F.col(f.name).cast("double") if _is_numeric(f.dataType) else F.lit(None).cast("double")).alias("k"))
+    small = _few_smallest(df, by)
+    values = small.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), small[f.name].cast("string").alias("v"),
+                 (small[f.name].cast("double") if _is_numeric(f.dataType) else F.lit(None).cast("double")).alias("k"))
         for f in fields])).alias("x")).select(*by, "x.*").where(F.col("v").isNotNull())
-    order = (F.col("k").asc_nulls_first(), F.col("v").asc())
-    per_task = Window.partitionBy(*by, "column_name", "_task").orderBy(*order)
-    few = (values.withColumn("_task", F.spark_partition_id()).withColumn("rn", F.dense_rank().over(per_task))
-           .where(F.col("rn") <= SAMPLE_VALUES).groupBy(*by, "column_name").agg(F.collect_set(F.struct("k", "v")).alias("smallest")))
+    few = values.groupBy(*by, "column_name").agg(F.collect_set(F.struct("k", "v")).alias("smallest"))
     few = few.withColumn("smallest", F.slice(F.array_sort("smallest"), 1, SAMPLE_VALUES))
     same = [stats_rows[c].eqNullSafe(few[c]) for c in [*by, "column_name"]]
     return stats_rows.join(few, same, "left").select(*[stats_rows[c] for c in stats_rows.columns], "smallest")
 
 
+def _few_smallest(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows with each task's few smallest different values of every column, slice by slice; columns that are no numbers as texts.
+
+    A row's values do not belong together: each column's are listed by
+    themselves, padded with NULL.
+    """
+    others = [f for f in df.schema.fields if f.name not in by]
+    numbers = [f.name for f in others if _is_numeric(f.dataType)]
+    typed = df.select(*by, *[F.col(_quoted(f.name)) if f.name in numbers else F.col(_quoted(f.name)).cast("string").alias(f.name) for f in others])
+    return typed.mapInArrow(_keep_few(list(by), numbers), T.StructType([T.StructField(f.name, f.dataType) for f in typed.schema.fields]))
+
+
+def _keep_few(by: list[str], numbers: list[str]):
+    def merged(held: pa.Array | None, column: pa.Array, number: bool) -> pa.Array:
+        """The smallest different values of both; values whose order Spark alone tells apart are all kept."""
+        if held is not None and len(held) >= SAMPLE_VALUES and not number:
+            column = column.filter(pc.less(column, held[-1]))
+        column = column.drop_null()
+        if held is not None:
+            column = pa.concat_arrays([held, column]) if len(column) else held
+        bits = {pa.float32(): pa.int32(), pa.float64(): pa.int64()}.get(column.type)
+        column = (column.view(bits) if bits else column).unique()  # bits: -0.0 and 0.0 are two texts
+        column = column.view(pa.float64() if bits == pa.int64() else pa.float32()) if bits else column
+        if not number:
+            return column.take(pc.array_sort_indices(column)[:SAMPLE_VALUES])
+        if len(column) <= SAMPLE_VALUES:
+            return column
+        order = np.array([float(x) for x in column.to_pylist()]) if pa.types.is_decimal(column.type) else column.to_numpy(zero_copy_only=False).astype(float)
+        limit = np.partition(order, SAMPLE_VALUES - 1)[SAMPLE_VALUES - 1]  # NaN is the largest, as in Spark
+        near = column if np.isnan(limit) else column.take(pa.array(np.flatnonzero(order <= limit)))
+        if len(near) <= 2 * SAMPLE_VALUES:
+            return near
+        # Many values with one double, or many NaN: by their texts, as the examples are.
+        shown = sorted((np.isnan(float(x)), float(x), format(x, "f") if pa.types.is_decimal(near.type) else str(x), i) for i, x in enumerate(near.to_pylist()))
+        return near.take(pa.array([i for *_, i in shown[:SAMPLE_VALUES]]))
+
+    def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, dict[str, pa.Array]] = {}
+        schema = None
+
+        def flush() -> pa.RecordBatch:
+            columns: dict[str, list] = {name: [] for name in schema.names}
+            for key, kept in held.items():
+                n = max(map(len, kept.values()), default=0)
+                for name, value in zip(by, key, strict=True):
+                    columns[name].append(pa.array([value] * n, schema.field(name).type))
+                for name, values in kept.items():
+                    columns[name] += [values, pa.nulls(n - len(values), values.type)]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(columns[f.name]) if columns[f.name] else pa.array([], f.type) for f in schema], schema=schema)
+
+        for batch in batches:
+            schema = pa.schema([(f.name, f.type) for f in batch.schema])
+            keys = pa.Table.from_batches([batch.select(by)])
+            slices = keys.group_by(by, use_threads=False).aggregate([([], "count_all")])
+            if slices.num_rows > 1:
+                batch = batch.take(pc.sort_indices(keys, [(name, "ascending") for name in by]))
+                keys = pa.Table.from_batches([batch.select(by)])
+                slices = keys.group_by(by, use_threads=False).aggregate([([], "count_all")])
+            first = 0
+            for row in slices.to_pylist():
+                kept = held.setdefault(tuple(row[name] for name in by), {})
+                for name in schema.names:
+                    if name not in by:
+                        kept[name] = merged(kept.get(name), batch.column(name).slice(first, row["count_all"]), name in numbers)
+                first += row["count_all"]
+            if len(held) >= MANY_SLICES:
+                yield flush()
+        if held:
+            yield flush()
+
+    return few
+
+
 def merge_profiles(slices: DataFrame) -> DataFrame:
     """The profile of all slices together; ``distinct_count`` is an estimate of their united sketches."""
     united = slices.groupBy("column_name", "type").agg(
