@@ -201,7 +201,8 @@ def _place(table: dict[int, np.ndarray]):
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of pieces as ``pieces`` made them."""
-    counts = staged(cut.groupBy("length", "task").agg(F.count("*").alias("c")), "lengths")
+    # Counted twice from the pieces' table: two of its columns are read sooner than the counts are written.
+    counts = cut.groupBy("length", "task").agg(F.count("*").alias("c"))
     histogram = np.zeros(capacity + 1, np.int64)
     for row in counts.groupBy("length").agg(F.sum("c").alias("c")).collect():  # at most `capacity` rows
         histogram[row["length"]] = row["c"]

@@ -103,3 +103,45 @@ def test_a_task_holds_few_documents_and_words_at_once(monkeypatch):
     text = "one two three four, five's six7 " * 3 + "one"
     assert small.encode(text) == encoder().encode(text) == small.encode(text)
     assert len(small._behind.__self__) == 2 and len(small._piece.__self__) == 3
+
+
+def test_a_known_text_is_split_as_the_library_does(whole):
+    """Every character below U+0250 beside words, spaces, digits and signs, and random mixtures of them."""
+    import random
+
+    bpe, rnd = encoder(), random.Random(5)
+    for c in map(chr, range(0x250)):
+        text = f"a{c}b {c}{c} {c}1  {c} '{c}s {c}"
+        assert np.frombuffer(bpe.encode(text), bpe.dtype).tolist() == whole(text), hex(ord(c))
+    letters = ["a", "Z", " ", "  ", "\n", "\t", "'", "'s", "'ll", "'re", "1", ".", ",", "é", "ß", "²", "\x1c", "\x85", "\xa0", "ǅ", "¼"]
+    for _ in range(500):
+        text = "".join(rnd.choices(letters, k=30))
+        assert np.frombuffer(bpe.encode(text), bpe.dtype).tolist() == whole(text), repr(text)
+
+
+def test_a_long_text_is_split_part_by_part(whole, monkeypatch):
+    """The pieces of a long text are never all in memory; parts end where the pattern splits anyway."""
+    import tracemalloc
+
+    from sideline.llm import tokens
+
+    bpe, text = encoder(), "one two, three's  four\n five 66 " * 300
+    monkeypatch.setattr(tokens, "SPAN", 50)
+    assert np.frombuffer(bpe.encode(text), bpe.dtype).tolist() == whole(text)
+    monkeypatch.undo()
+    text = "one two " * 500_000
+    tracemalloc.start()
+    try:
+        bpe.encode(text)
+        assert tracemalloc.get_traced_memory()[1] < 20e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_words_and_signs_are_remembered_apart():
+    """A word with a sign behind it is not remembered beside the word: so many more words find room in less."""
+    from sideline.llm import tokens
+
+    bpe = tokens.ByteBpe(default_vocabulary())
+    bpe.encode("".join(f" word{c}" for c in ".,;:!?") + " word")
+    assert len(bpe._behind.__self__) + len(bpe._piece.__self__) < 15 and tokens.PIECES + tokens.WORDS < 350_000
