@@ -21,14 +21,10 @@ come out of every stage but the last unchanged.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sideline.llm import near_dedup, packing, repeats, toxicity
-from sideline.llm.batches import parts
 from sideline.llm.common import ship, staged, table
 
 
@@ -49,17 +45,9 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return once.union(again).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
-def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in parts(batches):
-        texts = [x.as_buffer().to_pybytes().decode("utf-8", "ignore") for x in batch.column("kept")]
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["row", "text", "letters"])
-
-
 def suffix_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = repeats.remove_repeats(docs).select("row", "kept")
-    row = cut.schema["row"].dataType.simpleString()
-    out = cut.mapInArrow(_decoded, f"row {row}, text string, letters long")
-    made = {"text": F.col("text"), "n_chars": F.col("letters").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    out = repeats.remove_repeats(docs, as_text=True)
+    made = {"text": F.col("kept"), "n_chars": F.col("letters").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
     return out.select(*(made[c].alias(c) if c in made else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 

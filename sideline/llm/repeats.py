@@ -322,7 +322,7 @@ def repeated_ranges(texts: DataFrame, size: int = SIZE, token: int = TOKEN) -> D
     return whole.union(sorted_.where("bucket is null").select("doc_id", "key", "start", "n")).union(late)
 
 
-def _apply(size: int):
+def _apply(size: int, as_text: bool):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
             sizes, removed, spans, kept = [], [], [], []
@@ -342,17 +342,25 @@ def _apply(size: int):
                 spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
                 kept.append(np.frombuffer(text, np.uint8)[~gone].tobytes())
             names = ["doc_id", "row", "n_bytes", "n_removed", "n_spans", "kept"]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(sizes, pa.int64()),
-                                              pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], names=names)
+            columns = [batch.column("doc_id"), batch.column("row"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64())]
+            if as_text:
+                texts = [x.decode("utf-8", "ignore") for x in kept]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*names, "letters"])
+            else:
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.binary())], names=names)
 
     return tidy(apply)
 
 
-def remove_repeats(docs: DataFrame, size: int = SIZE, token: int = TOKEN) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = SIZE, token: int = TOKEN, as_text: bool = False) -> DataFrame:
     """(doc_id, row, n_bytes, n_removed, n_spans, kept) for each row of ``docs``.
 
     ``row`` is a struct of all columns of ``docs``; but ``text`` is empty in
-    it, its remaining bytes are ``kept``.
+    it, its remaining bytes are ``kept``.  With ``as_text``, ``kept`` is a
+    text without the rest of a letter that was cut, and ``letters`` its
+    length; that is done where the bytes are, since another Python function
+    behind this one would double the workers of an executor, for all later
+    stages too.
     """
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), F.coalesce("text", F.lit("")).alias("text"),
@@ -363,7 +371,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, token: int = TOKEN) -> Dat
     joined = _packed(texts).join(found, F.col("doc_id").eqNullSafe(F.col("r_doc")) & (F.col("key") == F.col("r_key")), "left")
     row = texts.schema["row"].dataType.simpleString()
     return joined.select("doc_id", "row", "text", "ranges").mapInArrow(
-        _apply(size), f"doc_id long, row {row}, n_bytes long, n_removed long, n_spans long, kept binary")
+        _apply(size, as_text), f"doc_id long, row {row}, n_bytes long, n_removed long, n_spans long, kept {'string, letters long' if as_text else 'binary'}")
 
 
 def op6_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:

@@ -110,3 +110,10 @@ def test_clashing_columns(spark, folder):
         assert sorted(map(tuple, out.select(docs.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
         assert out.where(F.col("_stay_id") != "_stay_id").isEmpty()
     assert corpus_pipeline.packing_stage(spark, clash, folder).count() == corpus_pipeline.packing_stage(spark, docs, folder).count()
+
+
+def test_a_task_of_a_stage_needs_one_python_worker(spark, folder):
+    """Two Python functions in one task take two workers of each core, which stay with the executor for the stages behind."""
+    docs = table(spark, folder, "documents")
+    plan = corpus_pipeline.suffix_dedup_stage(spark, docs, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow apply" in plan and plan.index("MapInArrow apply") == plan.index("MapInArrow")
