@@ -69,6 +69,63 @@ def test_lookups_bound_the_distance_from_below():
         assert q.candidates(x[a:a + 1], near[b], codes[b:b + 1], missed[b:b + 1])[0, 0]
 
 
+def _side(q, kind, block, x):
+    near, codes, missed = q.encode(product_quantisation._unit(x))
+    at = np.argsort(near, kind="stable")
+    reps = (1000 * block + at).astype(np.int64)
+    columns = {"list": near[at].astype(np.int32), "rep": reps, "c": np.ones(len(x), np.int64), "v": x[at].astype(kind), "codes": codes[at], "missed": missed[at]}
+    return product_quantisation._Side(q, kind, block, {c: v.tobytes() for c, v in columns.items()})
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+@pytest.mark.parametrize("dims", [1, 3, 24, 64])
+def test_meetings_find_all_links(monkeypatch, dims, kind):
+    """Two blocks, and each with itself: scattered vectors, tight groups, pairs about the threshold, all lengths."""
+    monkeypatch.setattr(product_quantisation, "CHUNK", 16)
+    rng = np.random.default_rng(dims)
+    x = rng.normal(size=(700, dims))
+    x[300:500] = x[:8].repeat(25, axis=0) + rng.normal(size=(200, dims)) * 0.02
+    x[500:] = x[:200] / np.linalg.norm(x[:200], axis=1)[:, None] + rng.normal(size=(200, dims)) * 0.45 / np.sqrt(dims)
+    x = (x * 10.0 ** rng.integers(-20, 20, size=(700, 1))).astype(kind)
+    unit = product_quantisation._unit(x)
+    q = product_quantisation.Quantiser(unit[::2], 0.9)
+    sides = [_side(q, kind, 0, x[::2]), _side(q, kind, 1, x[1::2])]
+    names = np.concatenate([np.arange(0, 350), np.arange(1000, 1350)])
+    add, edges = dict.fromkeys(names.tolist(), 0), []
+    for a, b in ((0, 0), (0, 1), (1, 1)):
+        for rep, n, to in zip(*product_quantisation._Meeting(q, sides[a], sides[b]).run(), strict=True):
+            add[int(rep)] += int(n)
+            edges.append((int(rep), int(to)))
+    unit = np.concatenate([unit[::2], unit[1::2]])
+    near = unit @ unit.T >= 0.9
+    assert [add[k] for k in names.tolist()] == (near.sum(axis=1) - 1).tolist()
+    place = {k: i for i, k in enumerate(names.tolist())}
+    pairs = np.array([(place[a], place[b]) for a, b in edges])
+    assert product_quantisation.forest(*pairs.T, 700).tolist() == product_quantisation.forest(*np.nonzero(near), 700).tolist()
+
+
+def _held(spark, at):
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+def test_near_vectors_write_little(spark):
+    """Vectors whose lists all hold possible partners: what is written follows the vectors, not their probes."""
+    from sideline.session import ensure_checkpoint_dir
+
+    x = np.random.default_rng(4).normal(size=(3000, 64)).astype(np.float32)
+    x[2000:2010] = x[:10] * 1.01 + np.float32(0.02)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], SCHEMA).repartition(2)
+    at = ensure_checkpoint_dir(spark)
+    before = _held(spark, at)
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in product_quantisation.near_vectors(df).collect()}
+    assert _held(spark, at) - before < 4 * x.nbytes
+    unit = x / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    assert [found[i][0] for i in range(3000)] == ((unit @ unit.T >= 0.9).sum(axis=1) - 1).tolist()
+    assert all(found[2000 + i] == (1, i) for i in range(10))
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def _top_brute(rows, k):
     x = [(i, [math.floor(64 * float(v)) for v in e]) for i, e in rows if i is not None and e is not None and all(v is not None and math.isfinite(v) for v in e)]
     out = []
