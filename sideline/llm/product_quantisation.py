@@ -59,7 +59,7 @@ LEADS, CHUNK = (4, 8, 12, 16, 20, 24, 32, 48, 64, 96, 128, 192, 256), 128
 #: Part of the pairs from which whole products are cheaper than lookups; pairs held until they are looked up.
 DENSE, PAIRS = 0.05, 1 << 19
 _SLACK = 1e-6
-#: Upper bounds of cosines are computed in single precision.
+#: The least that bounds in single precision are loosened by.
 _LOOSE = 1e-4
 #: Steps of length 1 that vectors are sorted by.
 _STEPS = 1 << 13
@@ -94,6 +94,8 @@ class Quantiser:
         self.dims = sample.shape[1]
         self.r = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
         self.cosine = cosine
+        #: What bounds in single precision may be off.
+        self.loose = _LOOSE + self.dims * 2.4e-7
         self.coarse = kmeans(sample, min(lists, max(1, len(sample) // 8)))
         near = _nearest(sample, self.coarse)
         #: Part of the sample in each list.
@@ -105,13 +107,14 @@ class Quantiser:
         self.lead = self.leading(sample)
 
     def leading(self, sample: np.ndarray) -> np.ndarray:
-        """Directions by which few pairs of the sample stay possible, weighed by what coordinates and pairs cost."""
+        """Directions by which few pairs of the sample that are no partners stay possible, weighed by what coordinates and pairs cost."""
         turned = np.linalg.eigh(sample.T @ sample)[1][:, ::-1]
         a, b = (sample[k: k + 1024: 2] @ turned for k in (0, 1))
+        others = a @ b.T < self.cosine
         best, least = 1, np.inf
         for m in (k for k in LEADS if k <= self.dims):
             rest = [np.sqrt((x[:, m:] ** 2).sum(axis=1)) for x in (a, b)]
-            left = float((a[:, :m] @ b[:, :m].T + np.outer(*rest) >= self.cosine).mean()) if len(b) else 0.0
+            left = float((others & (a[:, :m] @ b[:, :m].T + np.outer(*rest) >= self.cosine)).sum() / max(1, others.sum()))
             cost = 25 + m + (5000 * left if left < DENSE else 2.5 * self.dims)
             if cost < least:
                 best, least = m, cost
@@ -159,11 +162,11 @@ class Quantiser:
 
     def tables(self, x: np.ndarray) -> list[np.ndarray]:
         """For each subspace, products of the rows with all its codes."""
-        return [x[:, p] @ book.T for p, book in zip(self.parts, self.books, strict=True)]
+        return [x[:, p] @ book.T.astype(x.dtype) for p, book in zip(self.parts, self.books, strict=True)]
 
     def reachable(self, ahead: np.ndarray, length: np.ndarray, missed: np.ndarray) -> np.ndarray:
         """Whether the distance is not ruled out; from products of queries with what members' codes stand for, and the squared lengths of that."""
-        return 1 + length - 2 * ahead <= (self.r + missed + _SLACK) ** 2 + _LOOSE
+        return 1 + length - 2 * ahead <= (self.r + missed + _SLACK) ** 2 + self.loose
 
     def candidates(self, queries: np.ndarray, at: int, codes: np.ndarray, missed: np.ndarray) -> np.ndarray:
         """Queries x members of list ``at`` whose distance is not ruled out by the table lookups."""
@@ -290,17 +293,6 @@ class _Side:
         lead = self.q.ahead.astype(np.float32)[lists]
         return (ahead - ((self.ahead * lead).sum(axis=1) if ahead.ndim == 1 else self.ahead @ lead.T)) / self.q.aside[1].astype(np.float32)[lists]
 
-    @cached_property
-    def tables(self) -> list[np.ndarray]:
-        return [t.astype(np.float32) for t in self.q.tables(self.x)]
-
-    @cached_property
-    def length(self) -> np.ndarray:
-        """Squared lengths of what the codes stand for."""
-        whole = self.q.coarse[self.list]
-        whole += self.q.decode(self.codes)
-        return np.einsum("ij,ij->i", whole, whole)
-
 
 class _Meeting:
     """Links between two blocks, or within one."""
@@ -345,10 +337,14 @@ class _Meeting:
         i, j = np.concatenate(self.pairs, axis=1)
         self.pairs, self.n_pairs = [], 0
         a, b, q = self.a, self.b, self.q
-        ahead = np.einsum("ij,ij->i", a.x[i], q.coarse[b.list[j]])
-        for m, table in enumerate(a.tables):
-            ahead += table[i, b.codes[j, m]]
-        on = q.reachable(ahead, b.length[j], b.missed[j])
+        # Tables and lengths for the vectors that are in pairs.
+        (mine, x), (other, y) = (np.unique(k, return_inverse=True) for k in (i, j))
+        at, codes = b.list[other], b.codes[other]
+        length = ((q.coarse[at] + q.decode(codes)) ** 2).sum(axis=1)
+        ahead = np.einsum("ij,ij->i", a.x[i], q.coarse[at[y]])
+        for m, table in enumerate(q.tables(a.short[mine])):
+            ahead += table[x, codes[y, m]]
+        on = q.reachable(ahead, length[y], b.missed[j])
         self.exact(i[on], j[on])
 
     def exact(self, i: np.ndarray, j: np.ndarray) -> None:
@@ -362,17 +358,19 @@ class _Meeting:
         on = on & (self.a.rep[i][:, None] != self.b.rep[j])
         s = self.a.short[i] @ self.b.short[j].T
         sure = on & (s >= self.q.cosine + self.band)
-        x, y = np.nonzero(on & ~sure & (s >= self.q.cosine - self.band))
+        x, y = np.divmod(np.flatnonzero(on & ~sure & (s >= self.q.cosine - self.band)), len(j))
         self.exact(i[x], j[y])
-        np.add.at(self.add, i, sure @ self.b.c[j])
-        np.add.at(self.add, j + self.off, self.a.c[i] @ sure)
-        apart = sure & (self.low[i][:, None] != self.low[j + self.off])
-        x, y = np.nonzero(apart)
-        self.join(i[x], j[y])
+        ones = sure.astype(np.float64)
+        np.add.at(self.add, i, (ones @ self.b.c[j]).astype(np.int64))
+        np.add.at(self.add, j + self.off, (self.a.c[i] @ ones).astype(np.int64))
+        known = self.low[i], self.low[j + self.off]
+        if min(map(np.min, known)) < max(map(np.max, known)):
+            x, y = np.divmod(np.flatnonzero(sure & (known[0][:, None] != known[1])), len(j))
+            self.join(i[x], j[y])
 
     def chunk(self, i: np.ndarray, j: np.ndarray, upper: np.ndarray) -> None:
         """Rows ``i`` and ``j`` whose cosine is at most ``upper``."""
-        on = upper >= self.q.cosine - _LOOSE
+        on = upper >= self.q.cosine - self.q.loose
         at = np.flatnonzero(on)
         if not len(at):
             return
@@ -398,7 +396,7 @@ class _Meeting:
         across = np.maximum(np.sqrt(_squares(q.coarse[a.lists], q.coarse[b.lists])), 1e-9)
         mine = np.minimum.reduceat(a.own[:, None] - to_b, a.starts, axis=0)
         other = np.maximum.reduceat(to_a - b.own[:, None], b.starts, axis=0).T
-        meet = (mine - other) <= (q.r + _LOOSE) * across + _LOOSE
+        meet = (mine - other) <= (q.r + q.loose) * across + q.loose
         if self.same:
             meet &= a.lists[:, None] <= b.lists
         side_b, side_a = a.aside(to_b, b.lists), b.aside(to_a, a.lists)
@@ -437,7 +435,7 @@ class _Meeting:
             u, w = (np.floor(z @ (line * sign / size * _STEPS)).astype(np.int16) for sign, z in ((1, x), (-1, y)))
             first, second = np.argsort(u, kind="stable"), np.argsort(w, kind="stable")
             x, y, i, j = x[first], y[second], i[first], j[second]
-            stops = np.searchsorted(w[second], int(np.ceil((self.q.r + _LOOSE) * _STEPS)) + 2 - u[first[::CHUNK]].astype(np.int64), "right")
+            stops = np.searchsorted(w[second], int(np.ceil((self.q.r + self.q.loose) * _STEPS)) + 2 - u[first[::CHUNK]].astype(np.int64), "right")
         else:
             stops = np.full(-(-len(i) // CHUNK), len(j))
         for k, stop in enumerate(stops.tolist()):
